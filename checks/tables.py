@@ -156,8 +156,16 @@ CLUSTERED_SQL = (
 
 
 def r(expr: str, digits: int = 4) -> str:
-    """Rounding for comparison; adding zero removes the sign of a negative zero."""
-    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0e0)"
+    """Rounding for comparison; adding zero removes the sign of a negative zero.
+
+    Averages of cents often end exactly halfway between two rounded values, where the last
+    bit of a sum would decide. A shift far below the rounding step moves them off the half.
+    """
+    return f"(round(CAST({expr} AS DOUBLE) + {shift(digits)!r}, {digits}) + 0e0)"
+
+
+def shift(digits: int) -> float:
+    return 3.17 * 10.0 ** (-digits - 4)
 
 
 def text_ts(expr: str) -> str:
@@ -170,9 +178,9 @@ def comparable(df: DataFrame, digits: int = 4) -> DataFrame:
     for field in df.schema.fields:
         col, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, (T.DoubleType, T.FloatType)):
-            col = F.round(col.cast("double"), digits) + F.lit(0.0)
+            col = F.round(col.cast("double") + F.lit(shift(digits)), digits) + F.lit(0.0)
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.DoubleType):
-            col = F.transform(col, lambda x: F.round(x, digits) + F.lit(0.0))
+            col = F.transform(col, lambda x: F.round(x + F.lit(shift(digits)), digits) + F.lit(0.0))
         elif isinstance(kind, (T.IntegerType, T.ShortType)):
             col = col.cast("long")
         elif isinstance(kind, T.TimestampType):

@@ -21,7 +21,11 @@ def with_nulls(df: DataFrame) -> DataFrame:
 
 
 def drop_missing_customers(raw: DataFrame) -> DataFrame:
-    return with_nulls(raw).where(F.col("CustomerID").isNotNull())
+    """The filter stands on the raw column, so that its null test reaches the scan."""
+    known = F.col("CustomerID").isNotNull()
+    if isinstance(raw.schema["CustomerID"].dataType, (T.DoubleType, T.FloatType)):
+        known = known & ~F.isnan("CustomerID")
+    return with_nulls(raw.where(known))
 
 
 def integer_customer_ids(df: DataFrame) -> DataFrame:
