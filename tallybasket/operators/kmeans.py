@@ -23,7 +23,7 @@ RESTARTS = 10
 MAX_ITER = 300
 TOLERANCE = 1e-4
 
-PARALLELISM = 4
+PARALLELISM = 8
 
 
 def assemble(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -48,37 +48,47 @@ class Fit:
         return len(self.model.clusterCenters())
 
 
-def fit_kmeans(
+def _fit_all(vectors: DataFrame, cols, starts, max_iter, tol, parallelism) -> list[Fit]:
+    """One fit per (k, seed). Fits are independent jobs and are submitted side by side."""
+
+    def fit_one(start: tuple[int, int]) -> Fit:
+        k, seed = start
+        estimator = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="Cluster")
+        model = estimator.fit(vectors)
+        return Fit(model, list(cols), float(model.summary.trainingCost), seed)
+
+    with ThreadPool(max(1, min(parallelism, len(starts)))) as pool:
+        return pool.map(inheritable_thread_target(vectors.sparkSession)(fit_one), starts)
+
+
+def fit_kmeans_range(
     matrix: DataFrame,
     cols: Sequence[str],
-    k: int,
+    ks: Sequence[int],
     seed: int = SEED,
     restarts: int = RESTARTS,
     max_iter: int = MAX_ITER,
     tol: float = TOLERANCE,
     parallelism: int = PARALLELISM,
-) -> Fit:
-    """The fit with the least inertia among ``restarts`` seeds, starting at ``seed``.
+) -> dict[int, Fit]:
+    """For each k the fit with the least inertia among ``restarts`` seeds from ``seed`` on.
 
-    ``parallelism`` fits are submitted at a time, as in Spark's own model selection. Keep the assembled vectors in ``matrix`` (a ``features`` column) to share them between
-    calls; otherwise they are assembled and held here for the restarts.
+    The assembled vectors are held for all fits; a lost executor's part is read again.
     """
-    held = None
-    if "features" not in matrix.columns:
-        held = matrix = assemble(matrix, cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-        held.count()
+    vectors = assemble(matrix, cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        starts = [(k, start) for k in ks for start in range(seed, seed + restarts)]
+        fits = _fit_all(vectors, cols, starts, max_iter, tol, parallelism)
+    finally:
+        vectors.unpersist()
+    return {
+        k: min((f for f, (k_of, _) in zip(fits, starts) if k_of == k), key=lambda f: (f.inertia, f.seed)) for k in ks
+    }
 
-    def fit_from(start: int) -> Fit:
-        estimator = KMeans(k=k, seed=start, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="Cluster")
-        model = estimator.fit(matrix)
-        return Fit(model, list(cols), float(model.summary.trainingCost), start)
 
-    with ThreadPool(max(1, min(parallelism, restarts))) as pool:
-        fits = pool.map(inheritable_thread_target(matrix.sparkSession)(fit_from), range(seed, seed + restarts))
-    best = min(fits, key=lambda fit: (fit.inertia, fit.seed))
-    if held is not None:
-        held.unpersist()
-    return best
+def fit_kmeans(matrix: DataFrame, cols: Sequence[str], k: int, **settings) -> Fit:
+    """The best of several fits for one k; ``settings`` as in ``fit_kmeans_range``."""
+    return fit_kmeans_range(matrix, cols, [k], **settings)[k]
 
 
 def distances_to_centres(cols: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
@@ -117,14 +127,12 @@ def sweep(
     ``matrix`` is read many times and should be a written table. Each k is a column of
     labels, so that the silhouettes of all k share one pass over the distances.
     """
-    vectors = assemble(matrix, cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    fits = fit_kmeans_range(matrix, cols, range(2, max_clusters + 1), seed=seed, restarts=restarts)
     labelled, costs = matrix, []
-    for k in range(2, max_clusters + 1):
-        fit = fit_kmeans(vectors, cols, k, seed=seed, restarts=restarts)
+    for k, fit in fits.items():
         labelled = assign_clusters(labelled, cols, fit.centres).drop("Distance_to_Center")
         labelled = labelled.withColumnRenamed("Cluster", f"k{k}")
         costs.append((k, fit.inertia))
-    vectors.unpersist()
     labelled = materialize(labelled, "sweep-labels")
     names = [f"k{k}" for k, _ in costs]
     silhouettes = materialize(metrics.silhouettes(labelled, names, cols), "sweep-silhouettes")
