@@ -38,16 +38,23 @@ class Fit:
     cols: list[str]
     inertia: float
     seed: int
+    order: list[int] | None = None
 
     @property
     def centres(self) -> list[list[float]]:
-        return [[float(v) for v in c] for c in self.model.clusterCenters()]
+        return ordered_centres(self.model, self.order)
 
     @property
     def k(self) -> int:
         return len(self.model.clusterCenters())
 
 
+def ordered_centres(model: KMeansModel, order: Sequence[int] | None = None) -> list[list[float]]:
+    """Centres in the fitted order, or with fitted centre ``order[i]`` at place ``i``."""
+    centres = [[float(v) for v in c] for c in model.clusterCenters()]
+    return centres if order is None else [centres[i] for i in order]
+
+
 def _fit_all(vectors: DataFrame, cols, starts, max_iter, tol, parallelism) -> list[Fit]:
     """One fit per (k, seed). Fits are independent jobs and are submitted side by side."""
 
@@ -109,14 +116,14 @@ def assign_clusters(matrix: DataFrame, cols: Sequence[str], centres: Sequence[Se
     ).drop("_d2")
 
 
-def stable_names(clustered: DataFrame, cluster: str = "Cluster") -> DataFrame:
-    """Renumber clusters by mean Monetary, greatest first; the fitted id stays in ``Raw_Cluster``."""
-    means = materialize(clustered.groupBy(cluster).agg(F.avg("Monetary").alias("m")), "cluster-means")
-    ranked = [row[cluster] for row in means.orderBy(F.desc("m"), cluster).collect()]
-    order = F.array(*[F.lit(c) for c in ranked])
-    return clustered.withColumn("Raw_Cluster", F.col(cluster)).withColumn(
-        cluster, (F.array_position(order, F.col(cluster)) - 1).cast("int")
-    )
+def spend_order(clustered: DataFrame, k: int) -> list[int]:
+    """The k cluster ids by mean Monetary, greatest first; ids without rows come last.
+
+    Fitted ids are arbitrary. This order gives a segment the same id in every training.
+    """
+    means = clustered.groupBy("Cluster").agg(F.avg("Monetary").alias("m")).orderBy(F.desc("m"), "Cluster")
+    ranked = [row["Cluster"] for row in means.collect()]
+    return ranked + [i for i in range(k) if i not in ranked]
 
 
 def sweep(

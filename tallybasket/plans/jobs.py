@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,11 +54,13 @@ def training_job(
     """
     scaled, full, scaler = artefacts.load_features(spark, folder)
     names = scaler.names
-    fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts)
-    labelled = materialize(kmeans.assign_clusters(scaled, names, fit.centres), "labels")
-    missing = clusters.unmatched_labels(full, labelled)
+    missing = clusters.unmatched_labels(full, scaled)
     if not missing.isEmpty():
         raise ValueError("the scaled table holds customers that the full table lacks")
+    fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts)
+    as_fitted = kmeans.assign_clusters(scaled, names, fit.centres)
+    fit = replace(fit, order=kmeans.spend_order(clusters.attach_clusters(full, as_fitted), k))
+    labelled = materialize(kmeans.assign_clusters(scaled, names, fit.centres), "labels")
     silhouette = F.lit(None).cast("double")
     if with_silhouette:
         silhouette = metrics.silhouettes(labelled, ["Cluster"], names).select("silhouette").scalar()

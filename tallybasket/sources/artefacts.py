@@ -26,6 +26,7 @@ MODEL_METADATA = T.StructType(
         T.StructField("n_features", T.IntegerType()),
         T.StructField("inertia", T.DoubleType()),
         T.StructField("cluster_centers", T.ArrayType(T.ArrayType(T.DoubleType()))),
+        T.StructField("centre_order", T.ArrayType(T.IntegerType())),
         T.StructField("feature_means", T.ArrayType(T.DoubleType())),
     ]
 )
@@ -50,8 +51,8 @@ def load_scaler(spark: SparkSession, folder: str) -> Scaler:
 
 
 def model_metadata(spark: SparkSession, fit: kmeans.Fit, feature_means: list[float] | None = None) -> DataFrame:
-    """One row about a fitted model. ``n_clusters`` is the k that was fitted."""
-    row = ("KMeans", fit.k, kmeans.SEED, len(fit.cols), fit.inertia, fit.centres, feature_means)
+    """One row about a fitted model. ``n_clusters`` is the k that was fitted, centres are in segment order."""
+    row = ("KMeans", fit.k, kmeans.SEED, len(fit.cols), fit.inertia, fit.centres, fit.order, feature_means)
     return spark.createDataFrame([row], MODEL_METADATA)
 
 
@@ -88,13 +89,13 @@ def load_artefacts(spark: SparkSession, folder: str) -> Artefacts:
     """Model, scaler and, where they were saved, the projections."""
     model = KMeansModel.load(f"{folder}/model/kmeans")
     scaler = load_scaler(spark, folder)
-    means = load_model_metadata(spark, folder).first()["feature_means"]
+    saved = load_model_metadata(spark, folder).first()
     found = {}
     for n in (2, 3):
         path = f"{folder}/model/pca_{n}d"
         if _exists(spark, path):
-            found[n] = kmeans.projection_of(PCAModel.load(path), scaler.names, means)
-    centres = [[float(v) for v in c] for c in model.clusterCenters()]
+            found[n] = kmeans.projection_of(PCAModel.load(path), scaler.names, saved["feature_means"])
+    centres = kmeans.ordered_centres(model, saved["centre_order"])
     return Artefacts(centres, scaler, found.get(2), found.get(3))
 
 
