@@ -53,8 +53,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
     Cuts lineage, survives lost executors, lets later passes prune columns, and
     gives the planner the real size, so a join broadcasts the table only if the
-    files are below ``spark.sql.autoBroadcastJoinThreshold``.
+    files are below ``spark.sql.autoBroadcastJoinThreshold``. The files are neither
+    compressed nor dictionary-encoded, because a table that shrinks twentyfold on
+    disk would pass that check and then not fit in memory.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
