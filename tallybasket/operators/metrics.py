@@ -17,7 +17,10 @@ from tallybasket.session import materialize
 ELBOW_FACTOR = 0.7
 ELBOW_DEFAULT = 4
 
-BLOCK_ROWS = 2048
+# Points per block and per tile of the silhouette's distance kernel. Blocks grow with the
+# table, so that the blocks sent around grow less than quadratically up to the greatest size.
+TILE_ROWS = 2048
+MAX_BLOCK_ROWS = 32_768
 
 
 def centroids(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
@@ -81,7 +84,7 @@ def calinski_harabasz(points: DataFrame, label: str, cols: Sequence[str]) -> Dat
 
 
 def silhouettes(
-    points: DataFrame, labels: Sequence[str], cols: Sequence[str], block_rows: int = BLOCK_ROWS
+    points: DataFrame, labels: Sequence[str], cols: Sequence[str], block_rows: int | None = None
 ) -> DataFrame:
     """Mean silhouette with Euclidean distances (Rousseeuw 1987) for one or more labellings.
 
@@ -92,7 +95,8 @@ def silhouettes(
     weighted by their number. The rest is packed into blocks of about ``block_rows``, and
     each task takes pairs of blocks, keeps running distance sums per point and cluster for
     its left block, and emits only those sums. No pair of points ever becomes a row, the
-    memory of a task is two blocks, and one distance serves all labellings.
+    memory of a task is two blocks, and one distance serves all labellings. The work stays
+    quadratic in the distinct points.
     """
     spark = points.sparkSession
     features = F.array(*[F.col(c).cast("double") for c in cols])
@@ -106,20 +110,24 @@ def silhouettes(
     )
     # One row per cluster of each labelling: the kernel's sums have one slot per cluster.
     slots = {(row["s"], row["c"]): i for i, row in enumerate(sizes.orderBy("s", "c").select("s", "c").collect())}
-    n_blocks = max(1, math.ceil(merged.count() / block_rows))
+    n_points = merged.count()
+    if block_rows is None:
+        block_rows = min(max(TILE_ROWS, n_points // 2000), MAX_BLOCK_ROWS)
+    n_blocks = max(1, math.ceil(n_points / block_rows))
     blocks = materialize(
         merged.withColumn("block", F.pmod(F.xxhash64("x", "g"), F.lit(n_blocks)))
         .groupBy("block")
-        .agg(F.collect_list(F.struct("x", "g", "w")).alias("pts")),
+        .agg(F.collect_list(F.struct("x", "g", "w")).alias("pts"))
+        .select("block", F.flatten("pts.x").alias("x"), F.flatten("pts.g").alias("g"), F.col("pts.w").alias("w")),
         "silhouette-blocks",
     )
     lanes = spark.sparkContext.defaultParallelism
     pairs = spark.range(0, n_blocks * n_blocks, numPartitions=min(n_blocks * n_blocks, 8 * lanes)).select(
         F.floor(F.col("id") / n_blocks).alias("i"), (F.col("id") % n_blocks).alias("j")
     )
-    left = blocks.select(F.col("block").alias("i"), F.col("pts").alias("a"))
-    right = blocks.select(F.col("block").alias("j"), F.col("pts").alias("b"))
-    work = pairs.join(left, "i").join(right, "j").select("i", "a", "b")
+    left = blocks.select(F.col("block").alias("i"), *[F.col(c).alias(f"a{c}") for c in "xgw"])
+    right = blocks.select(F.col("block").alias("j"), *[F.col(c).alias(f"b{c}") for c in "xgw"])
+    work = pairs.join(left, "i").join(right, "j").select("i", "ax", "ag", "aw", "bx", "bg", "bw")
     sums = work.mapInPandas(
         _distance_sums(slots, len(labels)), "block long, pos int, w long, g array<long>, sums array<double>"
     )
@@ -149,21 +157,31 @@ def silhouettes(
 
 
 def _distance_sums(slots: dict[tuple[int, int], int], n_labellings: int):
-    """Kernel over (i, a, b): per point of block ``i`` the weighted distance sums to each cluster."""
+    """Kernel over pairs of blocks: per point of block ``i`` the weighted distance sums to each cluster."""
     width = len(slots)
 
-    def unpack(points) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x = np.array([p["x"] for p in points], dtype=float)
-        g = np.array([p["g"] for p in points], dtype=np.int64).reshape(len(points), n_labellings)
-        w = np.array([p["w"] for p in points], dtype=np.int64)
-        return x, g, w
+    def unpack(x, g, w) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        w = np.asarray(w, dtype=np.int64)
+        return np.asarray(x, dtype=float).reshape(len(w), -1), np.asarray(g, dtype=np.int64).reshape(len(w), n_labellings), w
 
     def membership(g: np.ndarray, w: np.ndarray) -> np.ndarray:
         out = np.zeros((len(g), width))
         for s in range(n_labellings):
-            out[np.arange(len(g)), [slots[(s, c)] for c in g[:, s]]] = w
+            out[np.arange(len(g)), [slots[(s, c)] for c in g[:, s].tolist()]] = w
         return out
 
+    def add_distances(total: np.ndarray, x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> None:
+        """One tile of distances at a time, whatever the size of the blocks."""
+        for i in range(0, len(x), TILE_ROWS):
+            for j in range(0, len(y), TILE_ROWS):
+                a, b = x[i : i + TILE_ROWS], y[j : j + TILE_ROWS]
+                d = np.zeros((len(a), len(b)))
+                for f in range(a.shape[1]):
+                    gap = a[:, f, None] - b[None, :, f]
+                    gap *= gap
+                    d += gap
+                total[i : i + TILE_ROWS] += np.sqrt(d, out=d) @ weights[j : j + TILE_ROWS]
+
     def emit(block, x, g, w, total) -> pd.DataFrame:
         return pd.DataFrame(
             {"block": block, "pos": np.arange(len(x), dtype=np.int32), "w": w, "g": list(g), "sums": list(total)}
@@ -172,20 +190,14 @@ def _distance_sums(slots: dict[tuple[int, int], int], n_labellings: int):
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current = None
         for batch in batches:
-            for i, a, b in batch[["i", "a", "b"]].itertuples(index=False, name=None):
+            for i, ax, ag, aw, bx, bg, bw in batch.itertuples(index=False, name=None):
                 if current is None or current[0] != i:
                     if current is not None:
                         yield emit(*current)
-                    x, g, w = unpack(a)
+                    x, g, w = unpack(ax, ag, aw)
                     current = (i, x, g, w, np.zeros((len(x), width)))
-                x, total = current[1], current[4]
-                y, yg, yw = unpack(b)
-                d2 = np.zeros((len(x), len(y)))
-                for f in range(x.shape[1]):
-                    gap = x[:, f, None] - y[None, :, f]
-                    gap *= gap
-                    d2 += gap
-                total += np.sqrt(d2, out=d2) @ membership(yg, yw)
+                y, yg, yw = unpack(bx, bg, bw)
+                add_distances(current[4], current[1], y, membership(yg, yw))
         if current is not None:
             yield emit(*current)
 

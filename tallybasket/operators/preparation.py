@@ -43,9 +43,16 @@ def missing_values(features: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fill_with_medians(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace missing values by the column's exact median."""
-    medians = quantile_row(features, list(cols), [0.5]).select(F.struct(*cols)).scalar()
-    filled = {c: F.coalesce(F.col(c).cast("double"), medians.getField(c).getItem(0)) for c in cols}
+    """Replace missing values by the column's exact median.
+
+    One count tells which columns have gaps; medians are computed for those alone.
+    """
+    gaps = missing_values(features, cols).first()
+    gappy = [c for c in cols if gaps[c] > 0]
+    filled = {c: F.col(c).cast("double") for c in cols}
+    if gappy:
+        medians = quantile_row(features, gappy, [0.5]).select(F.struct(*gappy)).scalar()
+        filled |= {c: F.coalesce(filled[c], medians.getField(c).getItem(0)) for c in gappy}
     return features.withColumns(filled)
 
 
