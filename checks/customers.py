@@ -233,7 +233,7 @@ def _picked(*cols, ctes=t.FEATURES_SQL):
 
 
 _RFM = f'"Recency", "Frequency", {r(chr(34) + "Monetary" + chr(34))} AS "Monetary"'
-_ALL = f"""WITH {t.FEATURES_SQL} SELECT "CustomerID", {_RFM}, {", ".join(f'{sql} AS "{c}"' for c, sql in _BEHAVIOUR_SQL.items())} FROM feat"""
+ALL_FEATURES_SQL = f"""WITH {t.FEATURES_SQL} SELECT "CustomerID", {_RFM}, {", ".join(f'{sql} AS "{c}"' for c, sql in _BEHAVIOUR_SQL.items())} FROM feat"""
 
 _EV_FEATURES = t.features_sql("ev", t.EV_SQL)
 
@@ -321,8 +321,8 @@ ORACLES = {
   {r('"AvgTransactionValue"')} AS "AvgTransactionValue", {r('"StdTransactionValue"')} AS "StdTransactionValue",
   "TotalTransactions", "TotalQuantity", "CustomerLifetime", {r('"PurchaseFrequency"')} AS "PurchaseFrequency" FROM sfeat""",
     "d9_scoring_recency": f'WITH {SCORING_SQL} SELECT "CustomerID", "Recency" FROM sfeat',
-    "c1_features_by_join": _ALL,
-    "c1_features_one_grouping": _ALL,
+    "c1_features_by_join": ALL_FEATURES_SQL,
+    "c1_features_one_grouping": ALL_FEATURES_SQL,
     "b9_select_features": f"""WITH {t.FEATURES_SQL} SELECT "CustomerID", {_RFM}, {r('"AvgTransactionValue"')} AS "AvgTransactionValue",
   "CustomerLifetime", {r('"PurchaseFrequency"')} AS "PurchaseFrequency" FROM feat""",
     "b10_spend_audit": f"""WITH {t.CLEAN_SQL}, m AS (SELECT sum("Amount") AS s FROM clean GROUP BY "CustomerID", "YearMonth")

@@ -80,6 +80,24 @@ def report(spark, sf_dir):
     return got.select(F.to_json(F.struct("*")).alias("report"))
 
 
+def report_figures(spark, sf_dir):
+    """Figures of every part of the report, read out of its nested row."""
+    row = ops.full_report(t.clustered(spark, sf_dir), seg.segment_dimension(spark), REPORT_DATE)
+    names = row.select("*", F.explode(F.map_keys("revenue")).alias("Segment_Name"))
+    name = F.col("Segment_Name")
+    return t.comparable(
+        names.select(
+            "Segment_Name",
+            F.col("distribution.total_customers").alias("total_customers"),
+            F.element_at("distribution.segments", name)["count"].alias("count"),
+            F.element_at(F.element_at("characteristics", name)["metrics"], F.lit("Monetary"))["median"].alias("median_spend"),
+            F.element_at("revenue", name)["Revenue_Percentage"].alias("Revenue_Percentage"),
+            F.element_at("recommendations", name)["avg_recency"].alias("avg_recency"),
+            F.col("executive_summary.segments_identified").alias("segments_identified"),
+        )
+    )
+
+
 def info(segment_id=None):
     def run(spark, sf_dir):
         return t.comparable(seg.segment_info(t.clustered(spark, sf_dir), seg.segment_dimension(spark), segment_id))
@@ -172,6 +190,7 @@ QUERIES = {
     "d18_recommendations": recommend,
     "d19_summary": summary,
     "d20_report": report,
+    "d20_report_figures": report_figures,
     "d20_insight_lines": lines,
     "d21_segment_info": info(),
     "d21_segment_info_one": info(2),
@@ -289,6 +308,10 @@ SELECT {quoted(ops.SUMMARY_TITLE)} AS title, '2024-02-01' AS "date", (SELECT cou
   {r('(SELECT min("Avg_Revenue_per_Customer") FROM rev)')} AS least_mean_revenue,
   {r('(SELECT max("Avg_Revenue_per_Customer") FROM rev)')} AS greatest_mean_revenue,
   {_pipe(ops.SUMMARY_RECOMMENDATIONS)} AS recommendations, {_pipe(ops.SUMMARY_NEXT_STEPS)} AS next_steps FROM big, small, top, a, z""",
+    "d20_report_figures": f"""{BASE}, {_REV} SELECT "Segment_Name", (SELECT count(*) FROM clustered) AS total_customers, "Customer_Count" AS "count",
+  {r('"Median_Revenue_per_Customer"')} AS median_spend, {r('"Revenue_Percentage"')} AS "Revenue_Percentage",
+  {r('(SELECT avg("Recency") FROM clustered JOIN dim d USING ("Cluster") WHERE d."Segment_Name" = rev."Segment_Name")')} AS avg_recency,
+  (SELECT count(*) FROM rev) AS segments_identified FROM rev""",
     "d20_insight_lines": f"""{BASE}, {_DIST}, {_REV} SELECT 'distribution' AS section, row_number() OVER (ORDER BY "count" DESC, "Segment_Name") AS line,
   "Segment_Name" || ': ' || "count" || ' customers (' || printf('%.1f', percentage) || '%)' AS "text" FROM dist
 UNION ALL SELECT 'revenue', row_number() OVER (ORDER BY "Segment_Name"),

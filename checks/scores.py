@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as t
 from checks.clusterings import GIVEN_LOADINGS
-from checks.customers import FINAL, SCORING_SQL
+from checks.customers import ALL_FEATURES_SQL, FINAL, SCORING_SQL, scaled_sql
 from checks.tables import r
 from tallybasket.operators import clusters, kmeans, preparation, scoring, segments
 from tallybasket.plans import jobs
@@ -67,6 +67,52 @@ def feature_folder(spark, sf_dir):
     return t.comparable(joined.join(full.select("CustomerID", "Recency", "Monetary"), "CustomerID"))
 
 
+def scaled_sink(spark, sf_dir):
+    folder = scratch_path(spark, "features")
+    jobs.feature_job(t.tx(spark, sf_dir), folder)
+    return t.comparable(artefacts.load_features(spark, folder)[0])
+
+
+def full_sink(spark, sf_dir):
+    folder = scratch_path(spark, "features")
+    jobs.feature_job(t.tx(spark, sf_dir), folder)
+    return t.comparable(artefacts.load_features(spark, folder)[1])
+
+
+def month_table(spark, sf_dir):
+    """Clean rows written as a table by month, two years of months read back."""
+    path = transactions.write_clean_table(t.clean(spark, sf_dir), scratch_path(spark, "months"))
+    back = transactions.read_parquet_table(spark, path).where(F.col("YearMonth").between("1996-01", "1997-12"))
+    return t.comparable(back.groupBy("YearMonth").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("amount")), 2)
+
+
+def model_metadata(spark, sf_dir):
+    folder, _ = trained_folder(spark, sf_dir)
+    meta = artefacts.load_model_metadata(spark, folder)
+    centres = meta.select("model_type", "n_clusters", "random_state", "inertia", F.posexplode("cluster_centers").alias("segment", "centre"))
+    return t.comparable(centres.select("model_type", "n_clusters", "random_state", "inertia", "segment", *[F.col("centre")[i].alias(c) for i, c in enumerate(FINAL)]))
+
+
+def saved_projection(spark, sf_dir):
+    """Scaled customers projected by the saved and loaded components."""
+    folder, _ = trained_folder(spark, sf_dir)
+    scaled, _, _ = artefacts.load_features(spark, folder)
+    model = artefacts.load_artefacts(spark, folder)
+    both = kmeans.project(kmeans.project(scaled, model.pca_2d), model.pca_3d)
+    return t.comparable(both.select("CustomerID", *[c for c in both.columns if c.startswith("PCA")]))
+
+
+def clustered_sink(spark, sf_dir):
+    """Clustered customers as the training job left them; only the cluster depends on the fit."""
+    return t.comparable(trained_folder(spark, sf_dir)[1].clustered.drop("Cluster"))
+
+
+def trained_scores(spark, sf_dir):
+    """All events scored by the loaded model."""
+    folder, _ = trained_folder(spark, sf_dir)
+    return t.comparable(jobs.score_rows(t.ev(spark, sf_dir), folder, as_of=t.AS_OF))
+
+
 def training_scores(spark, sf_dir):
     return t.comparable(trained_folder(spark, sf_dir)[1].scores)
 
@@ -141,7 +187,14 @@ QUERIES = {
     "f3_sample_assignments": lambda s, d: t.comparable(
         scoring.sample_assignments(scored(s, d, False)).select("CustomerID", "Segment", "Distance_to_Center")),
     "b18_quarantine": quarantined,
+    "a4_clean_table_by_month": month_table,
+    "a5_scaled_sink": scaled_sink,
+    "a6_full_sink": full_sink,
     "a9_feature_tables": feature_folder,
+    "a11_model_metadata": model_metadata,
+    "a12_saved_projection": saved_projection,
+    "a13_clustered_sink": clustered_sink,
+    "a16_loaded_model": trained_scores,
     "a10_model_files": model_files,
     "a15_report_files": report_files,
     "i13_training": training_scores,
@@ -198,4 +251,13 @@ SELECT 'missing_customer' AS reason, count(*) AS n FROM x WHERE "CustomerID" IS
 UNION ALL SELECT 'amount_not_positive', count(*) FROM x WHERE "Amount" <= 0
 UNION ALL SELECT 'quantity_not_positive', count(*) FROM x WHERE "Quantity" <= 0""",
     "j1_stream": f"WITH {SCORED} SELECT {_CORE} FROM scored",
+    "a4_clean_table_by_month": f"""WITH {t.CLEAN_SQL} SELECT "YearMonth", count(*) AS n, {r('sum("Amount")', 2)} AS amount FROM clean
+  WHERE "YearMonth" BETWEEN '1996-01' AND '1997-12' GROUP BY "YearMonth" """,
+    "a5_scaled_sink": f"""WITH {scaled_sql(t.FEATURES_SQL)} SELECT "CustomerID", {", ".join(r(f'"{c}"') + f' AS "{c}"' for c in FINAL)} FROM scaled""",
+    "a6_full_sink": ALL_FEATURES_SQL,
+    "a9_feature_tables": f"""WITH {scaled_sql(t.FEATURES_SQL)} SELECT "CustomerID", {", ".join(r(f's."{c}"') + f' AS "Scaled_{c}"' for c in FINAL)},
+  feat."Recency", {r('"Monetary"')} AS "Monetary" FROM scaled s JOIN feat USING ("CustomerID")""",
+    "a13_clustered_sink": ALL_FEATURES_SQL + ' WHERE "Monetary" > 0',
+    "a15_report_files": f"""WITH {t.FEATURES_SQL} SELECT count(*) AS total_customers, CAST(4 AS BIGINT) AS segments_identified
+  FROM feat WHERE "Monetary" > 0""",
 }
