@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,22 +25,13 @@ def build_session(app_name: str = "tallybasket", master: str | None = None, **co
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's checkpoint folder.
+    """Folder for intermediate tables, shared by driver and executors.
 
-    A session without one gets a temporary folder in local mode only, because a
-    folder of one machine is of no use to the executors of another.
+    ``spark.checkpoint.dir`` names it; without that setting it lies in the warehouse, which every
+    session has and which a cluster shares as well.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tallybasket-")
-    context.setCheckpointDir(folder)
-    return folder
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, name: str = "table") -> str:
