@@ -20,6 +20,8 @@ from tallybasket.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step takes; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
+#: Bytes of an Arrow batch.
+BATCH_BYTES = 16 << 20
 MAX64 = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -166,6 +168,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(level[:n], level[width - have : width - have + n]) if have < width else level[:n]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, since a batch of many long texts would not fit in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybasket.llm import mixing, simhash
+from tallybasket.llm import bpe, html_text, mixing, simhash, top_k, url_rules
 from tallybasket.llm.common import table
 
 
+def vocabulary() -> str:
+    """Path of the given byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, mixing.cycling_weights(docs))
@@ -45,10 +56,62 @@ SELECT doc_id, size, source_size, target, size * CAST(whole + CASE WHEN draw < b
 FROM d JOIN n USING (k)"""
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, factor=64.0)
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
+
+
+#: Host, path and verdict (fixed values of the query).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+OP8_SQL = r"""
+WITH rules(h, p, v) AS (VALUES """ + ", ".join(map(str, URL_RULES)) + r"""),
+u AS (SELECT page_id, row_number() OVER () AS n,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+m AS (SELECT n, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+      FROM u JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m USING (n)"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
     return groups.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op4_mix_sources": op4_mix_sources, "op10_simhash": op10_simhash}
-ORACLES = {"op4_mix_sources": OP4_SQL}
+QUERIES = {
+    "op2_html_text": op2_html_text,
+    "op4_mix_sources": op4_mix_sources,
+    "op6_top_k": op6_top_k,
+    "op7_bpe": op7_bpe,
+    "op8_url_rules": op8_url_rules,
+    "op10_simhash": op10_simhash,
+}
+ORACLES = {"op4_mix_sources": OP4_SQL, "op6_top_k": OP6_SQL, "op8_url_rules": OP8_SQL}
