@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybasket.llm import bpe, html_text, mixing, simhash, top_k, url_rules
+from tallybasket.llm import bpe, html_text, mixing, quality_model, quality_rules, simhash, suffix_dedup, top_k, url_rules
 from tallybasket.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, mixing.cycling_weights(docs))
@@ -56,6 +60,11 @@ SELECT doc_id, size, source_size, target, size * CAST(whole + CASE WHEN draw < b
 FROM d JOIN n USING (k)"""
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeats(docs, length=100, keep_text=False).drop("removed")
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, factor=64.0)
@@ -101,6 +110,10 @@ m AS (SELECT n, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h ||
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m USING (n)"""
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
     return groups.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
@@ -108,10 +121,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_html_text": op2_html_text,
+    "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_top_k": op6_top_k,
     "op7_bpe": op7_bpe,
     "op8_url_rules": op8_url_rules,
+    "op9_quality_model": op9_quality_model,
     "op10_simhash": op10_simhash,
 }
 ORACLES = {"op4_mix_sources": OP4_SQL, "op6_top_k": OP6_SQL, "op8_url_rules": OP8_SQL}
