@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybasket.llm import bpe, html_text, mixing, quality_model, quality_rules, simhash, suffix_dedup, top_k, url_rules
+from tallybasket.llm import bpe, debruijn_dedup, html_text, mixing, quality_model, quality_rules, simhash, suffix_dedup, top_k, url_rules
 from tallybasket.llm.common import table
 
 
@@ -16,6 +16,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return debruijn_dedup.remove_repeats(docs, words=20, keep_text=False).drop("removed")
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
@@ -120,6 +125,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_debruijn_dedup": op1_debruijn_dedup,
     "op2_html_text": op2_html_text,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
