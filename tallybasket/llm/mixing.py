@@ -14,6 +14,8 @@ source, so no source is ever sorted or gathered.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,10 +71,13 @@ def water_fill(sources: DataFrame, total: Column, max_epochs: float) -> DataFram
     return sources.withColumn("target", target.cast("double"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source_key`` and ``size`` (words) of every row."""
+def sized(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``source_key``, ``size`` (words) and the columns in ``carry`` of every row."""
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), source_key().alias("source_key"), n_words(text_or_empty()).alias("size")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        source_key().alias("source_key"),
+        n_words(text_or_empty()).alias("size"),
+        *carry,
     )
 
 
@@ -114,12 +119,19 @@ def _threshold(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: DataFrame, total_share: float = 1.5, max_epochs: float = 2.0, seed: int = 7) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    weights: DataFrame,
+    total_share: float = 1.5,
+    max_epochs: float = 2.0,
+    seed: int = 7,
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """How often each document is taken so that its source comes to its target.
 
     ``weights`` has ``source`` (null for rows without one) and ``weight``; a source it lacks has weight 0.
     The mix has ``total_share`` times all words. Returns per row of ``docs``: doc_id, source_key, size,
-    source_size, target, repeats (int) and taken = repeats * size. ``repeats`` never exceeds ceil(max_epochs).
+    source_size, target, repeats (int), taken = repeats * size, and the columns named in ``carry``. ``repeats`` never exceeds ceil(max_epochs).
     Null or empty texts have size 0 and are repeated like others; rows that repeat draw the same number;
     a null doc_id draws that of the empty id. An empty table gives an empty result.
     """
@@ -138,7 +150,9 @@ def mix(docs: DataFrame, weights: DataFrame, total_share: float = 1.5, max_epoch
     below = _threshold(drawn, plan.select("source_key", "extra"))
     full = saved(plan.join(below, "source_key"), "mixing-thresholds")
     repeats = (F.col("whole") + (F.col("draw") < F.col("below")).cast("int")).alias("repeats")
-    out = drawn.join(full, "source_key").select("doc_id", "source_key", "size", "source_size", "target", repeats)
+    # The texts, if they are carried, are not written with the sizes but read again from ``docs``.
+    drawn = sized(docs, carry).withColumn("draw", draw(seed)) if carry else drawn
+    out = drawn.join(full, "source_key").select("doc_id", "source_key", "size", "source_size", "target", repeats, *carry)
     return out.withColumn("taken", F.col("repeats").cast("long") * F.col("size"))
 
 

@@ -10,13 +10,14 @@ step from score to probability.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybasket.llm.common import saved, text_or_empty
 from tallybasket.llm.statistics import COLUMNS, with_statistics
@@ -152,23 +153,27 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5) of every row of ``docs``.
 
     Only statistics of the text enter a score. Null texts count as empty and get the score of the empty text.
     Repeated rows give repeated rows; a null id is scored and never labelled. Without any label to learn from
-    every score is 0.5. An empty table gives an empty result; other columns are ignored.
+    every score is 0.5. An empty table gives an empty result; other columns are ignored, but for those named
+    in ``carry``, which are handed through.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    measured = with_statistics(rows).select("doc_id", F.array(*ratios()).alias("x"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, text_or_empty().alias("text"))
+    measured = with_statistics(rows).select("doc_id", *carry, F.array(*ratios()).alias("x"))
     measured = saved(measured, "quality-statistics")
-    known = saved(labelled(measured.where(~held_out()), labels), "quality-labelled")
+    known = saved(labelled(measured.where(~held_out()).select("doc_id", "x"), labels), "quality-labelled")
     model = fit(known, train_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = np.clip(model.score(_rows(batch)), 0.0, 1.0) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
+            columns = [batch.column(c) for c in ("doc_id", *carry)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], names=["doc_id", *carry, "score"])
 
-    scored = measured.mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    kept = [f for f in measured.schema.fields if f.name != "x"]
+    scored = measured.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", *carry, held_out().alias("held_out"), "score", predicted)

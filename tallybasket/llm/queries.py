@@ -67,7 +67,7 @@ FROM d JOIN n USING (k)"""
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return suffix_dedup.remove_repeats(docs, length=100, keep_text=False).drop("removed")
+    return suffix_dedup.remove_repeats(docs, length=100, keep_text=False).drop("removed", "was_null")
 
 
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

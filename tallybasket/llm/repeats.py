@@ -13,7 +13,7 @@ collapses copied documents and passages however many there are, with partial sum
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,11 @@ LAST = (1 << 63) - 1
 Units = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` (null: empty), ``ord`` and ``rk``."""
+def documents(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``was_null``, the columns in ``carry``, ``text`` (null: empty), ``ord`` and ``rk``."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    doc_id, was_null = F.col("doc_id").cast("long").alias("doc_id"), F.col("text").isNull().alias("was_null")
+    rows = docs.select(doc_id, was_null, *carry, text_or_empty().alias("text"))
     return rows.withColumn("ord", F.coalesce("doc_id", F.lit(LAST))).withColumn("rk", row_key())
 
 

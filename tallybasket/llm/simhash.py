@@ -16,15 +16,16 @@ Copies share a fingerprint and are merged first; no group is ever expanded into
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallybasket.llm.common import bytes_of, saved, single, steps, text_or_empty, words_of
+from tallybasket.llm.common import bytes_of, saved, single, small_batches, steps, text_or_empty, words_of
 from tallybasket.operators.components import connected_components
 
 SEED = 42
@@ -77,17 +78,20 @@ def fingerprints_of(texts: pa.Array, shingle_words: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """``doc_id`` (long, may be null) and ``fp`` (long: the fingerprint's bits) of every row."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id`` (long, may be null), the columns in ``carry`` and ``fp`` (long: the fingerprint's bits) of every row."""
+    small_batches(docs.sparkSession)
+    names = ["doc_id", *carry, "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = single(batch.column("text"))
             fp = fingerprints_of(texts, shingle_words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(fp)], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, text_or_empty().alias("text"))
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField("fp", T.LongType())]))
 
 
 def _syndrome(half: Column) -> Column:
@@ -134,22 +138,24 @@ def anchor_links(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def simhash_groups(
+    docs: DataFrame, shingle_words: int = 3, max_distance: int = MAX_DISTANCE, carry: Sequence[str] = ()
+) -> DataFrame:
     """Groups of documents whose fingerprints link, directly or through others.
 
-    Returns one row per row of ``docs``: ``doc_id``, ``fp`` (long) and ``component_id``, the least doc_id
-    of the group. Null or empty texts have fingerprint 0 and link like any other. Rows that repeat give
+    Returns one row per row of ``docs``: ``doc_id``, the columns named in ``carry``, ``fp`` (long),
+    ``component_id``, the least doc_id of the group, and ``class_id``, the group's least fingerprint. Null or empty texts have fingerprint 0 and link like any other. Rows that repeat give
     repeated rows. A row without doc_id takes part and gets its group's id; a group without any doc_id
     has a null component_id. An empty table gives an empty result; other columns are ignored.
     """
-    marked = saved(fingerprints(docs, shingle_words), "simhash-fp")
+    marked = saved(fingerprints(docs, shingle_words, carry), "simhash-fp")
     least = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     links = saved(anchor_links(least.select("fp"), max_distance), "simhash-links")
     labels = connected_components(least.select(F.col("fp").alias("node")), links)
     named = least.join(labels.select(F.col("node").alias("fp"), "label"), "fp")
     roots = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = saved(named.join(roots, "label").select("fp", "component_id"), "simhash-classes")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = saved(named.join(roots, "label").select("fp", "component_id", F.col("label").alias("class_id")), "simhash-classes")
+    return marked.join(classes, "fp").select("doc_id", *carry, "fp", "component_id", "class_id")
 
 
 def as_hex(fp: str = "fp") -> Column:

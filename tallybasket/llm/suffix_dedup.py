@@ -15,12 +15,13 @@ go by the hash of their bytes to as many groups, where equal ones still meet.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybasket.llm import repeats
 from tallybasket.llm.common import Rolling, byte_values, bytes_of, saved, single, steps
@@ -165,21 +166,28 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, grou
     return found.groupBy("rk").agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = True) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, keep_text: bool = True, carry: Sequence[str] = ()
+) -> DataFrame:
     """Every row of ``docs`` without the bytes of windows that start earlier.
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), removed (array of start, end, in bytes),
     kept_sha256 (of the remaining bytes) and, if ``keep_text``, kept_text: the remaining bytes as text, where
-    bytes of characters that a removal cut through are left out. Null texts count as empty; matches never
+    bytes of characters that a removal cut through are left out. ``was_null`` marks rows without a text. Null texts count as empty; matches never
     cross documents. Rows with one id are ordered by a hash of id and text, rows without id come last,
     rows that agree in id and text are one document and give equal results. An empty table gives an empty
-    result; other columns are ignored. The result does not depend on ``part`` or group sizes.
+    result; other columns are ignored, but for those named in ``carry``, which are handed through. The result
+    does not depend on ``part`` or group sizes.
     """
-    rows = repeats.documents(docs)
+    rows = repeats.documents(docs, carry)
     spans = saved(repeated_spans(rows, length), "suffix-spans")
-    joined = rows.select("doc_id", "rk", "text").join(spans, "rk", "left").select("doc_id", "text", "spans")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, removed array<struct<start:long,end:long>>, kept_sha256 string"
-    schema += ", kept_text string" if keep_text else ""
+    handed = ["doc_id", "was_null", *carry]
+    joined = rows.select(*handed, "rk", "text").join(spans, "rk", "left").select(*handed, "text", "spans")
+    added = T.StructType.fromDDL(
+        "n_bytes long, n_removed long, n_spans long, removed array<struct<start:long,end:long>>, kept_sha256 string"
+        + (", kept_text string" if keep_text else "")
+    )
+    schema = T.StructType([f for f in joined.schema.fields if f.name in handed] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,9 +210,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = True
                 if keep_text:
                     out["kept_text"].append(kept.decode("utf-8", errors="ignore"))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            columns = [batch.column("doc_id"), *(pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans"))]
+            columns = [batch.column(c) for c in handed]
+            columns += [pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")]
             columns += [pa.array(out["removed"], kind), pa.array(out["kept_sha256"], pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "removed", "kept_sha256"]
+            names = [*handed, "n_bytes", "n_removed", "n_spans", "removed", "kept_sha256"]
             if keep_text:
                 columns.append(pa.array(out["kept_text"], pa.string()))
                 names.append("kept_text")
