@@ -231,22 +231,17 @@ def main_text(page: str) -> str:
     keep: list[Node | str] = []
     on_path = set(map(id, path))
 
-    def gather(node: Node) -> None:
-        if node is chosen or node is marked:
-            keep.append(node)
-            return
-        for child in node.children:
-            if isinstance(child, str):
-                if node is not body or child.strip():
-                    keep.append(child)
-            elif child.cut:
-                continue
-            elif id(child) in on_path:
-                gather(child)
-            elif child.density >= threshold or child.name[0] == "h" and child.name[1:].isdigit():
-                keep.append(child)
-
-    gather(marked or body)
+    stack: list[Node | str] = [marked or body]
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str) or part is chosen or part is marked or id(part) not in on_path:
+            keep.append(part)
+            continue
+        for child in reversed(part.children):
+            if isinstance(child, str) or id(child) in on_path:
+                stack.append(child)
+            elif not child.cut and (child.density >= threshold or child.name[0] == "h" and child.name[1:].isdigit()):
+                stack.append(child)
     out: list[list[str]] = [[]]
     for part in keep:
         if isinstance(part, str):

@@ -47,7 +47,7 @@ def _sweep(batches: Iterator[pa.RecordBatch], rules: list[tuple[str, str, str, s
     """``rules``: (key, path, rule, verdict), sorted by key; the keys of the batches are sorted as well."""
     following, stack = 0, []  # the next rule to open, and the open ones: (key, its rules, longest first)
     for batch in batches:
-        names, verdicts = [], []
+        names, verdicts, sizes = [], [], []
         for key, path in zip(single(batch.column("key")).to_pylist(), single(batch.column("path")).to_pylist()):
             while stack and not key.startswith(stack[-1][0]):
                 stack.pop()
@@ -65,9 +65,10 @@ def _sweep(batches: Iterator[pa.RecordBatch], rules: list[tuple[str, str, str, s
             best = max(fits, key=lambda r: (len(r[2]), r[0], r[1]), default=None)
             names.append(best[2] if best else None)
             verdicts.append(best[3] if best else None)
+            sizes.append(len(best[0]) if best else None)
         columns = [batch.column(c) for c in ("page_id", "host", "path")]
-        columns += [pa.array(names, pa.string()), pa.array(verdicts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "rule", "rule_verdict"])
+        columns += [pa.array(names, pa.string()), pa.array(verdicts, pa.string()), pa.array(sizes, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "rule", "rule_verdict", "rule_host"])
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, rules_at_once: int = RULES_AT_ONCE) -> DataFrame:
@@ -103,12 +104,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, rules_at_once: int = RULES_AT
         own.sort(key=lambda r: (r[0].encode(), r[1].encode()))
         one = ordered.mapInArrow(
             lambda batches, own=own: _sweep(batches, own),
-            "page_id long, host string, path string, rule string, rule_verdict string",
+            "page_id long, host string, path string, rule string, rule_verdict string, rule_host int",
         )
         swept = one if swept is None else swept.unionByName(one)
     if slices > 1:
         key = ["page_id", "host", "path"]
-        order = F.struct(F.length("rule"), F.length("rule") - F.length("path"), "rule")
+        order = F.struct(F.length("rule"), "rule_host", "rule")
         best = swept.groupBy(*key).agg(
             F.max_by(F.struct("rule", "rule_verdict"), order).alias("best")
         ).select(*key, "best.rule", "best.rule_verdict")
