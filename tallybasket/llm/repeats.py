@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybasket.llm.common import Rolling, mixed, row_key, saved, single, sliding_least, small_batches, steps, text_or_empty
+from tallybasket.llm.common import Rolling, discard, mixed, row_key, saved, single, sliding_least, small_batches, steps, text_or_empty
 from tallybasket.llm.statistics import repeated
 
 LAST = (1 << 63) - 1
@@ -83,10 +83,22 @@ def candidates(docs: DataFrame, units: Units, length: int, part: int, name: str)
     every = saved(strings(docs, units, length, part), f"{name}-strings")
     met = saved(every.groupBy("m").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("m"), f"{name}-met")
     near = saved(every.join(met, "m", "left_semi"), f"{name}-near")
+    discard(every, met)
     first = near.groupBy("m", "g").agg(F.min(F.struct("ord", "rk", "pos")).alias("src"), F.max("n").alias("n"))
     return near, saved(first, f"{name}-first")
 
 
+def contested(first: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """First occurrences of strings whose ``m`` other strings have too, with their number ``strings``; and the table of these m.
+
+    Equal windows lie in strings of one m, at one place from the least part; so a string that is the only one
+    of its m shares a window with none but its own copies.
+    """
+    shared = first.groupBy("m").agg(F.count(F.lit(1)).alias("strings")).where(F.col("strings") > 1)
+    shared = saved(shared, f"{name}-shared")
+    return first.join(shared, "m"), shared
+
+
 def copies(near: DataFrame, first: DataFrame) -> DataFrame:
     """Occurrences of strings after their first: rk, pos, n, src."""
     found = near.join(first.select("m", "g", "src"), ["m", "g"])

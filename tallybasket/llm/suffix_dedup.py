@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybasket.llm import repeats
-from tallybasket.llm.common import Rolling, byte_values, bytes_of, saved, single, steps
+from tallybasket.llm.common import Rolling, byte_values, bytes_of, discard, saved, single, steps
 
 LENGTH = 100
-PART = 24
+PART = 32
 GROUP_STRINGS = 1000
 #: Windows that a task sorts at a time, whole groups and so at most about twice as many.
 SORT_WINDOWS = 100_000
@@ -144,8 +144,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, grou
     ``docs`` comes from ``repeats.documents``.
     """
     near, first = repeats.candidates(docs, _units, length, part, "suffix")
-    hot = saved(first.groupBy("m").agg(F.count("*").alias("c")).where(F.col("c") > group_strings).select("m", F.lit(True).alias("hot")), "suffix-hot")
-    marked = first.join(hot, "m", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    marked, shared = repeats.contested(first, "suffix")
+    marked = marked.withColumn("hot", F.col("strings") > group_strings)
     own = marked.groupBy(F.col("src.rk").alias("rk")).agg(
         F.collect_list(F.struct("m", F.col("src.pos").alias("pos"), "n", "hot")).alias("own")
     )
@@ -159,11 +159,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, grou
         least.select("grp", "src.ord", "src.rk", "src.pos", F.lit(1).alias("n"), "body")
     )
     later = _later_windows(whole.repartition("grp").sortWithinPartitions("grp"), length)
-    found = (
-        later.unionByName(repeated.select("rk", "pos", "n"))
-        .unionByName(repeats.copies(near, first).select("rk", "pos", "n"))
-    )
-    return found.groupBy("rk").agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
+    later = saved(later.unionByName(repeated.select("rk", "pos", "n")), "suffix-later")
+    discard(bodies, least, shared)
+    found = later.unionByName(repeats.copies(near, first).select("rk", "pos", "n"))
+    spans = saved(found.groupBy("rk").agg(F.collect_list(F.struct("pos", "n")).alias("spans")), "suffix-spans")
+    discard(near, first, later)
+    return spans
 
 
 def remove_repeats(
@@ -180,7 +181,7 @@ def remove_repeats(
     does not depend on ``part`` or group sizes.
     """
     rows = repeats.documents(docs, carry)
-    spans = saved(repeated_spans(rows, length), "suffix-spans")
+    spans = repeated_spans(rows, length)
     handed = ["doc_id", "was_null", *carry]
     joined = rows.select(*handed, "rk", "text").join(spans, "rk", "left").select(*handed, "text", "spans")
     added = T.StructType.fromDDL(
