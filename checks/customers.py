@@ -65,10 +65,8 @@ def selected(spark, sf_dir):
 
 
 def spenders(spark, sf_dir):
-    """Customers of single months, where some spent nothing."""
-    clean = t.clean(spark, sf_dir).where(F.col("UnitPrice") * 0 == 0)
-    monthly = clean.groupBy("CustomerID", "YearMonth").agg(F.sum("Amount").alias("Monetary"))
-    return t.comparable(prep.spend_audit(monthly))
+    """Customers with and without spend."""
+    return t.comparable(prep.spend_audit(ops.customer_features(t.clean(spark, sf_dir))))
 
 
 def with_gaps(spark, sf_dir):
@@ -325,7 +323,7 @@ ORACLES = {
     "c1_features_one_grouping": ALL_FEATURES_SQL,
     "b9_select_features": f"""WITH {t.FEATURES_SQL} SELECT "CustomerID", {_RFM}, {r('"AvgTransactionValue"')} AS "AvgTransactionValue",
   "CustomerLifetime", {r('"PurchaseFrequency"')} AS "PurchaseFrequency" FROM feat""",
-    "b10_spend_audit": f"""WITH {t.CLEAN_SQL}, m AS (SELECT sum("Amount") AS s FROM clean GROUP BY "CustomerID", "YearMonth")
+    "b10_spend_audit": f"""WITH {t.CLEAN_SQL}, m AS (SELECT sum("Amount") AS s FROM clean GROUP BY "CustomerID")
 SELECT count(*) AS customers, count(*) FILTER (s > 0) AS kept, count(*) FILTER (NOT coalesce(s > 0, false)) AS dropped_zero_spend FROM m""",
     "b11_fill_medians": f"""WITH {_GAPS} SELECT "CustomerID", {", ".join(
         r(f'coalesce(CAST("{c}" AS DOUBLE), (SELECT median("{c}") FROM gaps))') + f' AS "{c}"'

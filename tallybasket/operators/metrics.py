@@ -127,7 +127,10 @@ def silhouettes(
     )
     left = blocks.select(F.col("block").alias("i"), *[F.col(c).alias(f"a{c}") for c in "xgw"])
     right = blocks.select(F.col("block").alias("j"), *[F.col(c).alias(f"b{c}") for c in "xgw"])
+    # The kernel emits a block's sums when the next block begins, so a block's pairs must stand together in one
+    # task, whichever way the joins above were carried out.
     work = pairs.join(left, "i").join(right, "j").select("i", "ax", "ag", "aw", "bx", "bg", "bw")
+    work = work.repartition("i").sortWithinPartitions("i")
     sums = work.mapInPandas(
         _distance_sums(slots, len(labels)), "block long, pos int, w long, g array<long>, sums array<double>"
     )
@@ -137,7 +140,7 @@ def silhouettes(
         .agg(F.sum("d").alias("d"))
     )
     place = spark.createDataFrame([(s, c, i) for (s, c), i in slots.items()], "s int, c long, slot int")
-    spots = sizes.join(F.broadcast(place), ["s", "c"])
+    spots = sizes.join(place, ["s", "c"])
     own = F.element_at("g", F.col("s") + 1) == F.col("c")
     spread = per_cluster.join(spots, "slot").groupBy("block", "pos", "w", "s").agg(
         F.max(F.when(own, F.col("size"))).alias("mine"),
@@ -159,6 +162,10 @@ def silhouettes(
 def _distance_sums(slots: dict[tuple[int, int], int], n_labellings: int):
     """Kernel over pairs of blocks: per point of block ``i`` the weighted distance sums to each cluster."""
     width = len(slots)
+    # Per labelling its cluster ids in order, and the slots that belong to them.
+    known = [sorted((c, i) for (s, c), i in slots.items() if s == labelling) for labelling in range(n_labellings)]
+    ids = [np.array([c for c, _ in own], dtype=np.int64) for own in known]
+    slot_of = [np.array([i for _, i in own], dtype=np.int64) for own in known]
 
     def unpack(x, g, w) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         w = np.asarray(w, dtype=np.int64)
@@ -167,7 +174,7 @@ def _distance_sums(slots: dict[tuple[int, int], int], n_labellings: int):
     def membership(g: np.ndarray, w: np.ndarray) -> np.ndarray:
         out = np.zeros((len(g), width))
         for s in range(n_labellings):
-            out[np.arange(len(g)), [slots[(s, c)] for c in g[:, s].tolist()]] = w
+            out[np.arange(len(g)), slot_of[s][np.searchsorted(ids[s], g[:, s])]] = w
         return out
 
     def add_distances(total: np.ndarray, x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> None:

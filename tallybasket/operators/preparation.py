@@ -139,8 +139,11 @@ def feature_metadata(parameters: DataFrame, matrix: DataFrame) -> DataFrame:
 
 
 def align_to_model(features: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Exactly the model's features in the model's order; an absent column is 0 before scaling."""
+    """Exactly the model's features in the model's order; an absent column and a missing value are 0 before scaling."""
     picked = [
-        F.col(c).cast("double").alias(c) if c in features.columns else F.lit(0.0).alias(c) for c in names
+        F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c)
+        if c in features.columns
+        else F.lit(0.0).alias(c)
+        for c in names
     ]
     return features.select("CustomerID", *picked)

@@ -58,7 +58,7 @@ def segment_distribution(clustered: DataFrame, dim: DataFrame) -> DataFrame:
     )
     return (
         cluster_of_name(by_name, dim)
-        .join(F.broadcast(dim.select("Cluster", "description")), "Cluster", "left")
+        .join(dim.select("Cluster", "description"), "Cluster", "left")
         .select(
             "Segment_Name",
             F.col("Cluster").alias("cluster_id"),

@@ -1,11 +1,11 @@
-"""Exact order statistics and quantiles without gathering a group's values in one task.
-
-Spark's exact ``percentile`` keeps every distinct value of a group in the memory of
-one task. Here a mergeable sketch first gives, for each wanted rank, two values of the
-column that surround it. A second pass counts: values between the two keep their
-identity, all others fall into one counter per gap. Cumulative counts over the few rows
-that remain give the exact element at each rank. Both passes combine on the map side,
-so neither a hot group nor a value held by a third of the rows reaches a task whole.
+"""Exact order statistics and quantiles by radix selection, without gathering a group in one task.
+
+Every value has a 64-bit key that sorts as the value does. Four passes fix sixteen bits of the key at
+each wanted rank: a pass counts the values that share the bits found so far by their next sixteen, sums
+these counts in order, and keeps the cell the rank falls into. A pass sums at most 65,536 cells for each
+group and found prefix, whatever the number of rows or distinct values; counts combine on the map side, so a
+value held by a third of the rows is one counted row. Equal values are counted once, in a written
+table that all passes read.
 """
 
 from __future__ import annotations
@@ -14,91 +14,96 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybasket.session import materialize
 
-SKETCH_ACCURACY = 10_000
-EVEN_GRID = tuple(i / 200 for i in range(201))
+DIGIT_BITS = 16
+PASSES = 4
+MANTISSA = 1 << 52
+SMALLEST_EXPONENT = -1022
+
+
+def double_key(value: Column) -> Column:
+    """A long that sorts as the double does: the bits of its magnitude, negated for negative values.
+
+    NaN counts as missing before this is called; both zeros get 0.
+    """
+    size = F.abs(value)
+    raw = F.floor(F.log2(size))
+    # The logarithm may round across a power of two.
+    raw = F.when(F.pow(F.lit(2.0), raw) > size, raw - 1).when(F.pow(F.lit(2.0), raw + 1) <= size, raw + 1).otherwise(raw)
+    exponent = F.greatest(raw, F.lit(SMALLEST_EXPONENT))
+    # Divided in two steps, since two to the power of 1,074 is no double.
+    half = F.floor(exponent / 2)
+    scaled = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), exponent - half)
+    mantissa = (scaled * F.lit(float(MANTISSA))).cast("long")
+    # A normal number's leading one carries into the exponent field, as it is one too low.
+    bits = (exponent - SMALLEST_EXPONENT).cast("long") * F.lit(MANTISSA) + mantissa
+    bits = F.when(size == 0, F.lit(0)).when(size == float("inf"), F.lit(2047 * MANTISSA)).otherwise(bits)
+    return F.when(value < 0, -bits).otherwise(bits).cast("long")
+
+
+def sort_key(df: DataFrame, value: str) -> Column:
+    kind = df.schema[value].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.col(value).cast("long")
+    return double_key(F.col(value).cast("double"))
 
 
 def order_statistics(
-    rows: DataFrame,
-    by: Sequence[str],
-    value: str,
-    ranks: Callable[[Column], Sequence[Column]],
-    near: Sequence[float] | None = None,
-    accuracy: int = SKETCH_ACCURACY,
+    rows: DataFrame, by: Sequence[str], value: str, ranks: Callable[[Column], Sequence[Column]]
 ) -> DataFrame:
     """Elements of ``value`` at given 0-based ranks within each group of ``by``.
 
-    ``ranks`` maps the group's row count to rank columns. ``near`` names the quantiles
-    the ranks lie at, which keeps the brackets narrow; without it an even grid serves.
-    Gives one row per group: ``by``, ``n`` and ``stats``, an array of
-    ``(rank, value, before, ties)`` in the order of ``ranks``. Missing values are left out.
+    ``ranks`` maps the group's row count to rank columns, which may use the columns of ``by``. Gives one row
+    per group: ``by``, ``n`` and ``stats``, an array of ``(rank, value, before, ties)`` in the order of ``ranks``;
+    NULL for a rank outside the group. Missing values are left out, and groups with a NULL among their keys.
     """
     by = list(by)
-    slack = 3.0 / accuracy
-    if near is None:
-        grid = list(EVEN_GRID)
-    else:
-        grid = sorted({min(max(p + s * 5.0 / accuracy, 0.0), 1.0) for p in near for s in (-1, 1)})
-    points = F.array(*[F.lit(p) for p in grid])
-    rows = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-
-    def bracket(rank: Column) -> Column:
-        at = rank / F.greatest(F.col("n") - 1, F.lit(1))
-        return F.struct(
-            rank.cast("long").alias("rank"),
-            F.array_max(F.filter("_grid", lambda g: g["p"] <= at - slack))["v"].alias("lo"),
-            F.array_min(F.filter("_grid", lambda g: g["p"] >= at + slack))["v"].alias("hi"),
+    present = F.col(value).isNotNull()
+    if isinstance(rows.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan(value)
+    counted = rows.where(present).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialize(counted.withColumn("_key", sort_key(counted, "_v")), "order-counts")
+    groups = counted.groupBy(*by).agg(F.sum("_n").alias("n"))
+    wanted = groups.select(*by, "n", F.posexplode(F.array(*[r.cast("long") for r in ranks(F.col("n"))])).alias("_i", "_rank"))
+    found = wanted.withColumn("_prefix", F.lit(0).cast("long")).withColumn("_before", F.lit(0).cast("long"))
+    found = found.where((F.col("_rank") >= 0) & (F.col("_rank") < F.col("n"))).drop("n")
+    for step in range(1, PASSES + 1):
+        shift = DIGIT_BITS * (PASSES - step)
+        # The prefixes of all ranks of a group that share them are counted once.
+        open_cells = found.select(*by, "_prefix").distinct()
+        prefix = F.shiftright("_key", shift + DIGIT_BITS) if step > 1 else F.lit(0).cast("long")
+        inside = counted.withColumn("_prefix", prefix).join(open_cells, [*by, "_prefix"])
+        cells = inside.groupBy(*by, "_prefix", F.shiftright("_key", shift).alias("_cell")).agg(
+            F.sum("_n").alias("_n"), F.max("_v").alias("_v")
         )
-
-    sketch = rows.groupBy(*by).agg(
-        F.count("_v").alias("n"), F.percentile_approx("_v", points, accuracy).alias("_at")
-    )
-    wanted = ranks(F.col("n"))
-    sketch = sketch.withColumn("_grid", F.arrays_zip(points.alias("p"), F.col("_at").alias("v")))
-    sketch = sketch.select(*by, "n", F.array(*[bracket(r) for r in wanted]).alias("_want"))
-    sketch = materialize(sketch, "quantile-brackets")
-
-    # In a group this small every value keeps its identity, whatever the sketch said.
-    keep = F.col("n") <= F.lit(20 * accuracy)
-    below = []
-    for i in range(len(wanted)):
-        lo, hi = F.col("_want")[i]["lo"], F.col("_want")[i]["hi"]
-        keep = keep | ((lo.isNull() | (F.col("_v") >= lo)) & (hi.isNull() | (F.col("_v") <= hi)))
-        below.append(F.when(F.col("_v") > hi, hi))
-    floor_value = F.greatest(*below) if len(below) > 1 else below[0]
-    counted = (
-        rows.join(sketch, by)
-        .select(*by, F.when(keep, F.col("_v")).otherwise(floor_value).alias("_v"), (~keep).cast("int").alias("_gap"))
-        .groupBy(*by, "_v", "_gap")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    running = Window.partitionBy(*by).orderBy(F.asc_nulls_first("_v"), "_gap")
-    placed = counted.withColumn("_end", F.sum("_n").over(running)).join(sketch, by)
-    hits = []
-    for i in range(len(wanted)):
-        rank = F.col("_want")[i]["rank"]
-        inside = (F.col("_gap") == 0) & (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
-        hits.append(
-            F.max(
-                F.when(
-                    inside,
-                    F.struct(
-                        rank.alias("rank"),
-                        F.col("_v").alias("value"),
-                        (F.col("_end") - F.col("_n")).alias("before"),
-                        F.col("_n").alias("ties"),
-                    ),
-                )
+        running = Window.partitionBy(*by, "_prefix").orderBy("_cell")
+        cells = cells.withColumn("_upto", F.sum("_n").over(running))
+        at = F.col("_rank") - F.col("_before")
+        found = (
+            found.join(cells, [*by, "_prefix"])
+            .where((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n")))
+            .select(
+                *by,
+                "_i",
+                "_rank",
+                F.col("_cell").alias("_prefix"),
+                (F.col("_before") + F.col("_upto") - F.col("_n")).alias("_before"),
+                "_v",
+                F.col("_n").alias("_ties"),
             )
         )
-    missed = F.raise_error(F.lit("a rank fell outside its bracket; raise the sketch accuracy"))
-    found = placed.groupBy(*by).agg(F.max("n").alias("n"), F.array(*hits).alias("stats"))
-    return found.withColumn(
-        "stats", F.transform("stats", lambda s: F.when(s.isNotNull(), s).otherwise(missed))
+        # One small row per rank: written, since the next pass reads it twice.
+        found = materialize(found if step == PASSES else found.drop("_v", "_ties"), "order-found")
+    stat = F.struct(
+        F.col("_rank").alias("rank"), F.col("_v").alias("value"), F.col("_before").alias("before"), F.col("_ties").alias("ties")
     )
+    placed = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_i", stat))).alias("_stats"))
+    count = len(ranks(F.col("n")))
+    stats = F.array(*[F.col("_stats")[F.lit(i)] for i in range(count)])
+    return groups.join(placed, by, "left").select(*by, "n", stats.alias("stats"))
 
 
 def unpivot_metrics(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -108,11 +113,7 @@ def unpivot_metrics(df: DataFrame, keys: Sequence[str], metrics: Sequence[str])
 
 
 def exact_quantiles(
-    df: DataFrame,
-    metrics: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = SKETCH_ACCURACY,
+    df: DataFrame, metrics: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated quantiles per group and metric: ``by``, ``metric``, ``n``, ``q``."""
     keys = [*by, "metric"]
@@ -123,9 +124,7 @@ def exact_quantiles(
             out += [F.floor(F.lit(p) * (n - 1)), F.ceil(F.lit(p) * (n - 1))]
         return out
 
-    stats = order_statistics(
-        unpivot_metrics(df, list(by), metrics), keys, "value", ranks, near=probabilities, accuracy=accuracy
-    )
+    stats = order_statistics(unpivot_metrics(df, list(by), metrics), keys, "value", ranks)
     values = []
     for i, p in enumerate(probabilities):
         lower, upper = F.col("stats")[2 * i], F.col("stats")[2 * i + 1]

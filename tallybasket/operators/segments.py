@@ -99,8 +99,8 @@ def segment_dimension(spark: SparkSession, rows=None) -> DataFrame:
 
 
 def _names(dim: DataFrame) -> DataFrame:
-    """Id and name of each segment. The dimension is built from a list on the driver, so it is small."""
-    return F.broadcast(dim.select("Cluster", "Segment_Name"))
+    """Id and name of each segment. The planner decides by its size whether to broadcast it."""
+    return dim.select("Cluster", "Segment_Name")
 
 
 def with_segment_name(df: DataFrame, dim: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def segment_info(clustered: DataFrame, dim: DataFrame, segment_id: int | None =
             .withColumn("percentage", F.coalesce("percentage", F.lit(0.0)))
         )
     described = with_segment_label(stats, dim).join(
-        F.broadcast(dim.select("Cluster", "description")), "Cluster", "left"
+        dim.select("Cluster", "description"), "Cluster", "left"
     )
     return described.select(
         F.col("Cluster").alias("segment_id"),

@@ -25,7 +25,7 @@ def tile_edges(df: DataFrame, tiles: int, keys: list[str], tie_break: str) -> Da
         size, extra = F.floor(n / tiles), n % tiles
         return [t * size + F.least(F.lit(t), extra) - 1 for t in range(1, tiles)]
 
-    at = order_statistics(long, ["metric"], "value", last_ranks, near=[t / tiles for t in range(1, tiles)])
+    at = order_statistics(long, ["metric"], "value", last_ranks)
     edges = materialize(
         at.select("metric", F.posexplode("stats").alias("tile", "s"))
         .select("metric", "tile", F.col("s.value").alias("value"), (F.col("s.rank") - F.col("s.before")).alias("place"))

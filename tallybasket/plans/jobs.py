@@ -45,11 +45,18 @@ def find_optimal_clusters(
     return table, metrics.elbow(table).first()["elbow_k"], metrics.best_silhouette(table).first()["best_silhouette_k"]
 
 
+def best_training_job(spark: SparkSession, folder: str, max_clusters: int = 10, restarts: int = kmeans.RESTARTS) -> Training:
+    """Train with the k whose silhouette was best in the sweep."""
+    _, _, best = find_optimal_clusters(spark, folder, max_clusters, restarts)
+    return training_job(spark, folder, best, restarts)
+
+
 def training_job(
     spark: SparkSession, folder: str, k: int = 4, restarts: int = kmeans.RESTARTS, with_silhouette: bool = True
 ) -> Training:
     """Fit, measure, project and save; clusters are numbered by mean spend, greatest first.
 
+    Fewer distinct customers than ``k`` give fewer clusters; the number fitted is the one saved.
     The silhouette is quadratic in the number of customers and can be left out.
     """
     scaled, full, scaler = artefacts.load_features(spark, folder)
@@ -59,12 +66,12 @@ def training_job(
         raise ValueError("the scaled table holds customers that the full table lacks")
     fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts)
     as_fitted = kmeans.assign_clusters(scaled, names, fit.centres)
-    fit = replace(fit, order=kmeans.spend_order(clusters.attach_clusters(full, as_fitted), k))
+    fit = replace(fit, order=kmeans.spend_order(clusters.attach_clusters(full, as_fitted), fit.k))
     labelled = materialize(kmeans.assign_clusters(scaled, names, fit.centres), "labels")
     silhouette = F.lit(None).cast("double")
     if with_silhouette:
         silhouette = metrics.silhouettes(labelled, ["Cluster"], names).select("silhouette").scalar()
-    scores = spark.createDataFrame([(k, fit.inertia)], "k int, inertia double").select(
+    scores = spark.createDataFrame([(fit.k, fit.inertia)], "k int, inertia double").select(
         "*",
         silhouette.alias("silhouette"),
         metrics.davies_bouldin(labelled, "Cluster", names).scalar().alias("davies_bouldin"),

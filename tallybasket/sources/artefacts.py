@@ -80,7 +80,9 @@ def load_clustered(spark: SparkSession, folder: str) -> DataFrame:
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(f"{path}/metadata")
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 

@@ -9,6 +9,7 @@ from checks import tables as t
 from tallybasket.operators import cleaning, features, metrics, profile, segments
 from tallybasket.operators.quantiles import exact_quantiles
 from tallybasket.session import materialize
+from tallybasket.sources import transactions
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +68,37 @@ def test_large_sides_are_not_broadcast(spark):
         assert "BroadcastHashJoin" not in plan(got) and got.count() == 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_range_of_months_reads_its_folders_only(spark, tmp_path):
+    path = transactions.write_clean_table(t.clean(spark, SF), str(tmp_path / "months"))
+    some = transactions.read_parquet_table(spark, path).where(F.col("YearMonth").between("1996-01", "1997-12"))
+    assert "PartitionFilters: [isnotnull(YearMonth" in plan(some) and 0 < some.count() < t.clean(spark, SF).count()
+
+
+def test_silhouette_emits_each_point_once_whatever_the_join(spark):
+    """One row per point leaves the kernel also when its blocks were joined by shuffles."""
+    points = spark.range(400).select(F.col("id").alias("CustomerID"), F.rand(1).alias("x"), F.rand(2).alias("y"), (F.col("id") % 3).alias("c"))
+    points = materialize(points, "points")
+    seen = []
+    kernel = metrics._distance_sums
+
+    def counting(slots, n):
+        inner, rows = kernel(slots, n), spark.sparkContext.accumulator(0)
+        seen.append(rows)
+
+        def run(batches):
+            for out in inner(batches):
+                rows.add(len(out))
+                yield out
+
+        return run
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    metrics._distance_sums = counting
+    try:
+        assert metrics.silhouettes(points, ["c"], ["x", "y"], block_rows=20).count() == 1
+    finally:
+        metrics._distance_sums = kernel
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen[0].value == 400

@@ -13,19 +13,22 @@ METRICS = ["Recency", "Frequency", "Monetary", "AvgTransactionValue", "CustomerL
 
 @pytest.fixture(scope="module")
 def frame():
-    rng = np.random.default_rng(42)
-    n = 100
+    """Uneven clusters, skewed spend, and many ties among days and counts."""
+    rng = np.random.default_rng(7)
+    n = 137
+    spend = rng.lognormal(5, 1.5, n).round(1)
+    visits = rng.geometric(0.3, n)
     return pd.DataFrame(
         {
-            "CustomerID": range(1, n + 1),
-            "Cluster": rng.integers(0, 4, n).astype("int32"),
-            "Recency": rng.integers(1, 365, n),
-            "Frequency": rng.integers(1, 50, n),
-            "Monetary": rng.uniform(10, 10_000, n),
-            "AvgTransactionValue": rng.uniform(5, 500, n),
-            "CustomerLifetime": rng.integers(1, 365, n),
-            "PurchaseFrequency": rng.uniform(0.1, 5, n),
-            "TotalTransactions": rng.integers(1, 200, n),
+            "CustomerID": 1000 + 3 * np.arange(n),
+            "Cluster": rng.choice(4, n, p=[0.15, 0.55, 0.2, 0.1]).astype("int32"),
+            "Recency": 7 * rng.integers(0, 40, n),
+            "Frequency": visits,
+            "Monetary": spend,
+            "AvgTransactionValue": spend / visits,
+            "CustomerLifetime": 30 * rng.integers(0, 9, n) + 1,
+            "PurchaseFrequency": rng.choice([0.5, 1.0, 2.0], n),
+            "TotalTransactions": visits + rng.poisson(4, n),
         }
     )
 
@@ -97,21 +100,21 @@ def test_revenue_sums(clustered, dim, frame):
 
 def test_summary_from_given_analyses(spark):
     distribution = spark.createDataFrame(
-        [("A", 0, 200, 20.0, "", 1000), ("B", 1, 300, 30.0, "", 1000), ("C", 2, 500, 50.0, "", 1000)],
+        [("North", 3, 36, 9.0, "", 400), ("East", 1, 124, 31.0, "", 400), ("West", 2, 240, 60.0, "", 400)],
         "Segment_Name string, cluster_id int, count long, percentage double, description string, total_customers long",
     )
     revenue = spark.createDataFrame(
-        [("A", 500_000.0, 2500.0, 50.0), ("B", 300_000.0, 1000.0, 30.0), ("C", 200_000.0, 4000.0, 20.0)],
+        [("North", 81_250.0, 2256.94, 65.0), ("East", 31_250.0, 252.02, 25.0), ("West", 12_500.0, 52.08, 10.0)],
         "Segment_Name string, Total_Revenue double, Avg_Revenue_per_Customer double, Revenue_Percentage double",
     )
-    row = profile.executive_summary(distribution, revenue, dt.date(2024, 5, 6)).first()
-    assert (row["date"], row["total_customers"], row["segments_identified"]) == ("2024-05-06", 1000, 3)
-    assert row["key_findings"][1:] == ["Largest segment: C (50.0% of customers)", "Smallest segment: A (20.0% of customers)"]
+    row = profile.executive_summary(distribution, revenue, dt.date(2025, 10, 31)).first()
+    assert (row["date"], row["total_customers"], row["segments_identified"]) == ("2025-10-31", 400, 3)
+    assert row["key_findings"][1:] == ["Largest segment: West (60.0% of customers)", "Smallest segment: North (9.0% of customers)"]
     assert row["business_impact"] == [
-        "Revenue concentration: A contributes 50.0% of total revenue",
-        "Customer value range: $2500.00 to $4000.00 per customer",
+        "Revenue concentration: North contributes 65.0% of total revenue",
+        "Customer value range: $252.02 to $52.08 per customer",
     ]
-    assert (row["least_mean_revenue"], row["greatest_mean_revenue"]) == (1000.0, 4000.0)
+    assert (row["least_mean_revenue"], row["greatest_mean_revenue"]) == (52.08, 2256.94)
 
 
 def test_equal_sizes_are_decided_by_name(spark, dim):
@@ -136,7 +139,7 @@ def test_report_parses(clustered, dim):
     row = profile.full_report(clustered, dim, dt.date(2024, 1, 1)).select(F.to_json(F.struct("*")).alias("j")).first()
     report = json.loads(row["j"])
     assert set(report) == {"distribution", "characteristics", "revenue", "recommendations", "executive_summary"}
-    assert report["distribution"]["total_customers"] == 100
+    assert report["distribution"]["total_customers"] == 137
     assert set(report["characteristics"]["VIP Customers"]["metrics"]) == set(METRICS)
 
 
