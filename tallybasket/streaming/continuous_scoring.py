@@ -5,7 +5,8 @@ the history; the customers it touches are scored again from all their days. Batc
 to folders named after their id and replace them on replay, so a restart repeats nothing.
 
 A customer's features are sums, counts, minima and maxima over days, so days are all the
-history has to keep. No watermark: the features need the complete history.
+history has to keep. No watermark: the features need the complete history. History lies in
+folders by a hash of the customer, so a batch lists and reads only the buckets it touches.
 """
 
 from __future__ import annotations
@@ -24,8 +25,23 @@ from tallybasket.schemas import SCORING_INPUT_TEXT
 
 HISTORY_SCHEMA = (
     "CustomerID long, day date, n long, amount double, n_amount long, quantity long, "
-    "first timestamp, last timestamp, batch_id long"
+    "first timestamp, last timestamp, batch_id long, bucket int"
 )
+#: Folders that customers are spread over by a hash; fixed for the life of a history.
+BUCKETS = 256
+
+
+def bucket_of(customer: Column) -> Column:
+    return F.pmod(F.xxhash64(customer), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def touched_history(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """All days up to a batch of the customers in it; reads no bucket without one of them."""
+    history = spark.read.schema(HISTORY_SCHEMA).parquet(f"{folder}/history").where(F.col("batch_id") <= batch_id)
+    touched = history.where(F.col("batch_id") == batch_id).select("CustomerID", "bucket").distinct()
+    # At most BUCKETS numbers, so that the filter prunes folders before anything is read.
+    buckets = sorted(r["bucket"] for r in touched.select("bucket").distinct().collect())
+    return history.where(F.col("bucket").isin(buckets)).join(touched, ["CustomerID", "bucket"], "left_semi")
 
 
 def read_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,12 +98,14 @@ def score_days(days: DataFrame, model: scoring.Artefacts, as_of: dt.datetime | C
 def _batch_writer(folder: str, model: scoring.Artefacts, as_of: dt.datetime | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()
         valid, refused = split_scoring_rows(batch)
         refused.write.mode("overwrite").parquet(f"{folder}/refused/batch_id={batch_id}")
-        by_day(valid).write.mode("overwrite").parquet(f"{folder}/history/batch_id={batch_id}")
-        history = spark.read.schema(HISTORY_SCHEMA).parquet(f"{folder}/history").where(F.col("batch_id") <= batch_id)
-        touched = history.where(F.col("batch_id") == batch_id).select("CustomerID").distinct()
-        days = history.join(touched, "CustomerID", "left_semi")
+        days = by_day(valid).withColumn("bucket", bucket_of(F.col("CustomerID")))
+        days = days.repartition("bucket", F.pmod(F.xxhash64("CustomerID", "day"), F.lit(8)))
+        days.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/history/batch_id={batch_id}")
+        batch.unpersist()
+        days = touched_history(spark, folder, batch_id)
         until = F.lit(as_of) if as_of is not None else F.current_timestamp()
         score_days(days, model, until).write.mode("overwrite").parquet(f"{folder}/scores/batch_id={batch_id}")
 

@@ -153,3 +153,36 @@ def test_replayed_batch_changes_nothing(spark, folder, tmp_path):
     before = sorted(map(tuple, stream.current_scores(spark, str(tmp_path)).collect()))
     write(batch, 0)
     assert sorted(map(tuple, stream.current_scores(spark, str(tmp_path)).collect())) == before
+
+
+def test_a_batch_reads_touched_buckets_only(spark, folder, tmp_path):
+    """The second batch has one customer: of the first one's history only that customer's bucket is read."""
+    model = artefacts.load_artefacts(spark, folder)
+    write = stream._batch_writer(str(tmp_path), model, AS_OF)
+    rows = scoring_rows(spark, 60)
+    one = rows.select("CustomerID").first()["CustomerID"]
+    write(rows, 0)
+    write(rows.where(F.col("CustomerID") == one), 1)
+    days = stream.touched_history(spark, str(tmp_path), 1)
+    assert {r["CustomerID"] for r in days.collect()} == {one}
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    scores = spark.read.parquet(f"{tmp_path}/scores")
+    assert scores.where("batch_id = 1").count() == 1
+
+
+def test_missing_values_are_zero_before_scaling(spark):
+    from tallybasket.operators.preparation import align_to_model
+
+    rows = spark.createDataFrame([(1, None, 2.0), (2, float("nan"), 3.0)], "CustomerID long, a double, b double")
+    assert [tuple(r) for r in align_to_model(rows, ["a", "b", "c"]).collect()] == [(1, 0.0, 2.0, 0.0), (2, 0.0, 3.0, 0.0)]
+
+
+def test_more_clusters_than_distinct_points(spark):
+    from tallybasket.operators import clusters, kmeans
+
+    points = spark.createDataFrame([(i, float(i % 2), 0.0, float(i)) for i in range(8)], "CustomerID long, a double, b double, Monetary double")
+    fit = kmeans.fit_kmeans(points, ["a", "b"], 4, restarts=1)
+    labelled = kmeans.assign_clusters(points, ["a", "b"], fit.centres)
+    order = kmeans.spend_order(labelled, fit.k)
+    assert fit.k < 4 and len(kmeans.ordered_centres(fit.model, order)) == fit.k
