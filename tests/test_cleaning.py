@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from tallybasket import schemas
 from tallybasket.operators import cleaning

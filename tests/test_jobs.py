@@ -179,8 +179,6 @@ def test_missing_values_are_zero_before_scaling(spark):
 
 
 def test_more_clusters_than_distinct_points(spark):
-    from tallybasket.operators import clusters, kmeans
-
     points = spark.createDataFrame([(i, float(i % 2), 0.0, float(i)) for i in range(8)], "CustomerID long, a double, b double, Monetary double")
     fit = kmeans.fit_kmeans(points, ["a", "b"], 4, restarts=1)
     labelled = kmeans.assign_clusters(points, ["a", "b"], fit.centres)
