@@ -9,6 +9,19 @@ from tallybasket.llm import bpe, debruijn_dedup, html_text, mixing, quality_mode
 from tallybasket.llm.common import table
 
 
+#: The words of every window of 20 as one text; windows after the first of their kind cover what goes.
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS n, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS size FROM d),
+v AS (SELECT *, CASE WHEN i + 19 <= size THEN string_agg(word, ' ') OVER
+        (PARTITION BY n ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS win FROM t),
+r AS (SELECT *, win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1 AS later FROM v),
+g AS (SELECT *, bool_or(later) OVER (PARTITION BY n ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM r),
+k AS (SELECT n, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM g GROUP BY n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (n)"""
+
+
 def vocabulary() -> str:
     """Path of the given byte-level vocabulary."""
     import public_tokenizers
@@ -136,4 +149,4 @@ QUERIES = {
     "op9_quality_model": op9_quality_model,
     "op10_simhash": op10_simhash,
 }
-ORACLES = {"op4_mix_sources": OP4_SQL, "op6_top_k": OP6_SQL, "op8_url_rules": OP8_SQL}
+ORACLES = {"op1_debruijn_dedup": OP1_SQL, "op4_mix_sources": OP4_SQL, "op6_top_k": OP6_SQL, "op8_url_rules": OP8_SQL}
