@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybasket.llm import repeats
-from tallybasket.llm.common import Rolling, bytes_of, mixed, saved, single, steps, word_values, words_of
+from tallybasket.llm.common import Rolling, bytes_of, discard, mixed, saved, single, steps, word_values, words_of
 
 WORDS = 20
-PART = 8
+PART = 11
 
 
 def _units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -38,11 +38,11 @@ def _units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_values(data, starts, ends), first
 
 
-EDGES = "k1 long, k2 long, ord long, rk long, pos long, head boolean, ext long"
+EDGES = "k1 long, k2 long, ord long, rk long, pos long, ext long"
 
 
 def _edges(owned: DataFrame, words: int) -> DataFrame:
-    """A row per window of every owned string: key, place, whether it is its string's first, and the two neighbour words.
+    """A row per window of every owned string: key, place, and the two neighbour words.
 
     ``ext`` holds 32 bits of the word before and 32 of the word after; the document's ends count as words of their own.
     """
@@ -54,7 +54,7 @@ def _edges(owned: DataFrame, words: int) -> DataFrame:
             for a, b in steps(texts):
                 values, first = _units(texts[a:b])
                 row, f = repeats.own_arrays(own[a:b])
-                which, pos, offset = repeats.enumerate_windows(f["pos"], f["n"].astype(np.int64))
+                which, pos, _ = repeats.enumerate_windows(f["pos"], f["n"].astype(np.int64))
                 row = row[which]
                 at = first[row] + pos
                 k1 = Rolling(values).spans(at, at + words)
@@ -62,8 +62,8 @@ def _edges(owned: DataFrame, words: int) -> DataFrame:
                 before = np.where(at > first[row], values[np.maximum(at - 1, 0)], np.uint64(1)) >> np.uint64(32)
                 after = np.where(at + words < first[row + 1], values[np.minimum(at + words, len(values) - 1)], np.uint64(1)) >> np.uint64(32)
                 ext = (before << np.uint64(32)) | after
-                columns = [k1.view(np.int64), k2.view(np.int64), ords[a:b][row], rks[a:b][row], pos, offset == 0, ext.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k1", "k2", "ord", "rk", "pos", "head", "ext"])
+                columns = [k1.view(np.int64), k2.view(np.int64), ords[a:b][row], rks[a:b][row], pos, ext.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k1", "k2", "ord", "rk", "pos", "ext"])
 
     return owned.mapInArrow(run, EDGES)
 
@@ -165,7 +165,8 @@ def verified_spans(rows: DataFrame, words: int = WORDS, part: int = PART) -> Dat
     """``rk`` and ``spans`` (array of pos, n in windows, sha of the source's words) of documents that repeat something."""
     near, first = repeats.candidates(rows, _units, words, part, "debruijn")
     copied = repeats.copies(near, first).select("rk", "pos", "n", F.col("src.rk").alias("srk"), F.col("src.pos").alias("spos"))
-    edges = saved(_edges(repeats.with_text(first, rows), words), "debruijn-edges")
+    marked, shared = repeats.contested(first, "debruijn")
+    edges = saved(_edges(repeats.with_text(marked, rows), words), "debruijn-edges")
     both, any_bit = F.bit_and("ext"), F.bit_or("ext")
     met = edges.groupBy("k1", "k2").agg(
         F.min(F.struct("ord", "rk", "pos")).alias("src"), F.count("*").alias("c"), both.bitwiseXOR(any_bit).alias("differ")
@@ -183,6 +184,7 @@ def verified_spans(rows: DataFrame, words: int = WORDS, part: int = PART) -> Dat
     paths = _paths(placed.groupBy("rk").agg(F.collect_list(edge).alias("edges")))
     glued = copied.unionByName(paths).groupBy("rk").agg(F.collect_list(F.struct("pos", "n", "srk", "spos")).alias("paths"))
     spans = saved(_compact(glued), "debruijn-spans")
+    discard(near, first, shared, edges, met)
     asked = spans.select("srk", "spos", "n").distinct().groupBy(F.col("srk").alias("rk"))
     asked = asked.agg(F.collect_list(F.struct("spos", "n")).alias("asked"))
     digests = saved(_span_digests(rows.select("rk", "text").join(asked, "rk"), words).distinct(), "debruijn-digests")
