@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybasket.llm.common import single, text_or_empty
+from tallybasket.llm.common import prepare_tasks, single, text_or_empty
 
 #: Unicode white space, as the vocabulary's pattern means it (fixed values).
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -258,5 +258,6 @@ def encode_texts(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame
             columns += [pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
 
+    prepare_tasks(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, schema)

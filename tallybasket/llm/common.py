@@ -7,8 +7,10 @@ the UTF-8 bytes of many texts at once, so numpy runs over a megabyte and not ove
 from __future__ import annotations
 
 import gc
+import os
 from collections.abc import Iterator
 from functools import reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -178,9 +180,18 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(level[:n], level[width - have : width - have + n]) if have < width else level[:n]
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the bytes of an Arrow batch, since a batch of many long texts would not fit in memory."""
+def prepare_tasks(spark: SparkSession) -> None:
+    """Settings of the tasks that run Python.
+
+    The bytes of an Arrow batch are bounded, since a batch of many long texts would not fit in memory. The
+    folder this package was imported from goes onto the tasks' import path, for drivers that put it onto
+    their own alone.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

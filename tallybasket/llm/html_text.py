@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybasket.llm.common import single
+from tallybasket.llm.common import prepare_tasks, single
 
 #: Element names of the HTML standard (fixed values).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -269,6 +269,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
             columns.append(pa.array(map(len, texts), pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
+    prepare_tasks(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),

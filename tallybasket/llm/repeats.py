@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybasket.llm.common import Rolling, discard, mixed, row_key, saved, single, sliding_least, small_batches, steps, text_or_empty
+from tallybasket.llm.common import Rolling, discard, mixed, prepare_tasks, row_key, saved, single, sliding_least, steps, text_or_empty
 from tallybasket.llm.statistics import repeated
 
 LAST = (1 << 63) - 1
@@ -31,7 +31,7 @@ Units = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 def documents(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id``, ``was_null``, the columns in ``carry``, ``text`` (null: empty), ``ord`` and ``rk``."""
-    small_batches(docs.sparkSession)
+    prepare_tasks(docs.sparkSession)
     doc_id, was_null = F.col("doc_id").cast("long").alias("doc_id"), F.col("text").isNull().alias("was_null")
     rows = docs.select(doc_id, was_null, *carry, text_or_empty().alias("text"))
     return rows.withColumn("ord", F.coalesce("doc_id", F.lit(LAST))).withColumn("rk", row_key())

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybasket.llm.common import bytes_of, saved, single, small_batches, steps, text_or_empty, words_of
+from tallybasket.llm.common import bytes_of, prepare_tasks, saved, single, steps, text_or_empty, words_of
 from tallybasket.operators.components import connected_components
 
 SEED = 42
@@ -80,7 +80,7 @@ def fingerprints_of(texts: pa.Array, shingle_words: int) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id`` (long, may be null), the columns in ``carry`` and ``fp`` (long: the fingerprint's bits) of every row."""
-    small_batches(docs.sparkSession)
+    prepare_tasks(docs.sparkSession)
     names = ["doc_id", *carry, "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallybasket.llm.common import Rolling, byte_values, bytes_of, is_space, mixed, single, small_batches, steps, words_of
+from tallybasket.llm.common import Rolling, byte_values, bytes_of, is_space, mixed, prepare_tasks, single, steps, words_of
 
 COLUMNS = [
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower", "n_digits", "n_punctuation",
@@ -125,7 +125,7 @@ def statistics_of(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def with_statistics(rows: DataFrame) -> DataFrame:
     """Replace column ``text`` (no nulls) of ``rows`` by the columns of ``COLUMNS`` (long)."""
-    small_batches(rows.sparkSession)
+    prepare_tasks(rows.sparkSession)
     kept = [f for f in rows.schema.fields if f.name != "text"]
     names = [f.name for f in kept] + COLUMNS
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybasket.llm.common import saved, small_batches
+from tallybasket.llm.common import prepare_tasks, saved
 
 #: Rows of a block of vectors and of queries.
 BLOCK_ROWS, QUERY_ROWS = 2048, 512
@@ -140,7 +140,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 6
     different dimension do not meet. Empty tables give an empty result; other columns are ignored.
     """
     spark = vectors.sparkSession
-    small_batches(spark)
+    prepare_tasks(spark)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
     rows = saved(scaled(vectors, factor).withColumn("norm", norm).withColumn("width", F.size("v")), "vectors")
     order = [F.asc("width"), F.desc("norm"), F.asc("vec_id")]

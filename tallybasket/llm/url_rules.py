@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybasket.llm.common import saved, single
+from tallybasket.llm.common import prepare_tasks, saved, single
 
 RULES_AT_ONCE = 100_000
 DEFAULT_VERDICT = "allow"
@@ -81,6 +81,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, rules_at_once: int = RULES_AT
     and path are empty. Rows that repeat give repeated rows, a null id stays null; rules with a null or empty
     host fit nothing. An empty table gives an empty result; other columns are ignored.
     """
+    prepare_tasks(pages.sparkSession)
     url = F.col("url").cast("string")
     host = host_of(url)
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path_of(url).alias("path"))
