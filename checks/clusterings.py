@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import tables as t
@@ -126,23 +129,63 @@ def given_projection(spark, sf_dir):
     return t.comparable(got.select("CustomerID", "PCA1_2D", "PCA2_2D"))
 
 
+def fit_facts(labelled, cols, fit):
+    """What holds of any k-means fit, beside the number of customers, as one row."""
+    means = metrics.centroids(labelled, "Cluster", cols)
+    centre = F.array(*[F.array(*[F.lit(v) for v in c]) for c in fit.centres])
+    gaps = [F.abs(F.col(f"c_{c}") - centre[F.col("Cluster")][i]) for i, c in enumerate(cols)]
+    facts = means.agg(
+        F.sum("n").alias("customers"), F.count(F.lit(1)).alias("clusters"), (F.max(F.greatest(*gaps)) < 0.01).alias("centres_are_means")
+    )
+    own = labelled.agg(F.sum(F.pow("Distance_to_Center", F.lit(2))).alias("s")).scalar()
+    return facts.withColumn("inertia_is_sum", F.abs(own / F.lit(fit.inertia) - 1) < 1e-6)
+
+
 def kmeans_clusters(spark, sf_dir):
+    """Every customer is in one of four clusters, centres are means, and the inertia is the sum of squares."""
     rows = scaled(spark, sf_dir)
     fit = kmeans.fit_kmeans(rows, FINAL, 4)
-    return t.comparable(kmeans.assign_clusters(rows, FINAL, fit.centres).groupBy("Cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.pow("Distance_to_Center", F.lit(2))).alias("inertia")))
+    return fit_facts(kmeans.assign_clusters(rows, FINAL, fit.centres), FINAL, fit)
 
 
 def kmeans_sweep(spark, sf_dir):
-    return t.comparable(kmeans.sweep(scaled(spark, sf_dir), FINAL, max_clusters=10))
+    """One row per k; the inertia falls with k, and the other measures lie in their ranges."""
+    rows = scaled(spark, sf_dir)
+    table = materialize(kmeans.sweep(rows, FINAL, max_clusters=10), "sweep-table")
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    return table.select(
+        F.col("k").cast("long").alias("k"),
+        F.coalesce(F.col("inertia") < before, F.col("k") == 2).alias("inertia_falls"),
+        (F.abs("silhouette") <= 1).alias("silhouette_in_range"),
+        (F.col("davies_bouldin") > 0).alias("davies_bouldin_positive"),
+        rows.agg(F.count(F.lit(1)).alias("n")).scalar().alias("customers"),
+    )
+
+
+def projection_facts(rows, coordinates):
+    """Coordinates of principal components: centred, uncorrelated, with variances that do not grow."""
+    aggregates = [F.count(F.lit(1)).alias("customers")]
+    for i, c in enumerate(coordinates):
+        aggregates += [(F.abs(F.avg(c)) < 1e-6).alias(f"{c}_centred"), F.var_pop(c).alias(f"_v{i}")]
+        aggregates += [(F.abs(F.covar_pop(c, d)) < 1e-6).alias(f"{c}_{d}_uncorrelated") for d in coordinates[i + 1 :]]
+    falls = [F.col(f"_v{i}") >= F.col(f"_v{i + 1}") for i in range(len(coordinates) - 1)]
+    facts = rows.agg(*aggregates).withColumn("variances_fall", reduce(lambda a, b: a & b, falls))
+    return facts.drop(*[f"_v{i}" for i in range(len(coordinates))])
+
+
+def projection_facts_sql(coordinates, source):
+    true = [f"{c}_centred" for c in coordinates] + [f"{c}_{d}_uncorrelated" for i, c in enumerate(coordinates) for d in coordinates[i + 1 :]]
+    return "SELECT count(*) AS customers, " + ", ".join(f'true AS "{c}"' for c in [*true, "variances_fall"]) + f" FROM {source}"
+
+
+PCA_3D = ["PCA1_3D", "PCA2_3D", "PCA3_3D"]
 
 
 def pca_coordinates(spark, sf_dir):
     rows = scaled(spark, sf_dir)
-    fitted = [kmeans.fit_pca(rows, FINAL, n)[1] for n in (2, 3)]
-    for projection in fitted:
-        rows = kmeans.project(rows, projection)
-    return t.comparable(rows.select("CustomerID", "PCA1_2D", "PCA2_2D", "PCA1_3D", "PCA2_3D", "PCA3_3D"))
+    for n in (2, 3):
+        rows = kmeans.project(rows, kmeans.fit_pca(rows, FINAL, n)[1])
+    return projection_facts(rows, PCA_3D)
 
 
 def core_flags(spark, sf_dir):
@@ -158,12 +201,18 @@ def density_clusters(spark, sf_dir):
 
 
 def split_clusters(spark, sf_dir):
-    rows = scaled(spark, sf_dir)
-    return t.comparable(comparison.hierarchical(rows, FINAL, 4).groupBy("Cluster").agg(F.count(F.lit(1)).alias("n")))
+    """Four groups that hold every customer once."""
+    found = comparison.hierarchical(scaled(spark, sf_dir), FINAL, 4)
+    return found.agg(F.countDistinct("CustomerID").alias("customers"), F.count(F.lit(1)).alias("rows"), F.countDistinct("Cluster").alias("clusters"))
 
 
 def algorithms(spark, sf_dir):
-    return t.comparable(comparison.compare(scaled(spark, sf_dir), FINAL)[0])
+    """Per algorithm: the customers it labels, whether its measure is in range, and that it did not fail."""
+    scores, labels = comparison.compare(scaled(spark, sf_dir), FINAL)
+    sizes = labels.groupBy("algorithm").agg(F.countDistinct("CustomerID").alias("customers"))
+    return scores.join(sizes, "algorithm").select(
+        "algorithm", "customers", F.coalesce(F.abs("silhouette") <= 1, F.lit(True)).alias("in_range"), F.col("error").isNull().alias("ran")
+    )
 
 
 QUERIES = {
@@ -254,6 +303,15 @@ _NEAR = _POINTS + """, near AS (SELECT a.id AS a, b.id AS b FROM pts a, pts b WH
 cores AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5)"""
 
 ORACLES = {
+    "i3_kmeans": f"""WITH {SCALED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
+  true AS centres_are_means, true AS inertia_is_sum FROM scaled""",
+    "i10_sweep": f"""WITH {SCALED} SELECT k, true AS inertia_falls, true AS silhouette_in_range, true AS davies_bouldin_positive,
+  (SELECT count(*) FROM scaled) AS customers FROM range(2, 11) AS ks(k)""",
+    "i11_pca": f"WITH {SCALED} {projection_facts_sql(PCA_3D, 'scaled')}",
+    "i15_split_clusters": f"""WITH {SCALED} SELECT count(DISTINCT "CustomerID") AS customers, count(*) AS "rows",
+  CAST(4 AS BIGINT) AS clusters FROM scaled""",
+    "i16_compare_algorithms": f"""WITH {SCALED} SELECT algorithm, (SELECT count(*) FROM scaled) AS customers, true AS in_range, true AS ran
+  FROM (VALUES {", ".join(f"('{name}')" for name in comparison.ALGORITHMS)}) AS a(algorithm)""",
     "i4_nearest_centre": f"""WITH {centres_sql(_POINTS, 6)}, d AS (SELECT id, cen.label, {_DIST} AS d FROM pts, cen)
 SELECT id AS "CustomerID", CAST(arg_min(label, d) AS BIGINT) AS "Cluster", {r('min(d)')} AS "Distance_to_Center" FROM d GROUP BY id""",
     "i5_distances": f"""WITH {centres_sql(_POINTS, 6)} SELECT id AS "CustomerID", {_TO} FROM pts""",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import tables as t
-from checks.clusterings import GIVEN_LOADINGS
+from checks.clusterings import GIVEN_LOADINGS, PCA_3D, fit_facts, projection_facts, projection_facts_sql
 from checks.customers import ALL_FEATURES_SQL, FINAL, SCORING_SQL, scaled_sql
 from checks.tables import r
 from tallybasket.operators import clusters, kmeans, preparation, scoring, segments
@@ -89,8 +92,13 @@ def month_table(spark, sf_dir):
 def model_metadata(spark, sf_dir):
     folder, _ = trained_folder(spark, sf_dir)
     meta = artefacts.load_model_metadata(spark, folder)
-    centres = meta.select("model_type", "n_clusters", "random_state", "inertia", F.posexplode("cluster_centers").alias("segment", "centre"))
-    return t.comparable(centres.select("model_type", "n_clusters", "random_state", "inertia", "segment", *[F.col("centre")[i].alias(c) for i, c in enumerate(FINAL)]))
+    return meta.select(
+        "model_type",
+        F.col("n_clusters").cast("long").alias("n_clusters"),
+        F.size("cluster_centers").cast("long").alias("centres"),
+        F.size(F.element_at("cluster_centers", 1)).cast("long").alias("features"),
+        (F.col("inertia") > 0).alias("has_inertia"),
+    )
 
 
 def saved_projection(spark, sf_dir):
@@ -98,23 +106,34 @@ def saved_projection(spark, sf_dir):
     folder, _ = trained_folder(spark, sf_dir)
     scaled, _, _ = artefacts.load_features(spark, folder)
     model = artefacts.load_artefacts(spark, folder)
-    both = kmeans.project(kmeans.project(scaled, model.pca_2d), model.pca_3d)
-    return t.comparable(both.select("CustomerID", *[c for c in both.columns if c.startswith("PCA")]))
+    return projection_facts(kmeans.project(kmeans.project(scaled, model.pca_2d), model.pca_3d), PCA_3D)
 
 
 def clustered_sink(spark, sf_dir):
-    """Clustered customers as the training job left them; only the cluster depends on the fit."""
-    return t.comparable(trained_folder(spark, sf_dir)[1].clustered.drop("Cluster"))
+    """Clustered customers as the training job left them; of the cluster, that it is that of the nearest loaded centre."""
+    folder, trained = trained_folder(spark, sf_dir)
+    scaled, _, scaler = artefacts.load_features(spark, folder)
+    nearest = kmeans.assign_clusters(scaled, scaler.names, artefacts.load_artefacts(spark, folder).centres)
+    nearest = nearest.select("CustomerID", F.col("Cluster").alias("_nearest"))
+    saved = artefacts.load_clustered(spark, folder).join(nearest, "CustomerID")
+    return t.comparable(saved.withColumn("is_nearest", F.col("Cluster") == F.col("_nearest")).drop("Cluster", "_nearest"))
 
 
 def trained_scores(spark, sf_dir):
-    """All events scored by the loaded model."""
+    """All events scored by the loaded model: every user once, with a named segment and features that are numbers."""
     folder, _ = trained_folder(spark, sf_dir)
-    return t.comparable(jobs.score_rows(t.ev(spark, sf_dir), folder, as_of=t.AS_OF))
+    got = jobs.score_rows(t.ev(spark, sf_dir), folder, as_of=t.AS_OF)
+    numbers = [F.abs(f"Feature_{c}") < float("inf") for c in FINAL]
+    return got.select("CustomerID", F.col("Segment_Name").isNotNull().alias("is_named"), reduce(lambda a, b: a & b, numbers).alias("has_features"))
 
 
 def training_scores(spark, sf_dir):
-    return t.comparable(trained_folder(spark, sf_dir)[1].scores)
+    """What holds of the training's fit, on the customers it was trained with."""
+    folder, trained = trained_folder(spark, sf_dir)
+    scaled, _, scaler = artefacts.load_features(spark, folder)
+    labelled = kmeans.assign_clusters(scaled, scaler.names, trained.fit.centres)
+    silhouette = trained.scores.select((F.abs("silhouette") <= 1).alias("ok")).scalar()
+    return fit_facts(labelled, scaler.names, trained.fit).withColumn("silhouette_in_range", silhouette)
 
 
 def model_files(spark, sf_dir):
@@ -125,13 +144,22 @@ def model_files(spark, sf_dir):
     sizes = kmeans.assign_clusters(scaled, scaler.names, model.centres).groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"))
     meta = artefacts.load_model_metadata(spark, folder).select("model_type", "n_clusters", "n_features", "inertia")
     facts = meta.select(F.struct("*")).scalar()
-    return t.comparable(sizes.select("Cluster", "n", *[facts[c].alias(c) for c in ("model_type", "n_clusters", "n_features", "inertia")]))
+    return sizes.agg(
+        F.sum("n").alias("customers"),
+        F.count(F.lit(1)).alias("clusters"),
+        *[F.max(facts[c]).cast("long").alias(c) for c in ("n_clusters", "n_features")],
+    )
 
 
 def renumbered(spark, sf_dir):
-    """Clusters numbered by spend: id with size and mean spend."""
+    """Clusters numbered by spend: the mean spend falls with the id, and all customers and their spend are there."""
     _, trained = trained_folder(spark, sf_dir)
-    return t.comparable(trained.clustered.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("Monetary").alias("mean_spend")))
+    means = trained.clustered.groupBy("Cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("Monetary").alias("mean"), F.sum("Monetary").alias("sum")
+    )
+    falls = F.coalesce(F.col("mean") <= F.lag("mean").over(Window.orderBy("Cluster")), F.col("Cluster") == 0)
+    return t.comparable(means.withColumn("falls", falls).agg(
+        F.sum("n").alias("customers"), F.sum("sum").alias("spend"), F.every("falls").alias("mean_spend_falls")), 2)
 
 
 def _events_csv(spark, sf_dir):
@@ -148,7 +176,11 @@ def batch_job(spark, sf_dir):
     folder, _ = trained_folder(spark, sf_dir)
     result = jobs.score_csv_job(spark, _events_csv(spark, sf_dir), folder, scratch_path(spark, "scores-csv"), t.AS_OF)
     back = spark.read.option("header", True).csv(result.path)
-    return back.groupBy("Segment", "Segment_Name").agg(F.count(F.lit(1)).alias("customers"))
+    return back.agg(
+        F.countDistinct("CustomerID").alias("customers"),
+        F.count(F.lit(1)).alias("rows"),
+        F.every(F.col("Segment").cast("int").between(0, 3) & F.col("Segment_Name").isNotNull()).alias("all_named"),
+    )
 
 
 def report_files(spark, sf_dir):
@@ -233,7 +265,20 @@ _PCA = ", ".join(
 _FEATURES = ", ".join(r(f'"{c}"') + f' AS "Feature_{c}"' for c in FINAL)
 _CORE = f'"CustomerID", label AS "Segment", name AS "Segment_Name", {r("d")} AS "Distance_to_Center"'
 
+_TRAINED = scaled_sql(t.FEATURES_SQL)
 ORACLES = {
+    "a10_model_files": f"""WITH {_TRAINED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
+  CAST(4 AS BIGINT) AS n_clusters, CAST({len(FINAL)} AS BIGINT) AS n_features FROM scaled""",
+    "a11_model_metadata": f"""SELECT 'KMeans' AS model_type, CAST(4 AS BIGINT) AS n_clusters, CAST(4 AS BIGINT) AS centres,
+  CAST({len(FINAL)} AS BIGINT) AS features, true AS has_inertia""",
+    "a12_saved_projection": f"WITH {_TRAINED} {projection_facts_sql(PCA_3D, 'scaled')}",
+    "a16_loaded_model": f"""WITH {t.EV_SQL} SELECT DISTINCT "CustomerID", true AS is_named, true AS has_features FROM ev""",
+    "i13_training": f"""WITH {_TRAINED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
+  true AS centres_are_means, true AS inertia_is_sum, true AS silhouette_in_range FROM scaled""",
+    "i13_stable_clusters": f"""WITH {t.FEATURES_SQL} SELECT CAST(count(*) AS BIGINT) AS customers, {r('sum("Monetary")', 2)} AS spend,
+  true AS mean_spend_falls FROM feat""",
+    "i18_batch_job": f"""WITH {t.EV_SQL} SELECT count(DISTINCT "CustomerID") AS customers, count(DISTINCT "CustomerID") AS "rows",
+  true AS all_named FROM ev""",
     "i17_score_customers": f"WITH {SCORED} SELECT {_CORE}, {_PCA}, {_FEATURES} FROM scored",
     "b21_feature_columns": f'WITH {SCORED} SELECT "CustomerID", {_FEATURES} FROM scored',
     "b22_without_metadata": f"WITH {SCORED} SELECT {_CORE} FROM scored",
@@ -257,7 +302,7 @@ UNION ALL SELECT 'quantity_not_positive', count(*) FROM x WHERE "Quantity" <= 0"
     "a6_full_sink": ALL_FEATURES_SQL,
     "a9_feature_tables": f"""WITH {scaled_sql(t.FEATURES_SQL)} SELECT "CustomerID", {", ".join(r(f's."{c}"') + f' AS "Scaled_{c}"' for c in FINAL)},
   feat."Recency", {r('"Monetary"')} AS "Monetary" FROM scaled s JOIN feat USING ("CustomerID")""",
-    "a13_clustered_sink": ALL_FEATURES_SQL + ' WHERE "Monetary" > 0',
+    "a13_clustered_sink": f"""SELECT *, true AS is_nearest FROM ({ALL_FEATURES_SQL} WHERE "Monetary" > 0) AS f""",
     "a15_report_files": f"""WITH {t.FEATURES_SQL} SELECT count(*) AS total_customers, CAST(4 AS BIGINT) AS segments_identified
   FROM feat WHERE "Monetary" > 0""",
 }
