@@ -7,6 +7,11 @@ the share of characters that stand in links, measured against the body's own sha
 is the sum of its children's densities. The node with the greatest sum is the article, unless on the path
 from it to the body a wider node keeps a density no less than the path's threshold and adds text; what
 lies beside the chosen subtree in such a node is kept, if its own density reaches the threshold.
+
+Three rules on elements only add to this. If an ``article`` holds the node with the greatest sum, the
+outermost one takes the node's place, so that its short paragraphs stay. Beside the path, headings stay, and
+further ``article`` elements. In a ``main`` on the path, so do its paragraphs. Articles and paragraphs with
+more than half of their characters in links stay by their density only.
 """
 
 from __future__ import annotations
@@ -212,6 +217,25 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
             stack.extend((c, False) for c in reversed(item.children))
 
 
+def _belongs(node: Node, in_main: bool) -> bool:
+    """Whether a part beside the path is kept for its element alone."""
+    if node.name[0] == "h" and node.name[1:].isdigit():
+        return True
+    return (node.name == "article" or node.name == "p" and in_main) and 2 * node.link_chars <= node.chars
+
+
+def _outer_article(node: Node, top: Node) -> bool:
+    """Whether an element below ``top`` is kept as a further article, and lies in no other one there."""
+    if node is top or not _belongs(node, False) or node.name != "article":
+        return False
+    for outer in _up(node.parent):
+        if outer is top:
+            return True
+        if outer.name == "article":
+            return False
+    return False
+
+
 def main_text(page: str) -> str:
     """Blocks of the article, in page order, joined by one newline; empty if there is none."""
     if not page:
@@ -222,26 +246,33 @@ def main_text(page: str) -> str:
     chosen = max(nodes, key=lambda n: n.total)
     if not chosen.total:
         chosen = body
-    # The article may be split over siblings: go up while all of a wider node is about as dense as the path.
+    # The article may be split over siblings: all of the path is searched for parts about as dense as the path.
     path = [chosen]
     while path[-1] is not body:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    marked = next((n for n in path if n.name in ARTICLE), None)
+    # Short paragraphs beside the densest one belong to its article element.
+    chosen = next((n for n in reversed(path) if n.name == "article"), chosen)
     keep: list[Node | str] = []
     on_path = set(map(id, path))
+    in_main: set[int] = set()
 
-    stack: list[Node | str] = [marked or body]
+    stack: list[Node | str] = [body]
     while stack:
         part = stack.pop()
-        if isinstance(part, str) or part is chosen or part is marked or id(part) not in on_path:
+        if isinstance(part, str) or part is chosen or id(part) not in on_path:
             keep.append(part)
             continue
+        if part.name == "main" or id(part.parent) in in_main:
+            in_main.add(id(part))
         for child in reversed(part.children):
             if isinstance(child, str) or id(child) in on_path:
                 stack.append(child)
-            elif not child.cut and (child.density >= threshold or child.name[0] == "h" and child.name[1:].isdigit()):
-                stack.append(child)
+            elif not child.cut:
+                if child.density >= threshold or _belongs(child, id(part) in in_main):
+                    stack.append(child)
+                else:
+                    stack.extend(n for n in reversed(_order(child)) if _outer_article(n, child))
     out: list[list[str]] = [[]]
     for part in keep:
         if isinstance(part, str):

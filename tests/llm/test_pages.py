@@ -35,6 +35,25 @@ def test_long_lists_of_links_lose_to_text_in_plain_boxes():
     assert html_text.main_text(page) == f"{text}\n{text}"
 
 
+LONG = " ".join(["A sentence of the article that goes on for a while."] * 5)
+LINKS = "<div><ul>" + "".join(f"<li><a href=/{i}>Section name {i}</a></li>" for i in range(30)) + "</ul></div>"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<body>{LINKS}<main><h1>Title</h1><p>intro</p><article><p>{LONG}</p><p>{LONG}</p></article></main>{LINKS}</body>", f"Title\nintro\n{LONG}\n{LONG}"),
+        (f"<body><div><h1>Title</h1><p>{LONG}</p><article><p>{LONG} x</p><p>{LONG}</p></article></div>{LINKS}</body>", f"Title\n{LONG}\n{LONG} x\n{LONG}"),
+        (f"<main><article><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG}</p><p>{LONG}</p></article><article><p>Three.</p></article></main>", f"{LONG}\nTwo\n{LONG}\n{LONG}\nThree."),
+        (f"<body>{LINKS}<article><p>{LONG}</p><p>{LONG}</p></article><div><div><article><p>Two.</p></article></div>{LINKS}</div></body>", f"{LONG}\n{LONG}\nTwo."),
+        (f"<main><article><p>{LONG}</p><p>Short.</p></article><article><p><a href=/b>Another story to read on this site</a></p></article></main>", f"{LONG}\nShort."),
+    ],
+)
+def test_parts_beside_an_article(page, text):
+    """Heading, intro and further articles stay; lists of links and short teasers that are links do not."""
+    assert html_text.main_text(page) == text
+
+
 def test_pages_table(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", "z"), (2, None, None, "z"), (None, "v", "", "z"), (3, "w", "<p>" * 3000 + "deep", "z")]
     rows += [(4, "w", "<div>" * 3000 + "deep", "z"), (5, "w", "<<<>&&#xD800;&#0;", "z"), (1, "u", f"<article>{ARTICLE}</article>", "z")]
