@@ -1,12 +1,14 @@
 """Main text of web pages by composite text density over the DOM (after Sun, Song and Liao, 2011).
 
 Every page is parsed to a tree. Elements that never hold article text (scripts, forms, navigation, page
-headers, footers, sidebars, and boxes whose class or id names an advert, a notice or comments) are cut
-off first. Every node then gets its *composite text density*: characters per tag, raised or lowered by
-the share of characters that stand in links, measured against the body's own share. A node's density sum
-is the sum of its children's densities. The node with the greatest sum is the article, unless on the path
-from it to the body a wider node keeps a density no less than the path's threshold and adds text; what
-lies beside the chosen subtree in such a node is kept, if its own density reaches the threshold.
+headers, footers, sidebars, hidden ones, and boxes with a whole class or id that names an advert, a cookie
+notice or comments) are cut off first; headings, paragraphs and text-level elements never for their name.
+Every node then gets its *composite text density*: characters per tag, raised or lowered by the share of
+characters that stand in links, measured against the body's own share. A node's density sum is the sum of its
+children's densities. The node with the greatest sum is the article, unless on the path from it to the body a
+wider node keeps a density no less than the path's threshold and adds text; what lies beside the chosen
+subtree in such a node is kept, if its own density reaches the threshold. Boxes whose name articles use as
+well (inside an article and for sections, most names) leave the article only if they do not reach it.
 
 Three rules on elements only add to this. If an ``article`` holds the node with the greatest sum, the
 outermost one takes the node's place, so that its short paragraphs stay. Beside the path, headings stay, and
@@ -51,44 +53,82 @@ CUT = {
     "form", "button", "select", "textarea", "input", "label", "dialog", "menu", "title", "search", "audio", "video", "map",
 }
 CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar"}
-#: Words in class or id that name something other than the article.
-CUT_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adbox", "adsbygoogle", "banner", "sponsor", "sponsored", "promo", "promoted",
-    "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter",
-    "subscribe", "subscription", "signup", "login", "nav", "navbar", "navigation", "menu", "menubar", "breadcrumb", "breadcrumbs", "pagination",
-    "pager", "sidebar", "sidenav", "aside", "widget", "widgets", "footer", "foot", "masthead", "topbar", "toolbar", "comment", "comments",
-    "commentlist", "disqus", "respond", "replies", "reply", "related", "recommended", "recommendations", "share", "sharing", "social",
-    "copyright", "disclaimer", "search", "skip", "tags", "outbrain", "taboola", "hidden",
+#: Whole classes and ids, without hyphens and underscores, of boxes that hold something other than the article.
+CUT_NAMES = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsbygoogle", "sponsor", "sponsored", "promo", "promoted", "cookie",
+    "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "signup", "login", "nav", "navbar", "navigation", "menu",
+    "menubar", "breadcrumb", "breadcrumbs", "pagination", "pager", "sidebar", "sidenav", "footer", "masthead", "topbar", "toolbar",
+    "comment", "comments", "commentlist", "disqus", "disqusthread", "respond", "replies", "outbrain", "taboola",
+} | {
+    first + second
+    for firsts, seconds in (
+        (("ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo"), ("banner", "block", "box", "container", "slot", "unit", "wrapper")),
+        (("cookie", "cookies", "consent", "gdpr"), ("banner", "bar", "box", "consent", "message", "modal", "notice", "overlay", "popup", "wrapper")),
+        (("newsletter", "subscribe", "signup", "login"), ("banner", "box", "form", "modal", "popup", "wrapper")),
+        (("main", "nav", "page", "primary", "secondary", "side", "site", "top"), ("menu", "nav", "navbar", "navigation")),
+        (("nav", "navbar", "navigation", "menu", "sidebar"), ("bar", "container", "left", "list", "right", "wrapper")),
+        (("page", "site"), ("banner", "footer", "masthead")),
+        (("comment", "comments"), ("area", "box", "container", "form", "list", "respond", "section", "thread", "wrapper")),
+        (("related", "recommended"), ("articles", "links", "news", "posts", "stories")),
+        (("share", "sharing", "social"), ("bar", "box", "buttons", "icons", "links")),
+    )
+    for second in seconds
+    for first in firsts
+}
+#: Names that articles use as well: such a box stays if its density reaches the path's threshold.
+DOUBTFUL_NAMES = {
+    "alert", "aside", "banner", "copyright", "disclaimer", "foot", "hidden", "notice", "notices", "notification", "overlay", "promotion",
+    "recommendations", "recommended", "related", "reply", "search", "share", "sharing", "skip", "social", "subscription", "tags", "widget", "widgets",
 }
 #: Of these, names that an article inside does not clear; others may stand on a page's outer box.
-NEVER_ARTICLE = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "related", "recommended", "recommendations"}
+NEVER_ARTICLE = {n for n in CUT_NAMES if n.startswith(("comment", "disqus", "related", "recommended"))} | {"respond", "replies"}
+#: Of the cut names, those that are cut inside an article and from sections as well; the others are doubtful there.
+SURE_NAMES = NEVER_ARTICLE | {n for n in CUT_NAMES if n.startswith(("ad", "sponsored", "promo", "outbrain", "taboola"))} - {"advertising"}
+#: Of the doubtful names, those that stay doubtful on an article and around one.
+TEASER_NAMES = {"recommendations", "recommended", "related", "reply"}
+#: Blocks of text, to which names do not apply; nor do they to elements that are no blocks.
+TEXT_BLOCKS = {
+    "blockquote", "body", "caption", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "html", "legend", "p", "pre", "summary",
+}
+ARTICLE = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "related", "recommended", "recommendations"}
 ARTICLE = {"article", "main"}
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
-WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "total", "cut", "by_name")
+    __slots__ = ("name", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "total", "cut", "by_name", "doubtful", "teaser")
 
     def __init__(self, name: str, parent: Node | None, cut: bool = False, by_name: bool = False):
         self.name, self.parent, self.cut, self.by_name = name, parent, cut, by_name
+        self.doubtful = self.teaser = False
         self.children: list[Node | str] = []
 
 
-def _named_away(attributes: str, names: set[str] = CUT_WORDS) -> bool:
-    for key, value in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "role" and value.lower() in CUT_ROLES:
-            return True
-        if key in ("class", "id") and any(w.lower() in names for w in WORDS.findall(value)):
-            return True
-    return False
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name, the first of each name."""
+    out: dict[str, str] = {}
+    for key, value in ATTRIBUTE.findall(text):
+        quoted = len(value) > 1 and value[0] in "\"'" and value[-1] == value[0]
+        out.setdefault(key.lower(), html.unescape(value[1:-1] if quoted else value))
+    return out
+
+
+def _said_away(attributes: dict[str, str]) -> bool:
+    """Whether an element is hidden or has a role beside the article."""
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    return attributes.get("role", "").strip().lower() in CUT_ROLES
+
+
+def _names(name: str, attributes: dict[str, str]) -> set[str]:
+    """Classes and id of a box, whole, without hyphens and underscores."""
+    if name in TEXT_BLOCKS or name not in BLOCK and "-" not in name:
+        return set()
+    return {t.replace("-", "").replace("_", "").lower() for key in ("class", "id") for t in attributes.get(key, "").split()}
 
 
 def parse(page: str) -> Node:
@@ -124,13 +164,23 @@ def parse(page: str) -> Node:
                     node = probe.parent
                 probe = probe.parent
         inside = any(x.name in ARTICLE for x in _up(node)) if name == "header" else True
-        names = NEVER_ARTICLE if name in ARTICLE else CUT_WORDS
-        by_name = bool(found[3]) and name != "body" and _named_away(found[3], names)
+        attributes = _attributes(found[3]) if found[3].strip() else {}
+        own_names = _names(name, attributes)
+        said = name != "body" and _said_away(attributes)
+        if name in ARTICLE:
+            sure, doubtful = NEVER_ARTICLE, TEASER_NAMES
+        elif own_names and (name == "section" or any(x.name == "article" for x in _up(node))):
+            sure, doubtful = SURE_NAMES, DOUBTFUL_NAMES | CUT_NAMES
+        else:
+            sure, doubtful = CUT_NAMES, DOUBTFUL_NAMES
+        by_name = said or bool(own_names & sure)
         if name in ARTICLE and not by_name:
             for outer in _up(node):
                 outer.cut = outer.cut and not outer.by_name
-        kept_name = by_name and not _named_away(found[3], NEVER_ARTICLE)
+                outer.doubtful = outer.doubtful and outer.teaser
+        kept_name = by_name and not said and not own_names & NEVER_ARTICLE
         child = Node(name, node, name in CUT or not inside or by_name, kept_name and name not in CUT)
+        child.doubtful, child.teaser = bool(own_names & doubtful), bool(own_names & TEASER_NAMES)
         node.children.append(child)
         if name in VOID or found[3].endswith("/") and name in ("svg", "path"):
             continue
@@ -255,6 +305,8 @@ def main_text(page: str) -> str:
     chosen = next((n for n in reversed(path) if n.name == "article"), chosen)
     keep: list[Node | str] = []
     on_path = set(map(id, path))
+    for node in nodes:
+        node.cut = node.doubtful and node.density < threshold and id(node) not in on_path
     in_main: set[int] = set()
 
     stack: list[Node | str] = [body]

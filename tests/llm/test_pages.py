@@ -54,6 +54,31 @@ def test_parts_beside_an_article(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "opening,end",
+    [
+        ('<div style="overflow:hidden">', "</div>"), ('<div data-id="ad-1" data-role=menu>', "</div>"), ('<div class="overflow-hidden">', "</div>"),
+        ('<div class="content with-comments has-sidebar">', "</div>"), ("<section id=related-work>", "</section>"), ("<section id=search>", "</section>"),
+        ("<section id='cookies'>", "</section>"), ("<div id=navigation>", "</div>"), ('<div title="not hidden">', "</div>"), ("<p id=search-algorithms>", ""),
+        ("<h2 id=Social_life>", "</h2>"), ("<h2 id='related'>", "</h2>"), ("<p class='notice'>", ""), ('<p><a href="/hidden-gems">', "</a>"),
+    ],
+)
+def test_names_that_articles_use(opening, end):
+    page = f"<article><h1>One</h1><p>{LONG}</p>{opening}{LONG} x{end}<p>{LONG}</p></article>"
+    assert html_text.main_text(page) == f"One\n{LONG}\n{LONG} x\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "box",
+    [
+        f"<div hidden>{LONG}</div>", f"<p HIDDEN=''>{LONG}</p>", f"<div class='x ad-box y'>{LONG}</div>", f"<div id=comments>{LONG}</div>",
+        f"<div role='navigation'>{LONG}</div>", "<div class='share'><a href=a>Tell a friend</a></div>", "<div class=notice>Read this.</div>",
+    ],
+)
+def test_names_of_other_boxes(box):
+    assert html_text.main_text(f"<article><p>{LONG}</p>{box}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+
+
 def test_pages_table(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", "z"), (2, None, None, "z"), (None, "v", "", "z"), (3, "w", "<p>" * 3000 + "deep", "z")]
     rows += [(4, "w", "<div>" * 3000 + "deep", "z"), (5, "w", "<<<>&&#xD800;&#0;", "z"), (1, "u", f"<article>{ARTICLE}</article>", "z")]
