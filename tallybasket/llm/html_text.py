@@ -92,10 +92,16 @@ TEXT_BLOCKS = {
 }
 ARTICLE = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "related", "recommended", "recommendations"}
 ARTICLE = {"article", "main"}
+_GAP = r"[ \t\n\r\f]*"
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*"
+#: Quotes delimit a value directly after "=" only; other values may hold quotes, and so does one whose quote is never closed.
+_VALUE = r"""(?>"[^"]*"|'[^']*'|[^ \t\n\r\f>]*)"""
+ATTRIBUTE = re.compile(f"({_NAME})(?:{_GAP}={_GAP}({_VALUE}))?")
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^ \t\n\r\f/>]*)"
+    rf"((?>[ \t\n\r\f/]+|{_NAME}(?:{_GAP}={_GAP}{_VALUE})?)*+)>",
+    re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 SPACE = re.compile(r"\s+")
 
 

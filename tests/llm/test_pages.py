@@ -79,6 +79,13 @@ def test_names_of_other_boxes(box):
     assert html_text.main_text(f"<article><p>{LONG}</p>{box}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
 
 
+@pytest.mark.parametrize("stray", ["title=it's", "title=5\"", "'", 'class="a""', "alt=a='b", "title='a>b' \"", 'data-x = "it\'s > that"', "title=\"it's"])
+def test_stray_quotes_in_a_tag(stray):
+    """Quotes delimit directly after "=" only, and one that is never closed ends with its tag."""
+    page = f"<article><p {stray}>First paragraph</p><p>We don't care.</p><p>Nor don't they.</p></article>"
+    assert html_text.main_text(page) == "First paragraph\nWe don't care.\nNor don't they."
+
+
 def test_pages_table(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", "z"), (2, None, None, "z"), (None, "v", "", "z"), (3, "w", "<p>" * 3000 + "deep", "z")]
     rows += [(4, "w", "<div>" * 3000 + "deep", "z"), (5, "w", "<<<>&&#xD800;&#0;", "z"), (1, "u", f"<article>{ARTICLE}</article>", "z")]
