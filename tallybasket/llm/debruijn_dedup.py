@@ -163,6 +163,7 @@ class _Words:
 
 def verified_spans(rows: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
     """``rk`` and ``spans`` (array of pos, n in windows, sha of the source's words) of documents that repeat something."""
+    rows, kept = repeats.once_each(rows, "debruijn")
     near, first = repeats.candidates(rows, _units, words, part, "debruijn")
     copied = repeats.copies(near, first).select("rk", "pos", "n", F.col("src.rk").alias("srk"), F.col("src.pos").alias("spos"))
     marked, shared = repeats.contested(first, "debruijn")
@@ -188,6 +189,7 @@ def verified_spans(rows: DataFrame, words: int = WORDS, part: int = PART) -> Dat
     asked = spans.select("srk", "spos", "n").distinct().groupBy(F.col("srk").alias("rk"))
     asked = asked.agg(F.collect_list(F.struct("spos", "n")).alias("asked"))
     digests = saved(_span_digests(rows.select("rk", "text").join(asked, "rk"), words).distinct(), "debruijn-digests")
+    discard(*kept)
     checked = spans.join(digests, ["srk", "spos", "n"])
     return checked.groupBy("rk").agg(F.collect_list(F.struct("pos", "n", "sha")).alias("spans"))
 

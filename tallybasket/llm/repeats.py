@@ -37,6 +37,19 @@ def documents(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return rows.withColumn("ord", F.coalesce("doc_id", F.lit(LAST))).withColumn("rk", row_key())
 
 
+def once_each(rows: DataFrame, name: str) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """``ord``, ``rk`` and ``text``, one row for each ``rk``; and the tables that this reads, to discard.
+
+    Only the texts of repeated rows are shuffled, and those once for each task.
+    """
+    rows = rows.select("ord", "rk", "text")
+    keys = rows.groupBy("rk").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("rk")
+    keys = saved(keys, f"{name}-repeated")
+    merged = rows.join(keys, "rk", "left_semi").groupBy("rk").agg(F.min("ord").alias("ord"), F.min("text").alias("text"))
+    merged = saved(merged.select("ord", "rk", "text"), f"{name}-merged")
+    return rows.join(keys, "rk", "left_anti").select("ord", "rk", "text").unionByName(merged), (keys, merged)
+
+
 def runs_of(rolling: Rolling, first: np.ndarray, length: int, part: int) -> tuple[np.ndarray, ...]:
     """All strings of some documents: owner, first window, number of windows, m."""
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))

@@ -101,10 +101,6 @@ def _later_windows(bodies: DataFrame, length: int) -> DataFrame:
         n = np.asarray(table.column("n")).astype(np.int64)
         run, starts, offset = repeats.enumerate_windows(offsets[:-1], n)
         rk, pos = np.asarray(table.column("rk")), np.asarray(table.column("pos"))
-        # A document that stands in the table twice gives each of its strings twice: one is enough.
-        twin = np.r_[False, (rk[1:] == rk[:-1]) & (pos[1:] == pos[:-1])]
-        keep = ~twin[run]
-        run, starts, offset = run[keep], starts[keep], offset[keep]
         later = np.flatnonzero(previous_factors(data, starts, length))
         # Neighbours of one string become one run.
         head = np.r_[True, (np.diff(later) != 1) | (np.diff(run[later]) != 0)] if len(later) else np.zeros(0, bool)
@@ -143,13 +139,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, grou
 
     ``docs`` comes from ``repeats.documents``.
     """
+    docs, kept = repeats.once_each(docs, "suffix")
     near, first = repeats.candidates(docs, _units, length, part, "suffix")
     marked, shared = repeats.contested(first, "suffix")
     marked = marked.withColumn("hot", F.col("strings") > group_strings)
     own = marked.groupBy(F.col("src.rk").alias("rk")).agg(
         F.collect_list(F.struct("m", F.col("src.pos").alias("pos"), "n", "hot")).alias("own")
     )
-    owned = docs.select("ord", "rk", "text").join(own, "rk")
+    owned = docs.join(own, "rk")
     bodies = saved(_bodies(owned, length), "suffix-bodies")
     # Windows of split groups that many documents share are collapsed to the earliest before they meet.
     alone = bodies.where(F.col("n") == 1)
@@ -160,7 +157,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, grou
     )
     later = _later_windows(whole.repartition("grp").sortWithinPartitions("grp"), length)
     later = saved(later.unionByName(repeated.select("rk", "pos", "n")), "suffix-later")
-    discard(bodies, least, shared)
+    discard(bodies, least, shared, *kept)
     found = later.unionByName(repeats.copies(near, first).select("rk", "pos", "n"))
     spans = saved(found.groupBy("rk").agg(F.collect_list(F.struct("pos", "n")).alias("spans")), "suffix-spans")
     discard(near, first, later)

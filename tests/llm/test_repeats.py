@@ -89,6 +89,30 @@ def test_a_common_passage_makes_one_row_of_its_string(spark):
     assert counts[1][0] > 20 * counts[0][0] and counts[1][1] <= counts[0][1] + 2 * 200
 
 
+@pytest.mark.parametrize("module,find,tables", [
+    (debruijn_dedup, "verified_spans", ["debruijn-edges", "debruijn-spans"]), (suffix_dedup, "repeated_spans", ["suffix-bodies", "suffix-later"]),
+])
+def test_a_row_repeated_in_full_is_looked_at_once(spark, module, find, tables, monkeypatch):
+    """Rows that agree in id and text give the bodies, edges and span entries of one."""
+    counts = {}
+
+    def counted(df, name, save=module.saved):
+        out = save(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(module, "saved", counted)
+    passage = " ".join(f"w{i}" for i in range(60))
+    other = [(1, f"a {passage} b", "en", "s"), (3, f"{passage[:200]} {passage[100:]}", "en", "s")]
+    seen = []
+    for times in (1, 40):
+        row = (2, f"c {passage} d {passage} {passage[50:]}", "en", "s")
+        spans = getattr(module, find)(repeats.documents(as_table(spark, other + [row] * times)))
+        entries = {r["rk"]: len(r["spans"]) for r in spans.collect()}
+        seen.append((entries, [counts[t] for t in tables]))
+    assert seen[0] == seen[1] and len(seen[0][0]) == 2 and min(seen[0][1]) > 0
+
+
 def test_a_false_source_removes_nothing(spark, monkeypatch):
     """The words at the source's coordinates are compared: hashes that collide do not remove text."""
     text = [" ".join(f"{p}{i}" for i in range(30)) for p in "ab"]
