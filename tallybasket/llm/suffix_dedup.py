@@ -1,11 +1,10 @@
-"""Byte spans that repeat earlier, by longest previous factors over suffix order.
+"""Byte spans that repeat earlier, by equal neighbours in suffix order.
 
 Every text is taken as UTF-8 bytes. ``repeats`` reduces the corpus to the first occurrences of the strings
 that may share a window of ``length`` bytes. Their windows are suffixes cut to ``length`` bytes. A task
-brings those of its groups into suffix order, ties in order of position (document, then place). For a
-suffix the previous and the next smaller position in that order give the longest previous factor; cut to
-``length``, a factor that long exists exactly if the suffix before it in the order equals it, as ties are
-ordered by position. Such windows are later copies; the bytes they cover are removed, the first stay.
+brings those of its groups into suffix order, ties in order of position (document, then place). Arrays of
+smaller positions and of longest previous factors are not computed: a previous factor of ``length`` bytes
+exists exactly if the suffix before it in the order equals it, as ties are ordered by position. Such windows are later copies; the bytes they cover are removed, the first stay.
 
 Groups of strings are those of one ``m``. A group of more than ``GROUP_STRINGS`` different strings (a
 passage in a large part of all documents, each time with other text beside it) is split: its windows
