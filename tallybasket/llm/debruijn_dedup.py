@@ -4,9 +4,10 @@
 128 bits of hash. ``repeats`` reduces the corpus to the first occurrences of strings of windows that may be
 met again; only their windows become edges. One grouping by key gives each edge its source (the first
 place in order of document and position) and whether the word before it, and the word after it, is the
-same in all places: where it is not, the node at that end branches.
+same in all these places: where it is not, the node at that end branches. Copies of whole strings are no
+edges, and their neighbours are not seen.
 
-**Paths.** Joined back to their places, neighbouring edges whose common node does not branch, and which
+**Paths.** Joined back to their places and collected by document, neighbouring edges whose common node does not branch, and which
 have neighbouring sources, compact to one path; the copies of a whole string are one path already. Paths of
 a document that meet, with sources that meet as well, compact again to spans (document, start, words;
 source document, source start).
