@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybasket.llm import bpe, debruijn_dedup, html_text, mixing, quality_model, quality_rules, simhash, suffix_dedup, top_k, url_rules
+from tallybasket.llm import (
+    bpe,
+    collocations,
+    debruijn_dedup,
+    divergence,
+    html_text,
+    mixing,
+    quality_model,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    top_k,
+    url_rules,
+)
 from tallybasket.llm.common import table
 
 
@@ -137,6 +151,64 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), min_count=100, max_words=5, top=2000)
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+totals AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 6) AS sizes(size)),
+f AS (SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+s AS (SELECT *, string_split(phrase, ' ') AS ws FROM f),
+c AS (SELECT lang, size, phrase, ws, a, unnest(range(1, size)) AS k FROM s WHERE size > 1),
+m AS (SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, n,
+        CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1 : k], ' ')
+             JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1 : c.size], ' ')
+             JOIN totals ON totals.lang = c.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM m),
+u AS (SELECT lang, size, a, ws, unnest(range(1, size)) AS i FROM s WHERE size > 2),
+v AS (SELECT lang, a, ws, i, unnest(range(i + 1, size + 1)) AS j, size FROM u),
+around AS (SELECT lang, array_to_string(ws[i : j], ' ') AS phrase, max(a) AS around FROM v WHERE j - i + 1 < size GROUP BY ALL),
+t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+      FROM b LEFT JOIN around ON around.lang = b.lang AND around.phrase = b.phrase WHERE cut = 1 AND (around IS NULL OR 100 * around < 100 * a))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM t WHERE rank <= 2000"""
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS c FROM w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, total, coalesce(c, 0) AS c,
+        1 + CAST(CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 2) // (coalesce(n.n, 0) + 2 * v.v) AS BIGINT) AS p,
+        1 + CAST(CAST(1000000000 AS HUGEINT) * (total + 2) // (v.n + 2 * v.v) AS BIGINT) AS q
+      FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+             LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE c > 0 AND p > q),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 10"""
+
+
 QUERIES = {
     "op1_debruijn_dedup": op1_debruijn_dedup,
     "op2_html_text": op2_html_text,
@@ -148,5 +220,15 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_quality_model": op9_quality_model,
     "op10_simhash": op10_simhash,
+    "op11_sharding": op11_sharding,
+    "op12_collocations": op12_collocations,
+    "op13_divergence": op13_divergence,
+}
+ORACLES = {
+    "op1_debruijn_dedup": OP1_SQL,
+    "op4_mix_sources": OP4_SQL,
+    "op6_top_k": OP6_SQL,
+    "op8_url_rules": OP8_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_divergence": OP13_SQL,
 }
-ORACLES = {"op1_debruijn_dedup": OP1_SQL, "op4_mix_sources": OP4_SQL, "op6_top_k": OP6_SQL, "op8_url_rules": OP8_SQL}
