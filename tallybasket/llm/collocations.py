@@ -94,7 +94,7 @@ def _cut(texts: pa.Array, langs: pa.Array) -> Iterator[tuple[np.ndarray, np.ndar
 
     Pieces are independent, so a longer text is cut between pieces, at the first break of each step's length.
     """
-    for a, b in steps(texts):
+    for a, b in steps(texts, STEP_BYTES):
         codes = langs[a:b].dictionary_encode()
         names = codes.dictionary.to_pylist()
         data, offsets = bytes_of(pa.array(names, pa.string()))

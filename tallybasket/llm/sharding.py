@@ -61,10 +61,11 @@ def below(k1: np.ndarray, k2: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.
     """For every key the number of probes, sorted by (p1, p2), that are not above it."""
     first, last = np.searchsorted(p1, k1, side="left"), np.searchsorted(p1, k1, side="right")
     inside = np.flatnonzero(first < last)
+    found = first.copy()
     for a in np.unique(first[inside]):
         rows = inside[first[inside] == a]
-        first[rows] = a + np.searchsorted(p2[a : last[rows[0]]], k2[rows], side="right")
-    return first
+        found[rows] = a + np.searchsorted(p2[a : last[rows[0]]], k2[rows], side="right")
+    return found
 
 
 def histogram(keys: DataFrame, p1: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
