@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from checks import fits
 from checks import tables as t
 from checks.customers import FINAL, matrix, scaled_sql
 from checks.tables import r
-from tallybasket.operators import comparison, dbscan, kmeans, metrics
+from tallybasket.operators import comparison, dbscan, kmeans, metrics, ward
 from tallybasket.operators import preparation as prep
 from tallybasket.session import materialize
 
@@ -67,7 +65,7 @@ def customer_inertia(spark, sf_dir):
 
 
 def vector_silhouette(spark, sf_dir):
-    return t.comparable(metrics.silhouettes(vectors(spark, sf_dir), ["label"], VECTOR, block_rows=128), 6)
+    return t.comparable(metrics.silhouettes(vectors(spark, sf_dir), ["label"], VECTOR, side_points=150, block_rows=64), 6)
 
 
 def customer_silhouette(spark, sf_dir):
@@ -93,7 +91,7 @@ def label_sweep(spark, sf_dir):
 
 
 def silhouette_sweep(spark, sf_dir):
-    got = metrics.silhouettes(coarser_labels(spark, sf_dir), [f"k{k}" for k in range(2, 7)], VECTOR, block_rows=128)
+    got = metrics.silhouettes(coarser_labels(spark, sf_dir), [f"k{k}" for k in range(2, 7)], VECTOR, side_points=150, block_rows=64)
     return materialize(got.withColumn("k", F.expr("cast(substring(labelling, 2) as int)")), "silhouette-sweep")
 
 
@@ -141,51 +139,58 @@ def fit_facts(labelled, cols, fit):
     return facts.withColumn("inertia_is_sum", F.abs(own / F.lit(fit.inertia) - 1) < 1e-6)
 
 
-def kmeans_clusters(spark, sf_dir):
-    """Every customer is in one of four clusters, centres are means, and the inertia is the sum of squares."""
-    rows = scaled(spark, sf_dir)
-    fit = kmeans.fit_kmeans(rows, FINAL, 4)
-    return fit_facts(kmeans.assign_clusters(rows, FINAL, fit.centres), FINAL, fit)
+def fit_rows(fit, sizes=None):
+    """One row per cluster of a fit: its number, its customers, the cost of the whole fit and its centre."""
+    rows = [(i, n, fit.inertia, *map(float, c)) for i, (c, n) in enumerate(zip(fit.fitted, sizes or fit.sizes))]
+    return rows, "Cluster long, n long, inertia double, " + ", ".join(f"{c} double" for c in FINAL)
 
 
-def kmeans_sweep(spark, sf_dir):
-    """One row per k; the inertia falls with k, and the other measures lie in their ranges."""
+def kmeans_clusters(spark, sf_dir):
+    """Four clusters after the given number of passes from given centres."""
     rows = scaled(spark, sf_dir)
-    table = materialize(kmeans.sweep(rows, FINAL, max_clusters=10), "sweep-table")
-    before = F.lag("inertia").over(Window.orderBy("k"))
-    return table.select(
-        F.col("k").cast("long").alias("k"),
-        F.coalesce(F.col("inertia") < before, F.col("k") == 2).alias("inertia_falls"),
-        (F.abs("silhouette") <= 1).alias("silhouette_in_range"),
-        (F.col("davies_bouldin") > 0).alias("davies_bouldin_positive"),
-        rows.agg(F.count(F.lit(1)).alias("n")).scalar().alias("customers"),
-    )
+    fit = kmeans.fit_kmeans(rows, FINAL, 4, fits.starts(rows, FINAL, 4), **fits.GIVEN)
+    return t.comparable(spark.createDataFrame(*fit_rows(fit)))
 
 
-def projection_facts(rows, coordinates):
-    """Coordinates of principal components: centred, uncorrelated, with variances that do not grow."""
-    aggregates = [F.count(F.lit(1)).alias("customers")]
-    for i, c in enumerate(coordinates):
-        aggregates += [(F.abs(F.avg(c)) < 1e-6).alias(f"{c}_centred"), F.var_pop(c).alias(f"_v{i}")]
-        aggregates += [(F.abs(F.covar_pop(c, d)) < 1e-6).alias(f"{c}_{d}_uncorrelated") for d in coordinates[i + 1 :]]
-    falls = [F.col(f"_v{i}") >= F.col(f"_v{i + 1}") for i in range(len(coordinates) - 1)]
-    facts = rows.agg(*aggregates).withColumn("variances_fall", reduce(lambda a, b: a & b, falls))
-    return facts.drop(*[f"_v{i}" for i in range(len(coordinates))])
+def best_fit(spark, sf_dir):
+    """Of ten drawn starts the best: centres are means, the inertia is the sum of squares, and not above that of given starts."""
+    rows = scaled(spark, sf_dir)
+    fit = kmeans.fit_kmeans(rows, FINAL, 4)
+    given = kmeans.fit_kmeans(rows, FINAL, 4, fits.starts(rows, FINAL, 4), **fits.GIVEN)
+    facts = fit_facts(kmeans.assign_clusters(rows, FINAL, fit.centres), FINAL, fit)
+    return facts.withColumn("at_most_given", F.lit(fit.inertia <= given.inertia * (1 + 1e-6)))
 
 
-def projection_facts_sql(coordinates, source):
-    true = [f"{c}_centred" for c in coordinates] + [f"{c}_{d}_uncorrelated" for i, c in enumerate(coordinates) for d in coordinates[i + 1 :]]
-    return "SELECT count(*) AS customers, " + ", ".join(f'true AS "{c}"' for c in [*true, "variances_fall"]) + f" FROM {source}"
+def kmeans_sweep(spark, sf_dir):
+    """All measures for k from 2 to 10, each from given centres."""
+    rows = scaled(spark, sf_dir)
+    given = {k: fits.starts(rows, FINAL, k) for k in range(2, 11)}
+    table = materialize(kmeans.sweep(rows, FINAL, max_clusters=10, starts=given, **fits.GIVEN), "sweep-table")
+    digits = {"inertia": 4, "silhouette": 6, "davies_bouldin": 6, "calinski_harabasz": 3}
+    rounded = [F.round(F.col(c) + F.lit(t.shift(d)), d).alias(c) for c, d in digits.items()]
+    return table.select(F.col("k").cast("long").alias("k"), *rounded)
 
 
-PCA_3D = ["PCA1_3D", "PCA2_3D", "PCA3_3D"]
+def drawn_sweep(spark, sf_dir):
+    """The sweep as a user runs it, ten drawn starts for each k: rows only, since the draw has no SQL."""
+    return t.comparable(kmeans.sweep(scaled(spark, sf_dir), FINAL, max_clusters=10))
 
 
 def pca_coordinates(spark, sf_dir):
     rows = scaled(spark, sf_dir)
     for n in (2, 3):
         rows = kmeans.project(rows, kmeans.fit_pca(rows, FINAL, n)[1])
-    return projection_facts(rows, PCA_3D)
+    return t.comparable(rows.select("CustomerID", *PCA_NAMES))
+
+
+def pca_loadings(spark, sf_dir):
+    """Loadings and explained share of every component."""
+    _, found = kmeans.fit_pca(scaled(spark, sf_dir), FINAL, 3)
+    rows = [(i + 1, share, *v) for i, (v, share) in enumerate(zip(found.loadings, found.explained))]
+    return t.comparable(spark.createDataFrame(rows, "component long, explained double, " + ", ".join(f"{c} double" for c in FINAL)))
+
+
+PCA_NAMES = ["PCA1_2D", "PCA2_2D", "PCA1_3D", "PCA2_3D", "PCA3_3D"]
 
 
 def core_flags(spark, sf_dir):
@@ -200,19 +205,46 @@ def density_clusters(spark, sf_dir):
     return t.comparable(dbscan.dbscan(scaled(spark, sf_dir), "CustomerID", FINAL))
 
 
-def split_clusters(spark, sf_dir):
-    """Four groups that hold every customer once."""
-    found = comparison.hierarchical(scaled(spark, sf_dir), FINAL, 4)
-    return found.agg(F.countDistinct("CustomerID").alias("customers"), F.count(F.lit(1)).alias("rows"), F.countDistinct("Cluster").alias("clusters"))
+#: Summaries of the hierarchy that SQL merges too.
+SUMMARIES = 48
+
+
+def ward_clusters(spark, sf_dir):
+    """Every customer's cluster of four, merged from the bottom over at most 48 grid cells."""
+    found = ward.ward(scaled(spark, sf_dir), FINAL, 4, max_summaries=SUMMARIES)
+    return t.comparable(found.select("CustomerID", "Cluster"))
+
+
+def ward_heights(spark, sf_dir):
+    """Height and number of customers of every merge."""
+    return t.comparable(ward.dendrogram(scaled(spark, sf_dir), FINAL, max_summaries=SUMMARIES).select("step", "height", "points"))
+
+
+def full_ward(spark, sf_dir):
+    """Sizes of the four clusters over as many summaries as the operator takes: rows only, the merges are too many for SQL."""
+    found = ward.ward(scaled(spark, sf_dir), FINAL, 4)
+    return t.comparable(found.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n")))
+
+
+def given_algorithms(spark, sf_dir):
+    """Comparison rows of the algorithms that SQL can follow: k-means from given centres, and density clusters."""
+    rows = scaled(spark, sf_dir)
+    begin = fits.starts(rows, FINAL, 4)
+
+    def from_given(matrix, cols, k):
+        return kmeans.assign_clusters(matrix, cols, kmeans.fit_kmeans(matrix, cols, k, begin, **fits.GIVEN).centres).drop("Distance_to_Center")
+
+    runs = {"KMeans": from_given, "DBSCAN": comparison.ALGORITHMS["DBSCAN"]}
+    scores, labels = comparison.compare(rows, FINAL, 4, runs)
+    sizes = labels.groupBy("algorithm").agg(F.count(F.lit(1)).alias("customers"))
+    return t.comparable(scores.join(sizes, "algorithm"), 6)
 
 
 def algorithms(spark, sf_dir):
-    """Per algorithm: the customers it labels, whether its measure is in range, and that it did not fail."""
+    """All algorithms with their own starts: number of clusters, silhouette, error and customers."""
     scores, labels = comparison.compare(scaled(spark, sf_dir), FINAL)
     sizes = labels.groupBy("algorithm").agg(F.countDistinct("CustomerID").alias("customers"))
-    return scores.join(sizes, "algorithm").select(
-        "algorithm", "customers", F.coalesce(F.abs("silhouette") <= 1, F.lit(True)).alias("in_range"), F.col("error").isNull().alias("ran")
-    )
+    return t.comparable(scores.join(sizes, "algorithm", "left"), 6)
 
 
 QUERIES = {
@@ -233,11 +265,17 @@ QUERIES = {
     "d25_clusters_without_noise": clusters_without_noise,
     "i12_given_projection": given_projection,
     "i3_kmeans": kmeans_clusters,
+    "i3_best_fit": best_fit,
     "i10_sweep": kmeans_sweep,
+    "i10_drawn_sweep": drawn_sweep,
     "i11_pca": pca_coordinates,
+    "i11_loadings": pca_loadings,
     "i14_core_points": core_flags,
     "i14_density_clusters": density_clusters,
-    "i15_split_clusters": split_clusters,
+    "i15_ward_clusters": ward_clusters,
+    "i15_ward_heights": ward_heights,
+    "i15_full_ward": full_ward,
+    "i16_given_algorithms": given_algorithms,
     "i16_compare_algorithms": algorithms,
 }
 
@@ -303,15 +341,17 @@ _NEAR = _POINTS + """, near AS (SELECT a.id AS a, b.id AS b FROM pts a, pts b WH
 cores AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5)"""
 
 ORACLES = {
-    "i3_kmeans": f"""WITH {SCALED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
-  true AS centres_are_means, true AS inertia_is_sum FROM scaled""",
-    "i10_sweep": f"""WITH {SCALED} SELECT k, true AS inertia_falls, true AS silhouette_in_range, true AS davies_bouldin_positive,
-  (SELECT count(*) FROM scaled) AS customers FROM range(2, 11) AS ks(k)""",
-    "i11_pca": f"WITH {SCALED} {projection_facts_sql(PCA_3D, 'scaled')}",
-    "i15_split_clusters": f"""WITH {SCALED} SELECT count(DISTINCT "CustomerID") AS customers, count(*) AS "rows",
-  CAST(4 AS BIGINT) AS clusters FROM scaled""",
-    "i16_compare_algorithms": f"""WITH {SCALED} SELECT algorithm, (SELECT count(*) FROM scaled) AS customers, true AS in_range, true AS ran
-  FROM (VALUES {", ".join(f"('{name}')" for name in comparison.ALGORITHMS)}) AS a(algorithm)""",
+    "i3_kmeans": f"""WITH RECURSIVE {SCALED}, {fits.PTS}, {fits.lloyd_sql(4)} SELECT CAST(cen.label AS BIGINT) AS "Cluster", count(id) AS n,
+  {r('(SELECT sum(d * d) FROM fitted)')} AS inertia, {", ".join(r(f"any_value(c)[{i + 1}]") + f' AS "{c}"' for i, c in enumerate(FINAL))}
+  FROM cen LEFT JOIN fitted ON fitted.label = cen.label GROUP BY cen.label""",
+    "i3_best_fit": f"""WITH {SCALED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
+  true AS centres_are_means, true AS inertia_is_sum, true AS at_most_given FROM scaled""",
+    "i10_sweep": " UNION ALL ".join(
+        f"SELECT * FROM (WITH RECURSIVE {SCALED}, {fits.PTS}, {fits.lloyd_sql(k)}, {fits.measures_sql(k)} SELECT * FROM measured)" for k in range(2, 11)
+    ),
+    "i11_pca": f"""WITH RECURSIVE {SCALED}, {fits.PTS}, {fits.pca_sql(3)} SELECT id AS "CustomerID", {fits.PCA_COLUMNS} FROM pts""",
+    "i11_loadings": f"""WITH RECURSIVE {SCALED}, {fits.pca_sql(3)} SELECT CAST(component AS BIGINT) AS component, {r('variance / total')} AS explained,
+  {", ".join(r(f"v[{i + 1}]") + f' AS "{c}"' for i, c in enumerate(FINAL))} FROM loadings""",
     "i4_nearest_centre": f"""WITH {centres_sql(_POINTS, 6)}, d AS (SELECT id, cen.label, {_DIST} AS d FROM pts, cen)
 SELECT id AS "CustomerID", CAST(arg_min(label, d) AS BIGINT) AS "Cluster", {r('min(d)')} AS "Distance_to_Center" FROM d GROUP BY id""",
     "i5_distances": f"""WITH {centres_sql(_POINTS, 6)} SELECT id AS "CustomerID", {_TO} FROM pts""",
@@ -343,3 +383,38 @@ SELECT pts.id AS "CustomerID", CAST(coalesce(numbered.c, border.c, -1) AS BIGINT
         r(" + ".join(f'"{c}" * {w}' for c, w in zip(FINAL, loading))) + f' AS "PCA{i}_2D"' for i, loading in enumerate(GIVEN_LOADINGS, 1))}
   FROM scaled""",
 }
+
+_DENSE = f"""WITH {SCALED}, {fits.PTS}, lab AS ({ORACLES["i14_density_clusters"]}),
+kept AS (SELECT id, x, "Cluster" AS label FROM pts JOIN lab ON id = "CustomerID" WHERE "Cluster" <> -1),
+sz AS (SELECT label, count(*) AS n FROM kept GROUP BY label),
+far AS (SELECT p.id, p.label AS own, q.label AS other, sum(list_distance(p.x, q.x)) AS s FROM kept p, kept q GROUP BY p.id, p.label, q.label),
+ab AS (SELECT id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b
+  FROM far JOIN sz ON other = sz.label GROUP BY id)
+SELECT 'DBSCAN' AS algorithm, (SELECT count(*) FROM sz) AS n_clusters,
+  CASE WHEN (SELECT count(*) FROM sz) > 1 THEN {r("(SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM ab)", 6)} END AS silhouette,
+  CAST(NULL AS VARCHAR) AS error, (SELECT count(*) FROM pts) AS customers"""
+
+ORACLES["i16_given_algorithms"] = f"""SELECT * FROM (WITH RECURSIVE {SCALED}, {fits.PTS}, {fits.lloyd_sql(4)}, {fits.measures_sql(4)}
+SELECT 'KMeans' AS algorithm, (SELECT count(DISTINCT label) FROM fitted) AS n_clusters, silhouette, CAST(NULL AS VARCHAR) AS error,
+  (SELECT count(*) FROM fitted) AS customers FROM measured) UNION ALL SELECT * FROM ({_DENSE})"""
+
+# Cells of the finest of the grids that has few enough, then one merge at a time of the cheapest pair.
+_LOW = "[" + ", ".join(f'min("{c}")' for c in FINAL) + "]"
+_HIGH = "[" + ", ".join(f'max("{c}")' for c in FINAL) + "]"
+_CELL = """list_transform(range(1, 7), lambda i: least(floor((x[i] - low[i]) / CASE WHEN high[i] = low[i] THEN 1 ELSE high[i] - low[i] END
+  * (1::BIGINT << h) + 1e-9), (1::BIGINT << h) - 1))"""
+_PAIRS = """flatten(list_transform(range(1, len(s)), lambda i: list_transform(range(i + 1, len(s) + 1), lambda j: struct_pack(
+  cost := s[i].n * s[j].n / (s[i].n + s[j].n) * list_distance(s[i].c, s[j].c) ** 2, i := i, j := j))))"""
+_WARD = f"""WITH RECURSIVE {SCALED}, {fits.PTS}, ends AS (SELECT CAST({_LOW} AS DOUBLE[]) AS low, CAST({_HIGH} AS DOUBLE[]) AS high FROM scaled),
+placed AS (SELECT id, x, h, {_CELL} AS cell FROM pts, ends, range(0, 25) AS hs(h)),
+few AS (SELECT max(h) AS h FROM (SELECT h FROM placed GROUP BY h HAVING count(DISTINCT cell) <= {SUMMARIES})),
+cells AS MATERIALIZED (SELECT cell, count(*)::DOUBLE AS n, [{", ".join(f"avg(x[{i}])" for i in range(1, 7))}] AS c, row_number() OVER (ORDER BY cell) AS m
+  FROM placed WHERE h = (SELECT h FROM few) GROUP BY cell),
+w AS (SELECT 0 AS step, list(struct_pack(n := n, c := c, m := [m]) ORDER BY m) AS s, 0e0 AS height, 0e0 AS points FROM cells UNION ALL
+  SELECT step + 1, list_append(list_filter(s, lambda v: v.m <> a.m AND v.m <> b.m), struct_pack(n := a.n + b.n,
+      c := list_transform(range(1, 7), lambda i: (a.c[i] * a.n + b.c[i] * b.n) / (a.n + b.n)), m := list_concat(a.m, b.m))), sqrt(2 * cost), a.n + b.n
+  FROM (SELECT step, s, s[p.i] AS a, s[p.j] AS b, p.cost AS cost FROM (SELECT step, s, list_min({_PAIRS}) AS p FROM w WHERE len(s) > 1)))"""
+ORACLES["i15_ward_clusters"] = f"""{_WARD}, four AS (SELECT unnest(s) AS v FROM w WHERE len(s) = 4),
+numbered AS (SELECT unnest(v.m) AS m, dense_rank() OVER (ORDER BY list_min(v.m)) - 1 AS "Cluster" FROM four)
+SELECT id AS "CustomerID", "Cluster" FROM placed JOIN cells ON cells.cell = placed.cell JOIN numbered ON numbered.m = cells.m WHERE h = (SELECT h FROM few)"""
+ORACLES["i15_ward_heights"] = f"""{_WARD} SELECT CAST(step - 1 AS BIGINT) AS step, {r('height')} AS height, CAST(points AS BIGINT) AS points FROM w WHERE step > 0"""

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from checks import fits
 from checks import tables as t
-from checks.clusterings import GIVEN_LOADINGS, PCA_3D, fit_facts, projection_facts, projection_facts_sql
+from checks.clusterings import GIVEN_LOADINGS, PCA_NAMES
 from checks.customers import ALL_FEATURES_SQL, FINAL, SCORING_SQL, scaled_sql
+from checks.profiles import _DIST, _REV, DIM_SQL
 from checks.tables import r
-from tallybasket.operators import clusters, kmeans, preparation, scoring, segments
+from tallybasket.operators import kmeans, preparation, profile, scoring, segments
 from tallybasket.plans import jobs
+from tallybasket.schemas import SCORING_COLUMNS, require_columns
 from tallybasket.session import materialize, scratch_path
 from tallybasket.sources import artefacts, transactions
 from tallybasket.streaming import continuous_scoring as stream
@@ -55,10 +55,11 @@ def model_row(spark, sf_dir):
 
 
 def trained_folder(spark, sf_dir):
-    """Feature and training job over the transactions, in a new folder."""
+    """Feature and training job over the transactions, in a new folder; four clusters from given centres."""
     folder = scratch_path(spark, "trained")
     jobs.feature_job(t.tx(spark, sf_dir), folder)
-    return folder, jobs.training_job(spark, folder, k=4)
+    scaled, _, scaler = artefacts.load_features(spark, folder)
+    return folder, jobs.training_job(spark, folder, k=4, starts=fits.starts(scaled, scaler.names, 4), **fits.GIVEN)
 
 
 def feature_folder(spark, sf_dir):
@@ -90,15 +91,12 @@ def month_table(spark, sf_dir):
 
 
 def model_metadata(spark, sf_dir):
+    """The metadata row, one row for each centre."""
     folder, _ = trained_folder(spark, sf_dir)
     meta = artefacts.load_model_metadata(spark, folder)
-    return meta.select(
-        "model_type",
-        F.col("n_clusters").cast("long").alias("n_clusters"),
-        F.size("cluster_centers").cast("long").alias("centres"),
-        F.size(F.element_at("cluster_centers", 1)).cast("long").alias("features"),
-        (F.col("inertia") > 0).alias("has_inertia"),
-    )
+    flat = meta.select("*", F.posexplode("cluster_centers").alias("Cluster", "c"))
+    centre = [F.col("c")[i].alias(c) for i, c in enumerate(FINAL)]
+    return t.comparable(flat.select("model_type", "n_clusters", "random_state", "n_features", "inertia", "Cluster", *centre))
 
 
 def saved_projection(spark, sf_dir):
@@ -106,60 +104,56 @@ def saved_projection(spark, sf_dir):
     folder, _ = trained_folder(spark, sf_dir)
     scaled, _, _ = artefacts.load_features(spark, folder)
     model = artefacts.load_artefacts(spark, folder)
-    return projection_facts(kmeans.project(kmeans.project(scaled, model.pca_2d), model.pca_3d), PCA_3D)
+    return t.comparable(kmeans.project(kmeans.project(scaled, model.pca_2d), model.pca_3d).select("CustomerID", *PCA_NAMES))
 
 
 def clustered_sink(spark, sf_dir):
-    """Clustered customers as the training job left them; of the cluster, that it is that of the nearest loaded centre."""
-    folder, trained = trained_folder(spark, sf_dir)
-    scaled, _, scaler = artefacts.load_features(spark, folder)
-    nearest = kmeans.assign_clusters(scaled, scaler.names, artefacts.load_artefacts(spark, folder).centres)
-    nearest = nearest.select("CustomerID", F.col("Cluster").alias("_nearest"))
-    saved = artefacts.load_clustered(spark, folder).join(nearest, "CustomerID")
-    return t.comparable(saved.withColumn("is_nearest", F.col("Cluster") == F.col("_nearest")).drop("Cluster", "_nearest"))
+    """Clustered customers as the training job left them, their cluster included."""
+    folder, _ = trained_folder(spark, sf_dir)
+    return t.comparable(artefacts.load_clustered(spark, folder))
 
 
 def trained_scores(spark, sf_dir):
-    """All events scored by the loaded model: every user once, with a named segment and features that are numbers."""
+    """All events scored by the loaded model."""
     folder, _ = trained_folder(spark, sf_dir)
-    got = jobs.score_rows(t.ev(spark, sf_dir), folder, as_of=t.AS_OF)
-    numbers = [F.abs(f"Feature_{c}") < float("inf") for c in FINAL]
-    return got.select("CustomerID", F.col("Segment_Name").isNotNull().alias("is_named"), reduce(lambda a, b: a & b, numbers).alias("has_features"))
+    return t.comparable(jobs.score_rows(t.ev(spark, sf_dir), folder, as_of=t.AS_OF))
 
 
 def training_scores(spark, sf_dir):
-    """What holds of the training's fit, on the customers it was trained with."""
-    folder, trained = trained_folder(spark, sf_dir)
-    scaled, _, scaler = artefacts.load_features(spark, folder)
-    labelled = kmeans.assign_clusters(scaled, scaler.names, trained.fit.centres)
-    silhouette = trained.scores.select((F.abs("silhouette") <= 1).alias("ok")).scalar()
-    return fit_facts(labelled, scaler.names, trained.fit).withColumn("silhouette_in_range", silhouette)
+    """The measures of the training's fit."""
+    _, trained = trained_folder(spark, sf_dir)
+    digits = {"inertia": 4, "silhouette": 6, "davies_bouldin": 6, "calinski_harabasz": 3}
+    rounded = [F.round(F.col(c) + F.lit(t.shift(d)), d).alias(c) for c, d in digits.items()]
+    return trained.scores.select(F.col("k").cast("long").alias("k"), *rounded)
+
+
+def best_training(spark, sf_dir):
+    """Training with the k that the sweep's silhouette chose: k and its fit, measured again."""
+    folder = scratch_path(spark, "best")
+    jobs.feature_job(t.tx(spark, sf_dir), folder)
+    trained = jobs.best_training_job(spark, folder, max_clusters=6, restarts=3)
+    return t.comparable(trained.scores)
 
 
 def model_files(spark, sf_dir):
-    """Saved model read back: metadata and the number of customers each loaded centre takes."""
+    """Saved model read back: metadata, and the centre and the number of customers of each cluster."""
     folder, _ = trained_folder(spark, sf_dir)
     scaled, _, scaler = artefacts.load_features(spark, folder)
     model = artefacts.load_artefacts(spark, folder)
     sizes = kmeans.assign_clusters(scaled, scaler.names, model.centres).groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"))
     meta = artefacts.load_model_metadata(spark, folder).select("model_type", "n_clusters", "n_features", "inertia")
+    centres = spark.createDataFrame([(i, *c) for i, c in enumerate(model.centres)], "Cluster int, " + ", ".join(f"{c} double" for c in FINAL))
     facts = meta.select(F.struct("*")).scalar()
-    return sizes.agg(
-        F.sum("n").alias("customers"),
-        F.count(F.lit(1)).alias("clusters"),
-        *[F.max(facts[c]).cast("long").alias(c) for c in ("n_clusters", "n_features")],
-    )
+    return t.comparable(centres.join(sizes, "Cluster", "left").select("*", *[facts[c].alias(c) for c in meta.columns]))
 
 
 def renumbered(spark, sf_dir):
-    """Clusters numbered by spend: the mean spend falls with the id, and all customers and their spend are there."""
+    """Clusters numbered by spend: customers, spend and mean spend of each."""
     _, trained = trained_folder(spark, sf_dir)
     means = trained.clustered.groupBy("Cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("Monetary").alias("mean"), F.sum("Monetary").alias("sum")
+        F.count(F.lit(1)).alias("n"), F.avg("Monetary").alias("mean"), F.sum("Monetary").alias("spend")
     )
-    falls = F.coalesce(F.col("mean") <= F.lag("mean").over(Window.orderBy("Cluster")), F.col("Cluster") == 0)
-    return t.comparable(means.withColumn("falls", falls).agg(
-        F.sum("n").alias("customers"), F.sum("sum").alias("spend"), F.every("falls").alias("mean_spend_falls")), 2)
+    return t.comparable(means, 2)
 
 
 def _events_csv(spark, sf_dir):
@@ -176,28 +170,96 @@ def batch_job(spark, sf_dir):
     folder, _ = trained_folder(spark, sf_dir)
     result = jobs.score_csv_job(spark, _events_csv(spark, sf_dir), folder, scratch_path(spark, "scores-csv"), t.AS_OF)
     back = spark.read.option("header", True).csv(result.path)
-    return back.agg(
-        F.countDistinct("CustomerID").alias("customers"),
-        F.count(F.lit(1)).alias("rows"),
-        F.every(F.col("Segment").cast("int").between(0, 3) & F.col("Segment_Name").isNotNull()).alias("all_named"),
-    )
+    kinds = {"CustomerID": "long", "Segment": "long", "Segment_Name": "string"}
+    return t.comparable(back.select(*[F.col(c).cast(kinds.get(c, "double")).alias(c) for c in back.columns]))
+
+
+def batch_segments(spark, sf_dir):
+    """Customers per segment of the CSV job."""
+    return batch_job(spark, sf_dir).groupBy("Segment", "Segment_Name").agg(F.count(F.lit(1)).alias("customers"))
+
+
+_REPORT = (
+    "distribution struct<total_customers: long, segments: map<string, struct<`count`: long, percentage: double>>>, "
+    "revenue map<string, struct<Total_Revenue: double, Avg_Revenue_per_Customer: double, Revenue_Percentage: double>>, "
+    "executive_summary struct<segments_identified: long>"
+)
 
 
 def report_files(spark, sf_dir):
+    """The written JSON of the report, figure by figure, one row for each segment."""
     folder, _ = trained_folder(spark, sf_dir)
-    report = jobs.report_job(spark, folder)
-    return report.select("distribution.total_customers", "executive_summary.segments_identified")
+    jobs.report_job(spark, folder)
+    text = spark.read.text(f"{folder}/results/segment_profiling_report")
+    report = text.select(F.from_json("value", _REPORT).alias("r")).select("r.*")
+    rows = report.select(
+        "distribution.total_customers", "executive_summary.segments_identified", "revenue", F.explode("distribution.segments").alias("Segment_Name", "d")
+    ).withColumn("m", F.col("revenue")[F.col("Segment_Name")])
+    return t.comparable(rows.select("total_customers", "segments_identified", "Segment_Name", "d.*", "m.*"))
 
 
-def streamed(spark, sf_dir):
-    """All events through the stream, in the end the same scores as in one batch."""
+def example_rows(spark, sf_dir):
+    """The example rows scored by the trained model: the customers that a new user sees first."""
+    folder, _ = trained_folder(spark, sf_dir)
+    got = jobs.score_rows(transactions.example_transactions(spark), folder, as_of=t.AS_OF, include_metadata=False)
+    return t.comparable(got)
+
+
+def column_check(spark, sf_dir):
+    """What the check of required columns says of the events when columns are left out, beside the events' number."""
+    rows = t.ev(spark, sf_dir)
+    said = []
+    for absent in ([], ["Quantity"], ["Amount", "InvoiceDate"]):
+        try:
+            require_columns(rows.drop(*absent), SCORING_COLUMNS)
+            said.append((",".join(absent), None))
+        except ValueError as problem:
+            said.append((",".join(absent), str(problem)))
+    count = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return spark.createDataFrame(said, "absent string, message string").withColumn("rows", count)
+
+
+def dated(spark, sf_dir):
+    """The dates of purchases as text, and whether the default date of a summary is today's."""
+    rows = t.ev(spark, sf_dir).groupBy(F.date_format("InvoiceDate", "yyyy-MM-dd").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    distribution = spark.createDataFrame([("A", 1, 1, 100.0)], "Segment_Name string, total_customers long, count long, percentage double")
+    revenue = spark.createDataFrame([("A", 1.0, 100.0, 1.0)], "Segment_Name string, Total_Revenue double, Revenue_Percentage double, Avg_Revenue_per_Customer double")
+    today = profile.executive_summary(distribution, revenue).select("date").scalar() == F.date_format(F.current_date(), "yyyy-MM-dd")
+    return rows.withColumn("default_is_today", today)
+
+
+def info_without_data(spark, sf_dir):
+    """Segment information before any training: names and descriptions of the segments that the events' users are assigned to."""
+    folder, _ = trained_folder(spark, sf_dir)
+    taken = jobs.score_rows(t.ev(spark, sf_dir), folder, as_of=t.AS_OF).select(F.col("Segment").alias("segment_id")).distinct()
+    info = jobs.segment_info(spark, scratch_path(spark, "nowhere"))
+    return t.comparable(info.join(taken, "segment_id", "left_semi"))
+
+
+def _stream_batches(spark, sf_dir, include_metadata):
+    """All events in three batches, so that most customers return, by the restarted stream."""
     model = given_model(spark, sf_dir)
-    folder = scratch_path(spark, "stream")
-    rows = stream.read_transactions(spark, _events_csv(spark, sf_dir))
-    stream.start_scoring(rows, folder, model, t.AS_OF).awaitTermination()
+    folder, source = scratch_path(spark, "stream"), scratch_path(spark, "stream-source")
+    rows = t.ev(spark, sf_dir).select(
+        "CustomerID", F.date_format("InvoiceDate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("InvoiceDate"), "Amount", "Quantity", "InvoiceNo"
+    )
+    for part in range(3):
+        own = rows.where(F.pmod(F.xxhash64("InvoiceNo"), F.lit(3)) == part).drop("InvoiceNo")
+        own.write.mode("append").option("header", True).csv(source)
+        stream.start_scoring(stream.read_transactions(spark, source), folder, model, t.AS_OF, include_metadata).awaitTermination()
     return t.comparable(stream.current_scores(spark, folder))
 
 
+def streamed(spark, sf_dir):
+    """In the end the same scores as in one batch."""
+    return _stream_batches(spark, sf_dir, False).select("CustomerID", "Segment", "Segment_Name", "Distance_to_Center")
+
+
+def streamed_columns(spark, sf_dir):
+    """The same with components and features."""
+    return _stream_batches(spark, sf_dir, True)
+
+
 def quarantined(spark, sf_dir):
     """Refused rows by reason after validation of all order lines, from the quarantine table."""
     from tallybasket.operators.cleaning import split_scoring_rows, with_amount
@@ -231,8 +293,15 @@ QUERIES = {
     "a15_report_files": report_files,
     "i13_training": training_scores,
     "i13_stable_clusters": renumbered,
+    "i13_best_training": best_training,
     "i18_batch_job": batch_job,
+    "i18_batch_segments": batch_segments,
+    "a17_info_without_data": info_without_data,
+    "a20_example_rows": example_rows,
+    "b14_required_columns": column_check,
+    "h7_dates": dated,
     "j1_stream": streamed,
+    "j1_stream_columns": streamed_columns,
 }
 
 _SCALED = ", ".join(
@@ -265,20 +334,31 @@ _PCA = ", ".join(
 _FEATURES = ", ".join(r(f'"{c}"') + f' AS "Feature_{c}"' for c in FINAL)
 _CORE = f'"CustomerID", label AS "Segment", name AS "Segment_Name", {r("d")} AS "Distance_to_Center"'
 
-_TRAINED = scaled_sql(t.FEATURES_SQL)
+_EXAMPLE = """ev AS (SELECT * FROM (VALUES (12345, TIMESTAMP '2023-12-01 10:30:00', 150.5::DOUBLE, 3), (12345, TIMESTAMP '2023-11-15 14:20:00', 75.25, 2),
+  (67890, TIMESTAMP '2023-10-10 09:15:00', 300.0, 5), (67890, TIMESTAMP '2023-09-05 16:45:00', 120.75, 2)) AS e("CustomerID", "InvoiceDate", "Amount", "Quantity"))"""
+_MEASURED = f"{fits.TRAINED}, {fits.measures_sql(4)}"
 ORACLES = {
-    "a10_model_files": f"""WITH {_TRAINED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
-  CAST(4 AS BIGINT) AS n_clusters, CAST({len(FINAL)} AS BIGINT) AS n_features FROM scaled""",
-    "a11_model_metadata": f"""SELECT 'KMeans' AS model_type, CAST(4 AS BIGINT) AS n_clusters, CAST(4 AS BIGINT) AS centres,
-  CAST({len(FINAL)} AS BIGINT) AS features, true AS has_inertia""",
-    "a12_saved_projection": f"WITH {_TRAINED} {projection_facts_sql(PCA_3D, 'scaled')}",
-    "a16_loaded_model": f"""WITH {t.EV_SQL} SELECT DISTINCT "CustomerID", true AS is_named, true AS has_features FROM ev""",
-    "i13_training": f"""WITH {_TRAINED} SELECT CAST(count(*) AS BIGINT) AS customers, CAST(4 AS BIGINT) AS clusters,
-  true AS centres_are_means, true AS inertia_is_sum, true AS silhouette_in_range FROM scaled""",
-    "i13_stable_clusters": f"""WITH {t.FEATURES_SQL} SELECT CAST(count(*) AS BIGINT) AS customers, {r('sum("Monetary")', 2)} AS spend,
-  true AS mean_spend_falls FROM feat""",
-    "i18_batch_job": f"""WITH {t.EV_SQL} SELECT count(DISTINCT "CustomerID") AS customers, count(DISTINCT "CustomerID") AS "rows",
-  true AS all_named FROM ev""",
+    "a10_model_files": f"""{fits.TRAINED} SELECT CAST(tcen."Cluster" AS BIGINT) AS "Cluster", count(id) AS n, {fits.CENTRE_COLUMNS.replace("c[", "any_value(c)[")},
+  'KMeans' AS model_type, CAST(4 AS BIGINT) AS n_clusters, CAST({len(FINAL)} AS BIGINT) AS n_features,
+  {r('(SELECT sum(d * d) FROM trained)')} AS inertia FROM tcen LEFT JOIN trained ON trained."Cluster" = tcen."Cluster" GROUP BY tcen."Cluster" """,
+    "a11_model_metadata": f"""{fits.TRAINED} SELECT 'KMeans' AS model_type, (SELECT count(*) FROM tcen) AS n_clusters, CAST(42 AS BIGINT) AS random_state,
+  CAST({len(FINAL)} AS BIGINT) AS n_features, {r('(SELECT sum(d * d) FROM trained)')} AS inertia, CAST("Cluster" AS BIGINT) AS "Cluster",
+  {fits.CENTRE_COLUMNS} FROM tcen""",
+    "a12_saved_projection": f'{fits.TRAINED}, {fits.pca_sql(3)} SELECT id AS "CustomerID", {fits.PCA_COLUMNS} FROM trained',
+    "a16_loaded_model": f"{fits.TRAINED_SCORES} SELECT {fits.SCORE_CORE}, {fits.PCA_COLUMNS}, {fits.SCORE_FEATURES} FROM scored",
+    "i13_training": f"{_MEASURED} SELECT * FROM measured",
+    "i13_stable_clusters": f"""{fits.TRAINED} SELECT CAST("Cluster" AS BIGINT) AS "Cluster", count(*) AS n, {r('avg("Monetary")', 2)} AS mean,
+  {r('sum("Monetary")', 2)} AS spend FROM trained JOIN feat ON id = "CustomerID" GROUP BY "Cluster" """,
+    "i18_batch_job": f"{fits.TRAINED_SCORES} SELECT {fits.SCORE_CORE}, {fits.SCORE_FEATURES} FROM scored",
+    "i18_batch_segments": f"""{fits.TRAINED_SCORES} SELECT CAST("Cluster" AS BIGINT) AS "Segment", name AS "Segment_Name", count(*) AS customers
+  FROM scored GROUP BY ALL""",
+    "a17_info_without_data": f"""{fits.TRAINED_SCORES}, {DIM_SQL} SELECT CAST("Cluster" AS BIGINT) AS segment_id, "Segment_Name" AS segment_name, description,
+  CAST(NULL AS BIGINT) AS size, CAST(NULL AS DOUBLE) AS percentage, CAST(NULL AS DOUBLE) AS avg_recency, CAST(NULL AS DOUBLE) AS avg_frequency,
+  CAST(NULL AS DOUBLE) AS avg_monetary FROM dim WHERE "Cluster" IN (SELECT "Cluster" FROM scored)""",
+    "a20_example_rows": f"{fits.TRAINED_SCORES.replace(t.EV_SQL, _EXAMPLE)} SELECT {fits.SCORE_CORE}, {fits.SCORE_FEATURES} FROM scored",
+    "b14_required_columns": """SELECT *, (SELECT count(*) FROM events) AS "rows" FROM (VALUES ('', NULL), ('Quantity', 'Missing required columns: [''Quantity'']'),
+  ('Amount,InvoiceDate', 'Missing required columns: [''InvoiceDate'', ''Amount'']')) AS said(absent, message)""",
+    "h7_dates": f"""WITH {t.EV_SQL} SELECT strftime("InvoiceDate", '%Y-%m-%d') AS "date", count(*) AS n, true AS default_is_today FROM ev GROUP BY 1""",
     "i17_score_customers": f"WITH {SCORED} SELECT {_CORE}, {_PCA}, {_FEATURES} FROM scored",
     "b21_feature_columns": f'WITH {SCORED} SELECT "CustomerID", {_FEATURES} FROM scored',
     "b22_without_metadata": f"WITH {SCORED} SELECT {_CORE} FROM scored",
@@ -302,7 +382,11 @@ UNION ALL SELECT 'quantity_not_positive', count(*) FROM x WHERE "Quantity" <= 0"
     "a6_full_sink": ALL_FEATURES_SQL,
     "a9_feature_tables": f"""WITH {scaled_sql(t.FEATURES_SQL)} SELECT "CustomerID", {", ".join(r(f's."{c}"') + f' AS "Scaled_{c}"' for c in FINAL)},
   feat."Recency", {r('"Monetary"')} AS "Monetary" FROM scaled s JOIN feat USING ("CustomerID")""",
-    "a13_clustered_sink": f"""SELECT *, true AS is_nearest FROM ({ALL_FEATURES_SQL} WHERE "Monetary" > 0) AS f""",
-    "a15_report_files": f"""WITH {t.FEATURES_SQL} SELECT count(*) AS total_customers, CAST(4 AS BIGINT) AS segments_identified
-  FROM feat WHERE "Monetary" > 0""",
+    "a13_clustered_sink": f"""{fits.TRAINED}, every AS ({ALL_FEATURES_SQL.replace("WITH " + t.FEATURES_SQL, "")}) SELECT every.*, CAST("Cluster" AS BIGINT) AS "Cluster"
+  FROM every JOIN trained ON id = "CustomerID" """,
+    "a15_report_files": f"""{fits.TRAINED}, {DIM_SQL}, clustered AS (SELECT feat.*, "Cluster" FROM feat JOIN trained ON id = "CustomerID"), {_DIST}, {_REV}
+SELECT total_customers, (SELECT count(*) FROM dist) AS segments_identified, dist."Segment_Name", "count", {r("percentage")} AS percentage,
+  {r('"Total_Revenue"')} AS "Total_Revenue", {r('"Avg_Revenue_per_Customer"')} AS "Avg_Revenue_per_Customer",
+  {r('"Revenue_Percentage"')} AS "Revenue_Percentage" FROM dist JOIN rev ON rev."Segment_Name" = dist."Segment_Name" """,
+    "j1_stream_columns": f"WITH {SCORED} SELECT {_CORE}, {_PCA}, {_FEATURES} FROM scored",
 }

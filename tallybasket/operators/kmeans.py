@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybasket.functions import columns as fx
-from tallybasket.operators import metrics
+from tallybasket.operators import lloyd, metrics
 from tallybasket.session import materialize
 
 # Seed, restarts, and the limits of one fit.
@@ -23,7 +20,8 @@ RESTARTS = 10
 MAX_ITER = 300
 TOLERANCE = 1e-4
 
-PARALLELISM = 8
+#: Starting centres for each k; instead of drawn ones and of restarts.
+Starts = Mapping[int, Sequence[Sequence[float]]]
 
 
 def assemble(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -32,42 +30,34 @@ def assemble(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Fit:
-    """A fitted model, the columns it reads and its cost: k vectors and one number."""
+    """A fitted model: centres in the order they were fitted, the columns they are of, and their cost.
 
-    model: KMeansModel
+    ``order`` puts fitted centre ``order[i]`` at place ``i``; ``sizes`` counts the rows nearest to each fitted centre.
+    """
+
+    fitted: list[list[float]]
     cols: list[str]
     inertia: float
-    seed: int
+    seed: int | None
+    sizes: list[int]
+    iterations: int
     order: list[int] | None = None
 
     @property
     def centres(self) -> list[list[float]]:
-        return ordered_centres(self.model, self.order)
+        return ordered_centres(self.fitted, self.order)
 
     @property
     def k(self) -> int:
-        return len(self.model.clusterCenters())
+        return len(self.fitted)
 
 
-def ordered_centres(model: KMeansModel, order: Sequence[int] | None = None) -> list[list[float]]:
+def ordered_centres(fitted: Sequence[Sequence[float]], order: Sequence[int] | None = None) -> list[list[float]]:
     """Centres in the fitted order, or with fitted centre ``order[i]`` at place ``i``."""
-    centres = [[float(v) for v in c] for c in model.clusterCenters()]
+    centres = [[float(v) for v in c] for c in fitted]
     return centres if order is None else [centres[i] for i in order]
 
 
-def _fit_all(vectors: DataFrame, cols, starts, max_iter, tol, parallelism) -> list[Fit]:
-    """One fit per (k, seed). Fits are independent jobs and are submitted side by side."""
-
-    def fit_one(start: tuple[int, int]) -> Fit:
-        k, seed = start
-        estimator = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="Cluster")
-        model = estimator.fit(vectors)
-        return Fit(model, list(cols), float(model.summary.trainingCost), seed)
-
-    with ThreadPool(max(1, min(parallelism, len(starts)))) as pool:
-        return pool.map(inheritable_thread_target(vectors.sparkSession)(fit_one), starts)
-
-
 def fit_kmeans_range(
     matrix: DataFrame,
     cols: Sequence[str],
@@ -76,26 +66,30 @@ def fit_kmeans_range(
     restarts: int = RESTARTS,
     max_iter: int = MAX_ITER,
     tol: float = TOLERANCE,
-    parallelism: int = PARALLELISM,
+    starts: Starts | None = None,
 ) -> dict[int, Fit]:
-    """For each k the fit with the least inertia among ``restarts`` seeds from ``seed`` on.
+    """For each k the fit with the least inertia among ``restarts`` seeds from ``seed`` on, or the one from ``starts``.
 
-    The assembled vectors are held for all fits; a lost executor's part is read again.
+    All fits share their passes: reading the matrix once moves the centres of every fit that still runs. Fewer different
+    rows than k give fewer centres, no rows give none.
     """
-    vectors = assemble(matrix, cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        starts = [(k, start) for k in ks for start in range(seed, seed + restarts)]
-        fits = _fit_all(vectors, cols, starts, max_iter, tol, parallelism)
-    finally:
-        vectors.unpersist()
-    return {
-        k: min((f for f, (k_of, _) in zip(fits, starts) if k_of == k), key=lambda f: (f.inertia, f.seed)) for k in ks
-    }
-
-
-def fit_kmeans(matrix: DataFrame, cols: Sequence[str], k: int, **settings) -> Fit:
+    blocks = lloyd.pack(matrix, cols)
+    if starts is None:
+        points, weights = lloyd.candidates(blocks, len(cols), max(ks), seed)
+        begins = [(k, s, lloyd.plus_plus(points, weights, k, s)) for k in ks for s in range(seed, seed + restarts) if len(points)]
+    else:
+        begins = [(k, None, np.asarray(starts[k], dtype=float)) for k in ks]
+    runs, _ = lloyd.lloyd(blocks, [centres for *_, centres in begins], max_iter, tol)
+    fits = [
+        (k, Fit(run.centres.tolist(), list(cols), run.cost, start, run.sizes, run.iterations)) for (k, start, _), run in zip(begins, runs)
+    ]
+    none = Fit([], list(cols), 0.0, seed, [], 0)
+    return {k: min((f for of, f in fits if of == k), key=lambda f: (f.inertia, f.seed or 0), default=none) for k in ks}
+
+
+def fit_kmeans(matrix: DataFrame, cols: Sequence[str], k: int, starts: Sequence[Sequence[float]] | None = None, **settings) -> Fit:
     """The best of several fits for one k; ``settings`` as in ``fit_kmeans_range``."""
-    return fit_kmeans_range(matrix, cols, [k], **settings)[k]
+    return fit_kmeans_range(matrix, cols, [k], starts=None if starts is None else {k: starts}, **settings)[k]
 
 
 def distances_to_centres(cols: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
@@ -127,35 +121,36 @@ def spend_order(clustered: DataFrame, k: int) -> list[int]:
 
 
 def sweep(
-    matrix: DataFrame, cols: Sequence[str], max_clusters: int = 10, restarts: int = RESTARTS, seed: int = SEED
+    matrix: DataFrame,
+    cols: Sequence[str],
+    max_clusters: int = 10,
+    restarts: int = RESTARTS,
+    seed: int = SEED,
+    with_silhouette: bool = True,
+    starts: Starts | None = None,
+    max_iter: int = MAX_ITER,
+    tol: float = TOLERANCE,
 ) -> DataFrame:
     """One row per k from 2: inertia, silhouette, Davies-Bouldin and Calinski-Harabasz.
 
-    ``matrix`` is read many times and should be a written table. Each k is a column of
-    labels, so that the silhouettes of all k share one pass over the distances.
+    ``matrix`` is read many times and should be a written table. Each k is a column of labels, so that all k share one
+    grouping for the centroids, one for the spreads and one pass over the distances. The silhouette is quadratic in
+    the number of customers; left out, it is NULL.
     """
-    fits = fit_kmeans_range(matrix, cols, range(2, max_clusters + 1), seed=seed, restarts=restarts)
-    labelled, costs = matrix, []
+    fits = fit_kmeans_range(matrix, cols, range(2, max_clusters + 1), seed, restarts, max_iter, tol, starts)
+    labelled = matrix
     for k, fit in fits.items():
-        labelled = assign_clusters(labelled, cols, fit.centres).drop("Distance_to_Center")
-        labelled = labelled.withColumnRenamed("Cluster", f"k{k}")
-        costs.append((k, fit.inertia))
+        labelled = assign_clusters(labelled, cols, fit.centres).drop("Distance_to_Center").withColumnRenamed("Cluster", f"k{k}")
     labelled = materialize(labelled, "sweep-labels")
-    names = [f"k{k}" for k, _ in costs]
-    silhouettes = materialize(metrics.silhouettes(labelled, names, cols), "sweep-silhouettes")
-    spread = None
-    for k, _ in costs:
-        row = labelled.sparkSession.createDataFrame([(k,)], "k int").select(
-            "k",
-            metrics.davies_bouldin(labelled, f"k{k}", cols).scalar().alias("davies_bouldin"),
-            metrics.calinski_harabasz(labelled, f"k{k}", cols).scalar().alias("calinski_harabasz"),
-        )
-        spread = row if spread is None else spread.unionByName(row)
-    cost_rows = labelled.sparkSession.createDataFrame(costs, "k int, inertia double")
-    found = silhouettes.select(F.expr("cast(substring(labelling, 2) as int)").alias("k"), "silhouette")
-    return cost_rows.join(found, "k", "left").join(spread, "k").select(
-        "k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz"
-    )
+    names = [f"k{k}" for k in fits]
+    spread = metrics.measures(labelled, names, cols).select("labelling", "davies_bouldin", "calinski_harabasz")
+    costs = [(k, f"k{k}", fit.inertia) for k, fit in fits.items()]
+    table = labelled.sparkSession.createDataFrame(costs, "k int, labelling string, inertia double").join(spread, "labelling", "left")
+    if with_silhouette:
+        table = table.join(materialize(metrics.silhouettes(labelled, names, cols), "sweep-silhouettes"), "labelling", "left")
+    else:
+        table = table.withColumn("silhouette", F.lit(None).cast("double"))
+    return table.select("k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz")
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,10 +18,13 @@ from tallybasket.session import materialize
 ELBOW_FACTOR = 0.7
 ELBOW_DEFAULT = 4
 
-# Points per block and per tile of the silhouette's distance kernel. Blocks grow with the
-# table, so that the blocks sent around grow less than quadratically up to the greatest size.
-TILE_ROWS = 2048
-MAX_BLOCK_ROWS = 32_768
+#: Points per packed block of the silhouette, and cells (points times points, or points times clusters) a task holds at a time.
+BLOCK_ROWS = 2048
+CELLS = 1 << 22
+#: Points that a task of the silhouette holds of each side; their number of groups is the only thing that grows with the table.
+SIDE_POINTS = 65_536
+#: Clusters compared in one row of the Davies-Bouldin index.
+PACK = 256
 
 
 def centroids(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
@@ -28,28 +32,37 @@ def centroids(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     return points.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"c_{c}") for c in cols])
 
 
-def with_own_centre(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """Each point with ``_d2``, the squared distance to the mean of its own label."""
-    centres = materialize(centroids(points, label, cols), "centroids")
-    d2 = fx.squared_distance([F.col(c) for c in cols], [F.col(f"c_{c}") for c in cols])
-    return points.join(centres, label).withColumn("_d2", d2)
+def _stacked(points: DataFrame, labels: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Every point once for each labelling: the columns, ``_s`` (the labelling's number) and ``_c`` (the cluster)."""
+    return points.select(*cols, F.posexplode(F.array(*[F.col(c).cast("long") for c in labels])).alias("_s", "_c"))
 
 
-def inertia(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """Sum of squared distances to the own centre, as one row."""
-    return with_own_centre(points, label, cols).agg(F.sum("_d2").alias("inertia"))
+def cluster_spreads(points: DataFrame, labels: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """One row per labelling and cluster: s, c, n, spread (mean distance to the centroid), within (sum of squares), c_<col>.
 
+    Two passes over the points serve all labellings: one grouping for the centroids, which are written, and one for
+    the distances to them.
+    """
+    stacked = _stacked(points, labels, cols)
+    means = stacked.groupBy("_s", "_c").agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"c_{c}") for c in cols])
+    means = materialize(means, "centroids")
+    d2 = fx.squared_distance([F.col(c) for c in cols], [F.col(f"c_{c}") for c in cols])
+    measured = stacked.join(means, ["_s", "_c"]).withColumn("_d2", d2)
+    kept = [F.max(f"c_{c}").alias(f"c_{c}") for c in cols]
+    grouped = measured.groupBy(F.col("_s").alias("s"), F.col("_c").alias("c"))
+    return grouped.agg(F.max("_n").alias("n"), *kept, F.avg(F.sqrt("_d2")).alias("spread"), F.sum("_d2").alias("within"))
 
-def davies_bouldin(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """Mean over clusters of the worst (spread + spread) / distance between centres (Davies & Bouldin 1979).
 
-    The k clusters are compared inside an array of k elements; customers are only averaged.
+def _worst_ratios(clusters: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """s, davies_bouldin: mean over clusters of the worst (spread + spread) / distance between centroids.
+
+    Clusters are packed, ``PACK`` to a row, and packs meet each other: no row holds all clusters, and no pair of clusters is a row.
+    A cluster that is alone in its labelling has no ratio.
     """
-    measured = with_own_centre(points, label, cols)
-    clusters = measured.groupBy(label).agg(
-        F.avg(F.sqrt("_d2")).alias("spread"), F.array(*[F.max(f"c_{c}") for c in cols]).alias("centre")
-    )
-    packed = clusters.agg(F.collect_list(F.struct(F.col(label).alias("id"), "spread", "centre")).alias("all"))
+    packs = clusters.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / PACK).alias("packs"))
+    one = F.struct("c", "spread", F.array(*[f"c_{c}" for c in cols]).alias("centre"))
+    packed = clusters.join(packs, "s").groupBy("s", F.pmod(F.xxhash64("c"), F.col("packs")).alias("pack")).agg(F.collect_list(one).alias("own"))
+    packed = materialize(packed, "cluster-packs")
 
     def gap(a, b):
         return F.sqrt(
@@ -57,158 +70,197 @@ def davies_bouldin(points: DataFrame, label: str, cols: Sequence[str]) -> DataFr
         )
 
     def worst(a):
-        others = F.filter("all", lambda b: b["id"] != a["id"])
+        others = F.filter("other", lambda b: b["c"] != a["c"])
         ratios = F.transform(others, lambda b: F.coalesce(F.try_divide(a["spread"] + b["spread"], gap(a, b)), F.lit(0.0)))
-        return F.array_max(ratios)
+        return F.struct(a["c"].alias("c"), F.array_max(ratios).alias("ratio"))
 
-    return packed.select(
-        (F.aggregate(F.transform("all", worst), F.lit(0.0), lambda s, v: s + v) / F.size("all")).alias("davies_bouldin")
-    )
+    met = packed.join(packed.select("s", F.col("own").alias("other")), "s")
+    ratios = met.select("s", F.explode(F.transform("own", worst)).alias("w")).groupBy("s", "w.c").agg(F.max("w.ratio").alias("ratio"))
+    return ratios.groupBy("s").agg(F.avg("ratio").alias("davies_bouldin"))
 
 
-def calinski_harabasz(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """Between-cluster over within-cluster variance (Calinski & Harabasz 1974)."""
-    clusters = with_own_centre(points, label, cols).groupBy(label).agg(
-        F.max("n").alias("n"), F.sum("_d2").alias("within"), *[F.max(f"c_{c}").alias(f"c_{c}") for c in cols]
-    )
-    # The overall mean is the count-weighted mean of the k centres.
-    total = Window.partitionBy()
-    overall = [F.sum(F.col("n") * F.col(f"c_{c}")).over(total) / F.sum("n").over(total) for c in cols]
-    spread = clusters.withColumn("between", F.col("n") * fx.squared_distance([F.col(f"c_{c}") for c in cols], overall))
-    sums = spread.agg(
-        F.sum("between").alias("b"), F.sum("within").alias("w"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")
+def measures(points: DataFrame, labels: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """One row per labelling: labelling, n_clusters, n, inertia, davies_bouldin, calinski_harabasz.
+
+    Davies & Bouldin 1979; Calinski & Harabasz 1974, the between-cluster over the within-cluster variance, 1 where clusters have
+    no extent and NULL for a single cluster.
+    """
+    clusters = materialize(cluster_spreads(points, labels, cols), "cluster-spreads")
+    # The overall mean is the count-weighted mean of the centroids.
+    overall = clusters.groupBy("s").agg(*[(F.sum(F.col("n") * F.col(f"c_{c}")) / F.sum("n")).alias(f"m_{c}") for c in cols])
+    between = F.col("n") * fx.squared_distance([F.col(f"c_{c}") for c in cols], [F.col(f"m_{c}") for c in cols])
+    sums = clusters.join(overall, "s").groupBy("s").agg(
+        F.sum(between).alias("b"), F.sum("within").alias("w"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")
     )
     b, w, k, n = F.col("b"), F.col("w"), F.col("k"), F.col("n")
     score = fx.ratio(b * (n - k), w * (k - 1))
-    return sums.select(F.when(w == 0, F.lit(1.0)).otherwise(score).alias("calinski_harabasz"))
+    return sums.join(_worst_ratios(clusters, cols), "s", "left").select(
+        F.element_at(F.array(*[F.lit(c) for c in labels]), F.col("s") + 1).alias("labelling"),
+        k.alias("n_clusters"),
+        "n",
+        w.alias("inertia"),
+        "davies_bouldin",
+        F.when(w == 0, F.lit(1.0)).otherwise(score).alias("calinski_harabasz"),
+    )
+
+
+def inertia(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    """Sum of squared distances to the own centre, as one row."""
+    return cluster_spreads(points, [label], cols).agg(F.sum("within").alias("inertia"))
+
+
+def davies_bouldin(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    return measures(points, [label], cols).select("davies_bouldin")
+
+
+def calinski_harabasz(points: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    return measures(points, [label], cols).select("calinski_harabasz")
 
 
 def silhouettes(
-    points: DataFrame, labels: Sequence[str], cols: Sequence[str], block_rows: int | None = None
+    points: DataFrame, labels: Sequence[str], cols: Sequence[str], side_points: int = SIDE_POINTS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Mean silhouette with Euclidean distances (Rousseeuw 1987) for one or more labellings.
 
     Gives one row per labelling: ``labelling``, ``n_clusters``, ``n``, ``silhouette``;
     NULL for fewer than two clusters. A point alone in its cluster counts 0.
 
-    Mean Euclidean distances need every pair of points. Equal points are merged first and
-    weighted by their number. The rest is packed into blocks of about ``block_rows``, and
-    each task takes pairs of blocks, keeps running distance sums per point and cluster for
-    its left block, and emits only those sums. No pair of points ever becomes a row, the
-    memory of a task is two blocks, and one distance serves all labellings. The work stays
-    quadratic in the distinct points.
+    Mean Euclidean distances need every pair of points. Equal points are merged first and weighted by their number. The rest
+    is packed into blocks; rows of blocks meet columns of blocks as on a checkerboard, so a block is sent once
+    for each row or column and not once for each other block. One distance serves all labellings. A task folds the clusters
+    that lie whole in its column into a least mean distance, and emits sums of those alone that go on in
+    other columns; small clusters stand together in one column. The work stays quadratic in the distinct points.
     """
-    spark = points.sparkSession
-    features = F.array(*[F.col(c).cast("double") for c in cols])
-    merged = points.groupBy(features.alias("x"), F.array(*[F.col(c).cast("long") for c in labels]).alias("g")).agg(
-        F.count(F.lit(1)).alias("w")
-    )
-    merged = materialize(merged, "silhouette-points")
-    sizes = materialize(
-        merged.select(F.posexplode("g").alias("s", "c"), "w").groupBy("s", "c").agg(F.sum("w").alias("size")),
-        "cluster-sizes",
-    )
-    # One row per cluster of each labelling: the kernel's sums have one slot per cluster.
-    slots = {(row["s"], row["c"]): i for i, row in enumerate(sizes.orderBy("s", "c").select("s", "c").collect())}
-    n_points = merged.count()
-    if block_rows is None:
-        block_rows = min(max(TILE_ROWS, n_points // 2000), MAX_BLOCK_ROWS)
-    n_blocks = max(1, math.ceil(n_points / block_rows))
-    blocks = materialize(
-        merged.withColumn("block", F.pmod(F.xxhash64("x", "g"), F.lit(n_blocks)))
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("x", "g", "w")).alias("pts"))
-        .select("block", F.flatten("pts.x").alias("x"), F.flatten("pts.g").alias("g"), F.col("pts.w").alias("w")),
-        "silhouette-blocks",
-    )
-    lanes = spark.sparkContext.defaultParallelism
-    pairs = spark.range(0, n_blocks * n_blocks, numPartitions=min(n_blocks * n_blocks, 8 * lanes)).select(
-        F.floor(F.col("id") / n_blocks).alias("i"), (F.col("id") % n_blocks).alias("j")
-    )
-    left = blocks.select(F.col("block").alias("i"), *[F.col(c).alias(f"a{c}") for c in "xgw"])
-    right = blocks.select(F.col("block").alias("j"), *[F.col(c).alias(f"b{c}") for c in "xgw"])
-    # The kernel emits a block's sums when the next block begins, so a block's pairs must stand together in one
-    # task, whichever way the joins above were carried out.
-    work = pairs.join(left, "i").join(right, "j").select("i", "ax", "ag", "aw", "bx", "bg", "bw")
-    work = work.repartition("i").sortWithinPartitions("i")
-    sums = work.mapInPandas(
-        _distance_sums(slots, len(labels)), "block long, pos int, w long, g array<long>, sums array<double>"
-    )
-    per_cluster = (
-        sums.select("block", "pos", "w", "g", F.posexplode("sums").alias("slot", "d"))
-        .groupBy("block", "pos", "w", "g", "slot")
-        .agg(F.sum("d").alias("d"))
-    )
-    place = spark.createDataFrame([(s, c, i) for (s, c), i in slots.items()], "s int, c long, slot int")
-    spots = sizes.join(place, ["s", "c"])
-    own = F.element_at("g", F.col("s") + 1) == F.col("c")
-    spread = per_cluster.join(spots, "slot").groupBy("block", "pos", "w", "s").agg(
-        F.max(F.when(own, F.col("size"))).alias("mine"),
-        F.max(F.when(own, F.try_divide(F.col("d"), (F.col("size") - 1).cast("double")))).alias("a"),
-        F.min(F.when(~own, F.col("d") / F.col("size"))).alias("b"),
+    sides = _sides(points, labels, cols, side_points, block_rows)
+    sums = materialize(_distance_sums(sides, len(labels)), "silhouette-sums")
+    at = ["block", "pos", "s"]
+    partial = sums.where(F.col("c").isNotNull()).groupBy(*at, "c").agg((F.sum("d") / F.max("size")).alias("b"))
+    partial = partial.groupBy(*at).agg(F.min("b").alias("b"))
+    folded = sums.where(F.col("c").isNull()).groupBy(*at).agg(
+        F.sum("d").alias("a"), F.min("b").alias("b"), F.max("size").alias("size"), F.max("w").alias("w")
     )
-    a, b = F.col("a"), F.col("b")
-    value = F.when(F.col("mine") == 1, F.lit(0.0)).otherwise(F.coalesce(fx.ratio(b - a, F.greatest(a, b)), F.lit(0.0)))
-    per_labelling = spread.groupBy("s").agg(
-        F.sum("w").alias("n"), (F.sum(F.when(b.isNotNull(), value * F.col("w"))) / F.sum("w")).alias("silhouette")
+    found = folded.join(partial.withColumnRenamed("b", "b2"), at, "left").withColumn("b", F.least("b", "b2"))
+    a, b = F.try_divide(F.col("a"), (F.col("size") - 1).cast("double")), F.col("b")
+    value = F.when(F.col("size") == 1, F.lit(0.0)).otherwise(F.coalesce(fx.ratio(b - a, F.greatest(a, b)), F.lit(0.0)))
+    per_labelling = found.groupBy("s").agg(
+        F.sum("w").alias("n"),
+        (F.sum(F.when(b.isNotNull(), value * F.col("w"))) / F.sum("w")).alias("silhouette"),
     )
-    counts = sizes.groupBy("s").agg(F.count(F.lit(1)).alias("n_clusters"))
+    counts = sides.sizes.groupBy("s").agg(F.count(F.lit(1)).alias("n_clusters"))
     names = F.array(*[F.lit(c) for c in labels])
     return per_labelling.join(counts, "s").select(
         F.element_at(names, F.col("s") + 1).alias("labelling"), "n_clusters", "n", "silhouette"
     )
 
 
-def _distance_sums(slots: dict[tuple[int, int], int], n_labellings: int):
-    """Kernel over pairs of blocks: per point of block ``i`` the weighted distance sums to each cluster."""
-    width = len(slots)
-    # Per labelling its cluster ids in order, and the slots that belong to them.
-    known = [sorted((c, i) for (s, c), i in slots.items() if s == labelling) for labelling in range(n_labellings)]
-    ids = [np.array([c for c, _ in own], dtype=np.int64) for own in known]
-    slot_of = [np.array([i for _, i in own], dtype=np.int64) for own in known]
+@dataclass(frozen=True)
+class _Sides:
+    """Blocks for the rows and for the columns of the checkerboard, and the clusters' sizes (s, c, size)."""
+
+    rows: DataFrame
+    columns: DataFrame
+    sizes: DataFrame
 
-    def unpack(x, g, w) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        w = np.asarray(w, dtype=np.int64)
-        return np.asarray(x, dtype=float).reshape(len(w), -1), np.asarray(g, dtype=np.int64).reshape(len(w), n_labellings), w
-
-    def membership(g: np.ndarray, w: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(g), width))
-        for s in range(n_labellings):
-            out[np.arange(len(g)), slot_of[s][np.searchsorted(ids[s], g[:, s])]] = w
-        return out
-
-    def add_distances(total: np.ndarray, x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> None:
-        """One tile of distances at a time, whatever the size of the blocks."""
-        for i in range(0, len(x), TILE_ROWS):
-            for j in range(0, len(y), TILE_ROWS):
-                a, b = x[i : i + TILE_ROWS], y[j : j + TILE_ROWS]
-                d = np.zeros((len(a), len(b)))
-                for f in range(a.shape[1]):
-                    gap = a[:, f, None] - b[None, :, f]
-                    gap *= gap
-                    d += gap
-                total[i : i + TILE_ROWS] += np.sqrt(d, out=d) @ weights[j : j + TILE_ROWS]
-
-    def emit(block, x, g, w, total) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"block": block, "pos": np.arange(len(x), dtype=np.int32), "w": w, "g": list(g), "sums": list(total)}
-        )
 
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current = None
-        for batch in batches:
-            for i, ax, ag, aw, bx, bg, bw in batch.itertuples(index=False, name=None):
-                if current is None or current[0] != i:
-                    if current is not None:
-                        yield emit(*current)
-                    x, g, w = unpack(ax, ag, aw)
-                    current = (i, x, g, w, np.zeros((len(x), width)))
-                y, yg, yw = unpack(bx, bg, bw)
-                add_distances(current[4], current[1], y, membership(yg, yw))
-        if current is not None:
-            yield emit(*current)
-
-    return kernel
+def _sides(points: DataFrame, labels: Sequence[str], cols: Sequence[str], side_points: int, block_rows: int) -> _Sides:
+    features = F.array(*[F.col(c).cast("double") for c in cols])
+    merged = points.groupBy(features.alias("x"), F.array(*[F.col(c).cast("long") for c in labels]).alias("g")).agg(
+        F.count(F.lit(1)).alias("w")
+    )
+    merged = materialize(merged, "silhouette-points")
+    sizes = merged.select(F.posexplode("g").alias("s", "c"), "w").groupBy("s", "c").agg(F.sum("w").alias("size"), F.count("w").alias("different"))
+    sizes = materialize(sizes, "cluster-sizes")
+    # Every point gets the sizes of its clusters; the first labelling's small clusters keep together.
+    known = merged
+    for i in range(len(labels)):
+        own = sizes.where(F.col("s") == i).select(F.col("c").alias("_c"), F.col("size").alias(f"_n{i}"), F.col("different").alias(f"_d{i}"))
+        known = known.join(own, F.col("g")[i] == F.col("_c")).drop("_c")
+    known = known.withColumn("size", F.array(*[F.col(f"_n{i}") for i in range(len(labels))]))
+    side = max(1, math.ceil(merged.count() / side_points))
+    spread = F.xxhash64("x", "g")
+    column = F.when(F.col("_d0") * 4 <= side_points, F.xxhash64(F.col("g")[0])).otherwise(spread)
+    blocks = max(1, math.ceil(side_points / block_rows))
+    one = F.struct("x", "g", "size", "w")
+
+    def packed(place, parts: str) -> DataFrame:
+        numbered = known.withColumn("side", F.pmod(place, F.lit(side))).withColumn("block", F.col("side") * blocks + F.pmod(spread, F.lit(blocks)))
+        grouped = numbered.groupBy("side", "block").agg(F.collect_list(one).alias("p"))
+        flat = [F.flatten(f"p.{c}").alias(c) for c in ("x", "g", "size")]
+        return materialize(grouped.select(F.col("side").alias(parts), "block", *flat, F.col("p.w").alias("w")), "silhouette-blocks")
+
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(side - 1).cast("long")))
+    rows, columns = packed(spread, "i"), packed(column, "j")
+    return _Sides(rows.withColumn("j", every), columns.withColumn("i", every), sizes)
+
+
+_SUMS = "block long, pos int, w long, s int, size long, c long, d double, b double"
+
+
+def _distance_sums(sides: _Sides, labellings: int) -> DataFrame:
+    """Sums of distances of every point of a row to the clusters of a column.
+
+    Rows without ``c`` are folded: d is the sum of distances to the own cluster, b the least mean distance to another cluster that
+    lies whole in the column, size that of the own cluster. Rows with ``c`` have the sum d to that cluster, of ``size``, which lies in other columns as well.
+    """
+
+    def unpack(x, g, size, w):
+        w = np.asarray(w, dtype=np.int64)
+        shape = (len(w), labellings)
+        return np.asarray(x, dtype=float).reshape(len(w), -1), np.asarray(g, dtype=np.int64).reshape(shape), np.asarray(size, dtype=np.int64).reshape(shape), w
+
+    def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c.split()[0]: [] for c in _SUMS.split(", ")})
+        parts = [unpack(*v) for v in right[["x", "g", "size", "w"]].itertuples(index=False, name=None)]
+        y, yg, ysize, yw = (np.concatenate(v) for v in zip(*parts))
+        clusters = [np.unique(yg[:, s], return_index=True, return_inverse=True) for s in range(labellings)]
+        width = [len(ids) for ids, _, _ in clusters]
+        whole = [np.bincount(code, yw, n) == ysize[first, s] for s, ((_, first, code), n) in enumerate(zip(clusters, width))]
+        out = []
+        for block, *packed in left[["block", "x", "g", "size", "w"]].itertuples(index=False, name=None):
+            x, g, size, w = unpack(*packed)
+            step = max(1, CELLS // max(*width, 1))
+            for at in range(0, len(x), step):
+                part = slice(at, at + step)
+                sums = _cluster_sums(x[part], y, yw, [code for _, _, code in clusters], width)
+                pos = np.arange(at, at + len(sums[0]), dtype=np.int32)
+                for s, total in enumerate(sums):
+                    ids, first, _ = clusters[s]
+                    n = ysize[first, s]
+                    own = ids[None, :] == g[part, s, None]
+                    mean = np.where(own | ~whole[s], np.inf, total / n)
+                    least = mean.min(axis=1)
+                    least[np.isinf(least)] = np.nan
+                    base, own_sum = {"block": block, "s": s}, (total * own).sum(axis=1)
+                    out.append(pd.DataFrame({**base, "pos": pos, "w": w[part], "size": size[part, s], "c": pd.NA, "d": own_sum, "b": least}))
+                    i, k = np.nonzero(~own & ~whole[s][None, :])
+                    if len(i):
+                        out.append(pd.DataFrame({**base, "pos": pos[i], "w": w[part][i], "size": n[k], "c": ids[k], "d": total[i, k], "b": np.nan}))
+        return pd.concat([f.astype({"c": "Int64"}) for f in out])[[c.split()[0] for c in _SUMS.split(", ")]]
+
+    return sides.rows.groupBy("i", "j").cogroup(sides.columns.groupBy("i", "j")).applyInPandas(kernel, _SUMS)
+
+
+def _cluster_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, codes: list[np.ndarray], width: list[int]) -> list[np.ndarray]:
+    """For each labelling the weighted sums of the distances from x to the points y of every cluster; a bounded tile at a time."""
+    sums = [np.zeros((len(x), n)) for n in width]
+    step = max(1, CELLS // len(x))
+    for j in range(0, len(y), step):
+        part = y[j : j + step]
+        d = np.zeros((len(x), len(part)))
+        for f in range(x.shape[1]):
+            gap = x[:, f, None] - part[None, :, f]
+            gap *= gap
+            d += gap
+        np.sqrt(d, out=d)
+        d *= w[j : j + step]
+        for total, code in zip(sums, codes):
+            # Sums over runs of equal clusters.
+            own = code[j : j + step]
+            order = np.argsort(own, kind="stable")
+            begin = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+            total[:, own[order][begin]] += np.add.reduceat(d[:, order], begin, axis=1)
+    return sums
 
 
 def elbow(sweep: DataFrame) -> DataFrame:

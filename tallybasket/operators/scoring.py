@@ -44,8 +44,13 @@ def score_customers(
 
     PCA columns come only with ``include_metadata``; three dimensions only beside two.
     """
+    return score_inputs(model_inputs(rows, artefacts, as_of), artefacts, dim, include_metadata)
+
+
+def score_inputs(inputs: DataFrame, artefacts: Artefacts, dim: DataFrame, include_metadata: bool = True) -> DataFrame:
+    """The scores of ``score_customers`` from scaled inputs."""
     names = artefacts.feature_names
-    scored = kmeans.assign_clusters(model_inputs(rows, artefacts, as_of), names, artefacts.centres)
+    scored = kmeans.assign_clusters(inputs, names, artefacts.centres)
     plane, space = artefacts.pca_2d, artefacts.pca_3d
     extra: list[str] = []
     if include_metadata and plane is not None:

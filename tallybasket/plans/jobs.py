@@ -37,11 +37,11 @@ class Training:
 
 
 def find_optimal_clusters(
-    spark: SparkSession, folder: str, max_clusters: int = 10, restarts: int = kmeans.RESTARTS
-) -> tuple[DataFrame, int, int]:
-    """The sweep over k, the elbow's k and the k with the best silhouette."""
+    spark: SparkSession, folder: str, max_clusters: int = 10, restarts: int = kmeans.RESTARTS, **settings
+) -> tuple[DataFrame, int, int | None]:
+    """The sweep over k, the elbow's k and the k with the best silhouette; ``settings`` as in ``kmeans.sweep``."""
     scaled, _, scaler = artefacts.load_features(spark, folder)
-    table = materialize(kmeans.sweep(scaled, scaler.names, max_clusters, restarts), "sweep")
+    table = materialize(kmeans.sweep(scaled, scaler.names, max_clusters, restarts, **settings), "sweep")
     return table, metrics.elbow(table).first()["elbow_k"], metrics.best_silhouette(table).first()["best_silhouette_k"]
 
 
@@ -52,10 +52,12 @@ def best_training_job(spark: SparkSession, folder: str, max_clusters: int = 10,
 
 
 def training_job(
-    spark: SparkSession, folder: str, k: int = 4, restarts: int = kmeans.RESTARTS, with_silhouette: bool = True
+    spark: SparkSession, folder: str, k: int = 4, restarts: int = kmeans.RESTARTS, with_silhouette: bool = True, **settings
 ) -> Training:
     """Fit, measure, project and save; clusters are numbered by mean spend, greatest first.
 
+    ``settings`` go to ``kmeans.fit_kmeans``, such as ``starts``: given starting centres.
+
     Fewer distinct customers than ``k`` give fewer clusters; the number fitted is the one saved.
     The silhouette is quadratic in the number of customers and can be left out.
     """
@@ -64,18 +66,19 @@ def training_job(
     missing = clusters.unmatched_labels(full, scaled)
     if not missing.isEmpty():
         raise ValueError("the scaled table holds customers that the full table lacks")
-    fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts)
+    fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts, **settings)
     as_fitted = kmeans.assign_clusters(scaled, names, fit.centres)
     fit = replace(fit, order=kmeans.spend_order(clusters.attach_clusters(full, as_fitted), fit.k))
     labelled = materialize(kmeans.assign_clusters(scaled, names, fit.centres), "labels")
     silhouette = F.lit(None).cast("double")
     if with_silhouette:
         silhouette = metrics.silhouettes(labelled, ["Cluster"], names).select("silhouette").scalar()
+    measured = metrics.measures(labelled, ["Cluster"], names)
     scores = spark.createDataFrame([(fit.k, fit.inertia)], "k int, inertia double").select(
         "*",
         silhouette.alias("silhouette"),
-        metrics.davies_bouldin(labelled, "Cluster", names).scalar().alias("davies_bouldin"),
-        metrics.calinski_harabasz(labelled, "Cluster", names).scalar().alias("calinski_harabasz"),
+        measured.select("davies_bouldin").scalar().alias("davies_bouldin"),
+        measured.select("calinski_harabasz").scalar().alias("calinski_harabasz"),
     )
     pca = {n: kmeans.fit_pca(scaled, names, n) for n in (2, 3)}
     artefacts.save_model(folder, fit, pca, spark)

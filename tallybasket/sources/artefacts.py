@@ -1,13 +1,12 @@
-"""Folders of features, models and reports, as tables, JSON rows and Spark ML writers.
+"""Folders of features, models and reports, as tables, JSON rows and, for components, Spark ML writers.
 
 Layout: ``features/`` holds the tables ``scaled``, ``full``, ``scaler``, ``clustered`` and the
-row ``metadata``; ``model/`` the ``kmeans``, ``pca_2d`` and ``pca_3d`` models and the row
+row ``metadata``; ``model/`` the table ``kmeans`` of centres, the ``pca_2d`` and ``pca_3d`` models and the row
 ``metadata``. A missing folder raises when it is read.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import PCAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +56,8 @@ def model_metadata(spark: SparkSession, fit: kmeans.Fit, feature_means: list[flo
 
 
 def save_model(folder: str, fit: kmeans.Fit, pca: dict[int, tuple[PCAModel, kmeans.Projection]], spark: SparkSession) -> None:
-    fit.model.write().overwrite().save(f"{folder}/model/kmeans")
+    centres = spark.createDataFrame(list(enumerate(fit.fitted)), "fitted int, centre array<double>")
+    centres.coalesce(1).write.mode("overwrite").parquet(f"{folder}/model/kmeans")
     means = None
     for n, (model, projection) in pca.items():
         model.write().overwrite().save(f"{folder}/model/pca_{n}d")
@@ -89,7 +89,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def load_artefacts(spark: SparkSession, folder: str) -> Artefacts:
     """Model, scaler and, where they were saved, the projections."""
-    model = KMeansModel.load(f"{folder}/model/kmeans")
+    fitted = [r["centre"] for r in spark.read.parquet(f"{folder}/model/kmeans").orderBy("fitted").collect()]
     scaler = load_scaler(spark, folder)
     saved = load_model_metadata(spark, folder).first()
     found = {}
@@ -97,7 +97,7 @@ def load_artefacts(spark: SparkSession, folder: str) -> Artefacts:
         path = f"{folder}/model/pca_{n}d"
         if _exists(spark, path):
             found[n] = kmeans.projection_of(PCAModel.load(path), scaler.names, saved["feature_means"])
-    centres = kmeans.ordered_centres(model, saved["centre_order"])
+    centres = kmeans.ordered_centres(fitted, saved["centre_order"])
     return Artefacts(centres, scaler, found.get(2), found.get(3))
 
 

@@ -1,131 +1,132 @@
 """Scores that follow a stream of transactions.
 
-Every micro-batch is validated, reduced to one row per customer and day, and appended to
-the history; the customers it touches are scored again from all their days. Batches write
-to folders named after their id and replace them on replay, so a restart repeats nothing.
+A streaming aggregation holds one row of sums, extremes and days for every customer in Spark's state store. Each
+micro-batch adds the rows that arrived to the customers it touches, and update mode hands on these customers alone, with all
+they ever bought; they are scored and written to a folder named after the batch. A batch reads no earlier files, whatever the
+age of the stream. On replay the state is that before the batch and the folder is replaced, so a restart repeats nothing.
 
-A customer's features are sums, counts, minima and maxima over days, so days are all the
-history has to keep. No watermark: the features need the complete history. History lies in
-folders by a hash of the customer, so a batch lists and reads only the buckets it touches.
+No watermark: the features need the complete history, so no customer's state expires. Days are kept as a set, since distinct days
+are a feature; there are at most as many as days in the calendar. Refused rows go to a second query on the same source.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybasket.functions import columns as fx
-from tallybasket.operators import kmeans, preparation, scoring
+from tallybasket.operators import preparation, scoring
 from tallybasket.operators.cleaning import split_scoring_rows
-from tallybasket.operators.segments import segment_dimension, with_segment_label
+from tallybasket.operators.segments import segment_dimension
 from tallybasket.schemas import SCORING_INPUT_TEXT
 
-HISTORY_SCHEMA = (
-    "CustomerID long, day date, n long, amount double, n_amount long, quantity long, "
-    "first timestamp, last timestamp, batch_id long, bucket int"
-)
-#: Folders that customers are spread over by a hash; fixed for the life of a history.
-BUCKETS = 256
-
-
-def bucket_of(customer: Column) -> Column:
-    return F.pmod(F.xxhash64(customer), F.lit(BUCKETS)).cast("int").alias("bucket")
-
-
-def touched_history(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """All days up to a batch of the customers in it; reads no bucket without one of them."""
-    history = spark.read.schema(HISTORY_SCHEMA).parquet(f"{folder}/history").where(F.col("batch_id") <= batch_id)
-    touched = history.where(F.col("batch_id") == batch_id).select("CustomerID", "bucket").distinct()
-    # At most BUCKETS numbers, so that the filter prunes folders before anything is read.
-    buckets = sorted(r["bucket"] for r in touched.select("bucket").distinct().collect())
-    return history.where(F.col("bucket").isin(buckets)).join(touched, ["CustomerID", "bucket"], "left_semi")
-
 
 def read_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of CSV files with (CustomerID, InvoiceDate text, Amount, Quantity)."""
     return spark.readStream.schema(SCORING_INPUT_TEXT).option("header", True).csv(folder)
 
 
-def by_day(valid: DataFrame) -> DataFrame:
+def customer_state(valid: DataFrame) -> DataFrame:
+    """One row per customer of what the features need; every column can be added to by later rows."""
     amount, ts = F.col("Amount"), F.col("InvoiceDate")
-    return valid.groupBy("CustomerID", F.to_date(ts).alias("day")).agg(
+    return valid.groupBy("CustomerID").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(amount).alias("amount"),
         F.count(amount).alias("n_amount"),
         F.sum("Quantity").alias("quantity"),
         F.min(ts).alias("first"),
         F.max(ts).alias("last"),
+        F.collect_set(F.to_date(ts)).alias("days"),
     )
 
 
-def features_from_days(days: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
-    """The scoring features, from one or more rows per customer and day."""
+def features_from_state(state: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
+    """The scoring features of every customer in ``state``."""
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    grouped = days.groupBy("CustomerID").agg(
-        F.sum("n").alias("Frequency"),
-        fx.sum_or_zero(F.col("amount")).alias("Monetary"),
-        F.try_divide(F.sum("amount"), F.sum("n_amount").cast("double")).alias("AvgTransactionValue"),
-        F.sum("quantity").alias("TotalQuantity"),
-        F.min("first").alias("_first"),
-        F.max("last").alias("_last"),
-        F.countDistinct("day").alias("_days"),
-    )
-    return grouped.select(
+    return state.select(
         "CustomerID",
-        fx.whole_days(as_of, F.col("_last")).alias("Recency"),
-        "Frequency",
-        "Monetary",
-        "AvgTransactionValue",
-        F.col("Frequency").alias("TotalTransactions"),
-        "TotalQuantity",
-        (fx.whole_days(F.col("_last"), F.col("_first")) + 1).alias("CustomerLifetime"),
-        fx.ratio(F.col("Frequency"), F.col("_days")).alias("PurchaseFrequency"),
+        fx.whole_days(as_of, F.col("last")).alias("Recency"),
+        F.col("n").alias("Frequency"),
+        F.coalesce("amount", F.lit(0)).alias("Monetary"),
+        F.try_divide("amount", F.col("n_amount").cast("double")).alias("AvgTransactionValue"),
+        F.col("n").alias("TotalTransactions"),
+        F.col("quantity").alias("TotalQuantity"),
+        (fx.whole_days(F.col("last"), F.col("first")) + 1).alias("CustomerLifetime"),
+        fx.ratio(F.col("n"), F.size("days")).alias("PurchaseFrequency"),
     )
 
 
-def score_days(days: DataFrame, model: scoring.Artefacts, as_of: dt.datetime | Column) -> DataFrame:
+def score_state(
+    state: DataFrame, model: scoring.Artefacts, as_of: dt.datetime | Column, include_metadata: bool = False
+) -> DataFrame:
+    """Scores as in batch: PCA columns only with ``include_metadata``."""
     names = model.feature_names
-    built = preparation.with_logs(features_from_days(days, as_of), only=names)
-    scaled = preparation.scale_features(preparation.align_to_model(built, names), model.scaler)
-    scored = kmeans.assign_clusters(scaled, names, model.centres)
-    labelled = with_segment_label(scored, segment_dimension(days.sparkSession))
-    return labelled.select("CustomerID", F.col("Cluster").alias("Segment"), "Segment_Name", "Distance_to_Center")
-
-
-def _batch_writer(folder: str, model: scoring.Artefacts, as_of: dt.datetime | None):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        valid, refused = split_scoring_rows(batch)
-        refused.write.mode("overwrite").parquet(f"{folder}/refused/batch_id={batch_id}")
-        days = by_day(valid).withColumn("bucket", bucket_of(F.col("CustomerID")))
-        days = days.repartition("bucket", F.pmod(F.xxhash64("CustomerID", "day"), F.lit(8)))
-        days.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/history/batch_id={batch_id}")
-        batch.unpersist()
-        days = touched_history(spark, folder, batch_id)
+    built = preparation.with_logs(features_from_state(state, as_of), only=names)
+    inputs = preparation.scale_features(preparation.align_to_model(built, names), model.scaler)
+    return scoring.score_inputs(inputs, model, segment_dimension(state.sparkSession), include_metadata)
+
+
+def _scores_writer(folder: str, model: scoring.Artefacts, as_of: dt.datetime | None, include_metadata: bool):
+    def write(touched: DataFrame, batch_id: int) -> None:
         until = F.lit(as_of) if as_of is not None else F.current_timestamp()
-        score_days(days, model, until).write.mode("overwrite").parquet(f"{folder}/scores/batch_id={batch_id}")
+        scored = score_state(touched, model, until, include_metadata)
+        scored.write.mode("overwrite").parquet(f"{folder}/scores/batch_id={batch_id}")
 
     return write
 
 
+def _refused_writer(folder: str):
+    def write(refused: DataFrame, batch_id: int) -> None:
+        refused.write.mode("overwrite").parquet(f"{folder}/refused/batch_id={batch_id}")
+
+    return write
+
+
+@dataclass(frozen=True)
+class Scoring:
+    """The two running queries."""
+
+    scores: StreamingQuery
+    refused: StreamingQuery
+
+    def awaitTermination(self) -> None:
+        self.scores.awaitTermination()
+        self.refused.awaitTermination()
+
+    def stop(self) -> None:
+        self.scores.stop()
+        self.refused.stop()
+
+
 def start_scoring(
-    stream: DataFrame, folder: str, model: scoring.Artefacts, as_of: dt.datetime | None = None, **trigger
-) -> StreamingQuery:
-    """Start the query; ``trigger`` is passed on, by default ``availableNow=True``."""
-    return (
-        stream.writeStream.foreachBatch(_batch_writer(folder, model, as_of))
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    stream: DataFrame,
+    folder: str,
+    model: scoring.Artefacts,
+    as_of: dt.datetime | None = None,
+    include_metadata: bool = False,
+    **trigger,
+) -> Scoring:
+    """Start the queries; ``trigger`` is passed on, by default ``availableNow=True``.
+
+    The number of state partitions is ``spark.sql.shuffle.partitions`` at the first start and stays with the folder.
+    """
+    valid, refused = split_scoring_rows(stream)
+    trigger = trigger or {"availableNow": True}
+    scores = customer_state(valid).writeStream.outputMode("update").foreachBatch(_scores_writer(folder, model, as_of, include_metadata))
+    others = refused.writeStream.foreachBatch(_refused_writer(folder))
+    return Scoring(
+        scores.option("checkpointLocation", f"{folder}/checkpoint").trigger(**trigger).start(),
+        others.option("checkpointLocation", f"{folder}/checkpoint-refused").trigger(**trigger).start(),
     )
 
 
 def current_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The latest score of every customer."""
     scores = spark.read.parquet(f"{folder}/scores")
-    latest = F.max_by(F.struct("Segment", "Segment_Name", "Distance_to_Center"), "batch_id")
+    kept = [c for c in scores.columns if c not in ("CustomerID", "batch_id")]
+    latest = F.max_by(F.struct(*kept), "batch_id")
     return scores.groupBy("CustomerID").agg(latest.alias("s")).select("CustomerID", "s.*")

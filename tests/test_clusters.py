@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybasket.operators import comparison, dbscan, kmeans, metrics
+from tallybasket.operators import comparison, dbscan, kmeans, lloyd, metrics, ward
 from tallybasket.operators.components import connected_components
 
 COLS = ["a", "b", "c"]
@@ -57,14 +57,14 @@ def brute_dbscan(x, eps, min_samples):
     return label
 
 
-@pytest.mark.parametrize("block_rows", [7, 1000])
-def test_silhouette_in_blocks_with_copies_and_a_singleton(spark, block_rows):
+@pytest.mark.parametrize(("side_points", "block_rows"), [(20, 7), (1000, 1000)])
+def test_silhouette_in_blocks_with_copies_and_a_singleton(spark, side_points, block_rows):
     x, label = blobs()
     x = np.vstack([x, np.repeat(x[:1], 30, axis=0), [[40.0, 40.0, 40.0]]])
     label = np.concatenate([label, np.repeat(label[:1], 30), [7]])
     other = (x[:, 0] > 1).astype(int)
     df = frame(spark, x, label).withColumn("other", (F.col("a") > 1).cast("int"))
-    got = {r["labelling"]: r for r in metrics.silhouettes(df, ["label", "other"], COLS, block_rows).collect()}
+    got = {r["labelling"]: r for r in metrics.silhouettes(df, ["label", "other"], COLS, side_points, block_rows).collect()}
     assert np.isclose(got["label"]["silhouette"], brute_silhouette(x, label))
     assert np.isclose(got["other"]["silhouette"], brute_silhouette(x, other))
     assert (got["label"]["n_clusters"], got["label"]["n"]) == (4, len(x))
@@ -112,11 +112,91 @@ def test_kmeans_finds_separate_groups(spark):
     assert np.isclose(fit.inertia, total) and np.isclose(total, best)
 
 
+def lloyd_by_hand(x, centres, passes):
+    for _ in range(passes):
+        label = ((x[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        centres = np.array([x[label == g].mean(0) if (label == g).any() else c for g, c in enumerate(centres)])
+    d2 = ((x[:, None] - centres[None]) ** 2).sum(-1)
+    return centres, d2.min(1).sum(), np.bincount(d2.argmin(1), minlength=len(centres))
+
+
+@pytest.mark.parametrize("block_rows", [1, 8, 64])
+def test_batched_passes_equal_lloyd_by_hand(spark, monkeypatch, block_rows):
+    """Fits of several k from given centres, one of them with a centre that no point is near, and copies of points."""
+    monkeypatch.setattr(lloyd, "BLOCK_ROWS", block_rows)
+    x, _ = blobs(7, n=150)
+    x = np.vstack([x, np.repeat(x[:2], 40, axis=0)])
+    blocks = lloyd.pack(frame(spark, x), COLS)
+    begin = [x[:2].copy(), x[3:8].copy(), np.vstack([x[:3], [[90.0, 90, 90]]])]
+    for passes in (0, 1, 5):
+        runs, _ = lloyd.lloyd(blocks, begin, passes, 0.0)
+        for run, centres in zip(runs, begin):
+            want, cost, sizes = lloyd_by_hand(x, centres, passes)
+            assert np.allclose(run.centres, want) and np.isclose(run.cost, cost) and run.sizes == sizes.tolist()
+
+
+def test_fits_share_passes_and_drop_out(spark, monkeypatch):
+    x, _ = blobs(8, n=200)
+    blocks = lloyd.pack(frame(spark, x), COLS)
+    running, one_pass = [], lloyd.sums_of
+    monkeypatch.setattr(lloyd, "sums_of", lambda blocks, fits: (running.append(len(fits)), one_pass(blocks, fits))[1])
+    begin = [x[[i, i + 50, i + 100]] for i in range(12)]
+    runs, passes = lloyd.lloyd(blocks, begin, 300, 1e-9)
+    assert passes == len(running) == max(r.iterations for r in runs) + 1
+    assert running[0] == 12 and running == sorted(running, reverse=True) and sum(running) == sum(r.iterations + 1 for r in runs)
+
+
+def test_whole_blocks_need_no_look_at_their_points(spark, monkeypatch):
+    """Far groups of near points: every block lies at one centre, so no point is measured, and the sums are right."""
+    rng = np.random.default_rng(1)
+    x = np.repeat([[0.0, 0, 0], [50, 0, 0]], 500, axis=0) + rng.normal(scale=0.1, size=(1000, 3))
+    x = np.concatenate([x[:500], x[500:]])
+    rows, leaves = np.arange(len(x)), list(lloyd._leaves(x, np.arange(len(x))))
+    assert sorted(np.concatenate(leaves).tolist()) == rows.tolist() and max(map(len, leaves)) <= lloyd.BLOCK_ROWS
+    n = np.array([len(v) for v in leaves])
+    mean = np.array([x[v].mean(0) for v in leaves])
+    x = x[np.concatenate(leaves)]
+    far = ((x - np.repeat(mean, n, axis=0)) ** 2).sum(1)
+    at = np.cumsum(n) - n
+    radius, square = np.sqrt(np.maximum.reduceat(far, at)), np.add.reduceat(far, at)
+    measured, squares = [], lloyd._squares
+    monkeypatch.setattr(lloyd, "_squares", lambda p, c: (measured.append(len(p)), squares(p, c))[1])
+    centres = np.array([[0.0, 0, 0], [50, 0, 0]])
+    sums = lloyd._fit_sums(centres, n, radius, square, mean, x)
+    assert measured == [len(n)] and sums[:, 0].tolist() == [500, 500]
+    assert np.isclose(sums[:, 1].sum(), ((x[:, None] - centres[None]) ** 2).sum(-1).min(1).sum())
+
+
+def test_drawn_starts_do_not_depend_on_the_partitioning(spark):
+    x, _ = blobs(9, n=300)
+    df = frame(spark, x)
+    fits = [kmeans.fit_kmeans(part, COLS, 3, restarts=3) for part in (df.repartition(2), df.repartition(7))]
+    assert np.allclose(sorted(fits[0].centres), sorted(fits[1].centres)) and np.isclose(fits[0].inertia, fits[1].inertia)
+
+
+def test_fit_of_no_rows_and_of_equal_rows(spark):
+    assert kmeans.fit_kmeans(frame(spark, np.zeros((0, 3))), COLS, 3).centres == []
+    fit = kmeans.fit_kmeans(frame(spark, np.ones((20, 3))), COLS, 3)
+    assert fit.centres == [[1.0, 1.0, 1.0]] and fit.inertia == 0 and fit.sizes == [20]
+
+
+def test_packs_of_clusters_do_not_change_davies_bouldin(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    df = frame(spark, rng.normal(size=(300, 3)), rng.integers(0, 40, 300))
+    whole = metrics.measures(df, ["label"], COLS).first().asDict()
+    monkeypatch.setattr(metrics, "PACK", 6)
+    packed = metrics.measures(df, ["label"], COLS).first().asDict()
+    assert whole.keys() == packed.keys() and np.isclose(whole["davies_bouldin"], packed["davies_bouldin"]) and whole["n_clusters"] == 40
+
+
 def test_sweep_agrees_with_single_measures(spark):
     x, label = blobs(3, n=40)
     table = {r["k"]: r for r in kmeans.sweep(frame(spark, x, label), COLS, max_clusters=3, restarts=2).collect()}
     assert set(table) == {2, 3} and table[3]["inertia"] < table[2]["inertia"]
     assert np.isclose(table[3]["silhouette"], brute_silhouette(x, label))
+    quick = kmeans.sweep(frame(spark, x, label), COLS, max_clusters=3, restarts=2, with_silhouette=False).collect()
+    assert [r["silhouette"] for r in quick] == [None, None]
+    assert np.allclose(sorted(r["inertia"] for r in quick), sorted(r["inertia"] for r in table.values()))
 
 
 def test_pca_is_centred_and_signed(spark):
@@ -160,6 +240,55 @@ def test_border_point_joins_the_least_cluster(spark):
     assert [got[i] for i in range(11)] == expected.tolist()
 
 
+def brute_ward(x, n, k):
+    """Heights of all merges, and the groups when k are left, by trying every pair."""
+    groups, heights, cut = [([i], x[i], n[i]) for i in range(len(x))], [], None
+    while True:
+        if len(groups) == k:
+            cut = {frozenset(g[0]) for g in groups}
+        if len(groups) == 1:
+            return heights, cut
+        cost, i, j = min(
+            (a[2] * b[2] / (a[2] + b[2]) * ((a[1] - b[1]) ** 2).sum(), i, j)
+            for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j
+        )
+        a, b = groups[i], groups[j]
+        heights.append(np.sqrt(2 * cost))
+        groups = [g for h, g in enumerate(groups) if h not in (i, j)] + [(a[0] + b[0], (a[1] * a[2] + b[1] * b[2]) / (a[2] + b[2]), a[2] + b[2])]
+
+
+@pytest.mark.parametrize("cells", [7, 1 << 20])
+def test_ward_equals_brute_force_where_every_cell_is_a_point(spark, monkeypatch, cells):
+    monkeypatch.setattr(ward, "CELLS", cells)
+    x, _ = blobs(6, n=45)
+    copies = np.array([1 + i % 3 for i in range(len(x))])
+    df = frame(spark, np.repeat(x, copies, axis=0))
+    heights, cut = brute_ward(x, copies, 4)
+    tree = ward.dendrogram(df, COLS).orderBy("step").collect()
+    assert np.allclose([r["height"] for r in tree], heights) and tree[-1]["points"] == copies.sum()
+    assert all(max(r["left"], r["right"]) < len(x) + r["step"] for r in tree)
+    found, groups = ward.ward(df, COLS, 4).orderBy("CustomerID").collect(), {}
+    point = np.repeat(np.arange(len(x)), copies)
+    for r in found:
+        groups.setdefault(r["Cluster"], set()).add(int(point[r["CustomerID"]]))
+    assert {frozenset(g) for g in groups.values()} == cut and sorted(groups) == [0, 1, 2, 3]
+
+
+def test_ward_in_cells_keeps_all_points_and_far_groups(spark):
+    rng = np.random.default_rng(4)
+    label = rng.integers(0, 3, 3000)
+    x = np.array([[0.0, 0, 0], [90, 0, 0], [0, 90, 5]])[label] + rng.normal(size=(3000, 3))
+    placed = ward.with_cells(frame(spark, x, label), COLS, 100)
+    assert 3 < placed.select("cell").distinct().count() <= 100
+    found = ward.ward(frame(spark, x, label), COLS, 3, 100)
+    assert found.count() == 3000 and found.select("label", "Cluster").distinct().count() == 3
+
+
+def test_ward_of_few_points(spark):
+    assert ward.ward(frame(spark, np.zeros((0, 3))), COLS, 3).count() == 0
+    assert {r["Cluster"] for r in ward.ward(frame(spark, np.ones((5, 3))), COLS, 3).collect()} == {0}
+
+
 def test_comparison_goes_on_after_an_error(spark):
     x, label = blobs(5)
 

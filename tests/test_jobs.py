@@ -145,30 +145,57 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     assert spark.read.parquet(f"{target}/refused").count() == 2
 
 
-def test_replayed_batch_changes_nothing(spark, folder, tmp_path):
-    model = artefacts.load_artefacts(spark, folder)
-    write = stream._batch_writer(str(tmp_path), model, AS_OF)
-    batch = scoring_rows(spark, 20)
-    write(batch, 0)
-    before = sorted(map(tuple, stream.current_scores(spark, str(tmp_path)).collect()))
-    write(batch, 0)
-    assert sorted(map(tuple, stream.current_scores(spark, str(tmp_path)).collect())) == before
-
-
-def test_a_batch_reads_touched_buckets_only(spark, folder, tmp_path):
-    """The second batch has one customer: of the first one's history only that customer's bucket is read."""
-    model = artefacts.load_artefacts(spark, folder)
-    write = stream._batch_writer(str(tmp_path), model, AS_OF)
+def send(spark, rows, source, target, model, **settings):
+    """Append a file of rows to the source and let the stream take it."""
+    rows.coalesce(1).write.mode("append").option("header", True).csv(source)
+    stream.start_scoring(stream.read_transactions(spark, source), target, model, AS_OF, **settings).awaitTermination()
+
+
+def test_stream_gives_all_columns_of_a_batch(spark, folder, tmp_path):
+    """Three batches with returning customers, with components and features."""
+    model, source, target = artefacts.load_artefacts(spark, folder), str(tmp_path / "in"), str(tmp_path / "out")
+    rows = scoring_rows(spark, 90).collect()
+    for part in range(3):
+        send(spark, spark.createDataFrame(rows[part::3], schemas.SCORING_INPUT_TEXT), source, target, model, include_metadata=True)
+    want = jobs.score_rows(spark.createDataFrame(rows, schemas.SCORING_INPUT_TEXT), folder, as_of=AS_OF)
+    got = stream.current_scores(spark, target)
+    assert got.columns == want.columns and [c for c in got.columns if c.startswith("PCA")]
+    pairs = zip(sorted(map(tuple, got.collect())), sorted(map(tuple, want.collect())))
+    assert all(a == pytest.approx(b) if isinstance(a, float) else a == b for x, y in pairs for a, b in zip(x, y))
+
+
+def test_a_batch_reads_and_writes_nothing_of_earlier_ones(spark, folder, tmp_path):
+    """Later batches touch one customer: only that customer is scored, no folder but those of the batch changes, files do not grow."""
+    model, source, target = artefacts.load_artefacts(spark, folder), str(tmp_path / "in"), str(tmp_path / "out")
     rows = scoring_rows(spark, 60)
+    send(spark, rows, source, target, model)
     one = rows.select("CustomerID").first()["CustomerID"]
-    write(rows, 0)
-    write(rows.where(F.col("CustomerID") == one), 1)
-    days = stream.touched_history(spark, str(tmp_path), 1)
-    assert {r["CustomerID"] for r in days.collect()} == {one}
-    plan = days._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
-    scores = spark.read.parquet(f"{tmp_path}/scores")
-    assert scores.where("batch_id = 1").count() == 1
+    files = []
+    for batch in (1, 2, 3):
+        for old in (tmp_path / "out" / "scores").rglob("*.parquet"):
+            old.chmod(0)  # would fail if it were read
+        send(spark, rows.where(F.col("CustomerID") == one), source, target, model)
+        files.append(len(list((tmp_path / "out" / "scores" / f"batch_id={batch}").glob("*.parquet"))))
+    for old in (tmp_path / "out" / "scores").rglob("*.parquet"):
+        old.chmod(0o644)
+    scores = spark.read.parquet(f"{target}/scores")
+    assert {r["CustomerID"] for r in scores.where("batch_id > 0").collect()} == {one}
+    assert len(set(files)) == 1 and sorted(p.name for p in (tmp_path / "out").iterdir()) == ["checkpoint", "checkpoint-refused", "refused", "scores"]
+
+
+def test_restart_and_replay_change_nothing(spark, folder, tmp_path):
+    """A batch whose commit is lost is run again from the state before it, into the same folder."""
+    model, source, target = artefacts.load_artefacts(spark, folder), str(tmp_path / "in"), str(tmp_path / "out")
+    rows = scoring_rows(spark, 60)
+    for part in (0, 1):
+        send(spark, rows.where(F.pmod(F.hash("InvoiceDate"), F.lit(2)) == part), source, target, model)
+    before = sorted(map(tuple, stream.current_scores(spark, target).collect()))
+    start = lambda: stream.start_scoring(stream.read_transactions(spark, source), target, model, AS_OF).awaitTermination()
+    start()
+    (tmp_path / "out" / "checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "out" / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    start()
+    assert sorted(map(tuple, stream.current_scores(spark, target).collect())) == before
 
 
 def test_missing_values_are_zero_before_scaling(spark):
@@ -183,4 +210,4 @@ def test_more_clusters_than_distinct_points(spark):
     fit = kmeans.fit_kmeans(points, ["a", "b"], 4, restarts=1)
     labelled = kmeans.assign_clusters(points, ["a", "b"], fit.centres)
     order = kmeans.spend_order(labelled, fit.k)
-    assert fit.k < 4 and len(kmeans.ordered_centres(fit.model, order)) == fit.k
+    assert fit.k < 4 and len(kmeans.ordered_centres(fit.fitted, order)) == fit.k

@@ -76,29 +76,40 @@ def test_a_range_of_months_reads_its_folders_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(YearMonth" in plan(some) and 0 < some.count() < t.clean(spark, SF).count()
 
 
-def test_silhouette_emits_each_point_once_whatever_the_join(spark):
-    """One row per point leaves the kernel also when its blocks were joined by shuffles."""
+def test_silhouette_sends_blocks_along_rows_and_columns_only(spark):
+    """400 points in 4 x 4 squares: a point is sent four times each way, not once for each other block; sums come folded."""
     points = spark.range(400).select(F.col("id").alias("CustomerID"), F.rand(1).alias("x"), F.rand(2).alias("y"), (F.col("id") % 3).alias("c"))
     points = materialize(points, "points")
-    seen = []
-    kernel = metrics._distance_sums
+    sides = metrics._sides(points, ["c"], ["x", "y"], side_points=100, block_rows=10)
+    for side in (sides.rows, sides.columns):
+        assert side.select(F.sum(F.size("w"))).first()[0] == 400 * 4
+    sums = metrics._distance_sums(sides, 1)
+    assert sums.where("c IS NULL").count() == 400 * 4
+    # Three clusters that go on in all four columns: for each point the two others, once per column.
+    assert sums.where("c IS NOT NULL").count() == 400 * 4 * 2
+
+
+def test_small_clusters_stay_in_one_column(spark):
+    """A cluster for every two points: no sum leaves its square, however many clusters there are."""
+    points = spark.range(400).select(F.col("id").alias("CustomerID"), F.rand(1).alias("x"), F.rand(2).alias("y"), F.floor(F.col("id") / 2).alias("c"))
+    points = materialize(points, "points")
+    sums = metrics._distance_sums(metrics._sides(points, ["c"], ["x", "y"], side_points=100, block_rows=10), 1)
+    assert sums.where("c IS NOT NULL").count() == 0
+    whole = metrics.silhouettes(points, ["c"], ["x", "y"]).first()["silhouette"]
+    assert abs(metrics.silhouettes(points, ["c"], ["x", "y"], side_points=60, block_rows=7).first()["silhouette"] - whole) < 1e-12
 
-    def counting(slots, n):
-        inner, rows = kernel(slots, n), spark.sparkContext.accumulator(0)
-        seen.append(rows)
 
-        def run(batches):
-            for out in inner(batches):
-                rows.add(len(out))
-                yield out
+def test_nine_labellings_take_two_scans(spark, monkeypatch):
+    points = spark.range(200).select(F.rand(1).alias("x"), F.rand(2).alias("y"), *[(F.col("id") % k).alias(f"k{k}") for k in range(2, 11)])
+    points, seen, write = materialize(points, "labelled-points"), [], metrics.materialize
 
-        return run
+    def scans(df):
+        return len(re.findall(r"Relation \[x#\d+,y#\d+,k2#", df._jdf.queryExecution().optimizedPlan().toString()))
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    metrics._distance_sums = counting
-    try:
-        assert metrics.silhouettes(points, ["c"], ["x", "y"], block_rows=20).count() == 1
-    finally:
-        metrics._distance_sums = kernel
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert seen[0].value == 400
+    def counted(df, name):
+        seen.append(scans(df))
+        return write(df, name)
+
+    monkeypatch.setattr(metrics, "materialize", counted)
+    got = metrics.measures(points, [f"k{k}" for k in range(2, 11)], ["x", "y"])
+    assert got.count() == 9 and sum(seen) + scans(got) == 2
