@@ -70,16 +70,18 @@ def fit_kmeans_range(
 ) -> dict[int, Fit]:
     """For each k the fit with the least inertia among ``restarts`` seeds from ``seed`` on, or the one from ``starts``.
 
-    All fits share their passes: reading the matrix once moves the centres of every fit that still runs. Fewer different
-    rows than k give fewer centres, no rows give none.
+    All fits share their passes: reading the matrix once moves the centres of every fit that still runs. A fit ends when the squares of
+    its centres' moves add up to at most ``tol`` times the mean variance of the columns. Fewer different rows than k give
+    fewer centres, no rows give none.
     """
     blocks = lloyd.pack(matrix, cols)
+    spread = lloyd.spread_of(blocks, len(cols))
     if starts is None:
-        points, weights = lloyd.candidates(blocks, len(cols), max(ks), seed)
+        points, weights = lloyd.candidates(blocks, spread, max(ks), seed)
         begins = [(k, s, lloyd.plus_plus(points, weights, k, s)) for k in ks for s in range(seed, seed + restarts) if len(points)]
     else:
         begins = [(k, None, np.asarray(starts[k], dtype=float)) for k in ks]
-    runs, _ = lloyd.lloyd(blocks, [centres for *_, centres in begins], max_iter, tol)
+    runs, _ = lloyd.lloyd(blocks, [centres for *_, centres in begins], max_iter, tol * spread.variance)
     fits = [
         (k, Fit(run.centres.tolist(), list(cols), run.cost, start, run.sizes, run.iterations)) for (k, start, _), run in zip(begins, runs)
     ]

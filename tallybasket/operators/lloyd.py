@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybasket.session import materialize
+from tallybasket.session import materialize, prepare_tasks
 
 #: Points of a block at most.
 BLOCK_ROWS = 64
@@ -55,6 +55,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 def pack(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Blocks of the points, written: n, mean, radius, square (sum of squares about the mean) and x (all values, point by point)."""
+    prepare_tasks(matrix.sparkSession)
     width = len(cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,6 +75,10 @@ def pack(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["n", "mean", "radius", "square", "x"])
 
     values = matrix.select(*[F.col(c).cast("double") for c in cols])
+    lanes = matrix.sparkSession.sparkContext.defaultParallelism
+    if values.rdd.getNumPartitions() < lanes:
+        # Every pass has a task for each file; a table in few files would leave cores idle in all of them.
+        values = values.repartition(lanes)
     packed = values.mapInArrow(run, "n long, mean array<double>, radius double, square double, x array<double>")
     return materialize(packed, "point-blocks")
 
@@ -163,11 +168,36 @@ class Run:
     ending: bool = False
 
 
+@dataclass(frozen=True)
+class Spread:
+    """Number and mean of all points, and their sum of squares about the mean."""
+
+    n: int
+    mean: np.ndarray
+    square: float
+
+    @property
+    def variance(self) -> float:
+        """Mean variance of the columns."""
+        return self.square / self.n / len(self.mean) if self.n else 0.0
+
+
+def spread_of(blocks: DataFrame, width: int) -> Spread:
+    """From the blocks' own sums; no point is read."""
+    mean = [F.col("mean")[i] for i in range(width)]
+    first = blocks.agg(F.sum("n"), *[F.sum(F.col("n") * m) / F.sum("n") for m in mean]).first()
+    if not first[0]:
+        return Spread(0, np.zeros(width), 0.0)
+    middle = np.array(first[1:], dtype=float)
+    far = sum((m - float(c)) * (m - float(c)) for m, c in zip(mean, middle))
+    return Spread(first[0], middle, float(blocks.agg(F.sum(F.col("square") + F.col("n") * far)).first()[0]))
+
+
 def lloyd(blocks: DataFrame, starts: Sequence[np.ndarray], max_iter: int, tol: float) -> tuple[list[Run], int]:
     """All fits from their starting centres, and the number of passes.
 
-    A fit ends when no centre moves farther than ``tol`` or after ``max_iter`` moves; its cost is that of its last centres, so it takes one
-    pass more than it moves. A centre without points stays.
+    A fit ends when the squares of its centres' moves add up to at most ``tol``, or after ``max_iter`` moves; its cost is that of its
+    last centres, so it takes one pass more than it moves. A centre without points stays.
     """
     runs = [Run(np.asarray(start, dtype=float), ending=max_iter == 0) for start in starts]
     running, passes = list(runs), 0
@@ -180,7 +210,7 @@ def lloyd(blocks: DataFrame, starts: Sequence[np.ndarray], max_iter: int, tol: f
             full = sums[:, 0] > 0
             moved = run.centres.copy()
             moved[full] = sums[full, 2:] / sums[full, :1]
-            gap = np.sqrt(((moved - run.centres) ** 2).sum(axis=1)).max()
+            gap = ((moved - run.centres) ** 2).sum()
             run.centres, run.iterations = moved, run.iterations + 1
             run.ending = gap <= tol or run.iterations >= max_iter
         running = [r for r in running if not r.sizes]
@@ -201,8 +231,8 @@ def _uniform(x: np.ndarray, salt: int) -> np.ndarray:
     return (h >> np.uint64(11)) / float(1 << 53)
 
 
-def _draw(blocks: DataFrame, near: np.ndarray, expected: int, cost: float | None, salt: int) -> tuple[float, np.ndarray]:
-    """Cost of ``near`` and, if a cost is given, about ``expected`` different points drawn in proportion to theirs."""
+def _draw(blocks: DataFrame, near: np.ndarray, expected: int, cost: float, salt: int) -> tuple[float, np.ndarray]:
+    """Cost of ``near``, and about ``expected`` different points drawn in proportion to theirs, ``cost`` being that of all."""
     width = near.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +245,7 @@ def _draw(blocks: DataFrame, near: np.ndarray, expected: int, cost: float | None
                 for c in range(0, len(near), 64):
                     d2 = np.minimum(d2, _squares(part, near[c : c + 64]).min(axis=1))
                 total += float(d2.sum())
-                if cost:
-                    drawn.append(part[_uniform(part, salt) < expected * d2 / cost])
+                drawn.append(part[_uniform(part, salt) < expected * d2 / cost])
         found = np.unique(np.concatenate(drawn), axis=0)
         columns = [pa.array([0.0] * len(found) + [total]), pa.array([*found.tolist(), None], pa.list_(pa.float64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["cost", "x"])
@@ -226,15 +255,12 @@ def _draw(blocks: DataFrame, near: np.ndarray, expected: int, cost: float | None
     return sum(r["cost"] for r in rows if r["x"] is None), np.array(drawn).reshape(-1, width)
 
 
-def candidates(blocks: DataFrame, width: int, k: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+def candidates(blocks: DataFrame, spread: Spread, k: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """A few hundred points that fits can begin at, with the number of points near each."""
-    sums = [F.sum(F.col("n") * F.col("mean")[i]) / F.sum("n") for i in range(width)]
-    middle = blocks.agg(*[s.alias(f"m{i}") for i, s in enumerate(sums)]).first()
-    if middle[0] is None:
-        return np.zeros((0, width)), np.zeros(0)
-    near = np.array([list(middle)])
-    cost, _ = _draw(blocks, near, 0, None, salt)
-    found = np.zeros((0, width))
+    if not spread.n:
+        return np.zeros((0, len(spread.mean))), np.zeros(0)
+    near, cost = spread.mean[None, :], spread.square
+    found = near[:0]
     for turn in range(ROUNDS):
         if not cost:
             break

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybasket.functions import columns as fx
-from tallybasket.session import materialize
+from tallybasket.session import materialize, prepare_tasks
 
 # The elbow's slow-down factor and the k it falls back to.
 ELBOW_FACTOR = 0.7
@@ -23,6 +23,10 @@ BLOCK_ROWS = 2048
 CELLS = 1 << 22
 #: Points that a task of the silhouette holds of each side; their number of groups is the only thing that grows with the table.
 SIDE_POINTS = 65_536
+#: Points of a row at least, where rows are made for the sake of busy cores.
+LEAST_ROWS = 256
+#: Clusters of all labellings in a square up to which sums are a product with their members; beyond, sums over sorted runs. Both are exact.
+FEW_CLUSTERS = 256
 #: Clusters compared in one row of the Davies-Bouldin index.
 PACK = 256
 
@@ -131,6 +135,7 @@ def silhouettes(
     that lie whole in its column into a least mean distance, and emits sums of those alone that go on in
     other columns; small clusters stand together in one column. The work stays quadratic in the distinct points.
     """
+    prepare_tasks(points.sparkSession)
     sides = _sides(points, labels, cols, side_points, block_rows)
     sums = materialize(_distance_sums(sides, len(labels)), "silhouette-sums")
     at = ["block", "pos", "s"]
@@ -176,21 +181,26 @@ def _sides(points: DataFrame, labels: Sequence[str], cols: Sequence[str], side_p
         own = sizes.where(F.col("s") == i).select(F.col("c").alias("_c"), F.col("size").alias(f"_n{i}"), F.col("different").alias(f"_d{i}"))
         known = known.join(own, F.col("g")[i] == F.col("_c")).drop("_c")
     known = known.withColumn("size", F.array(*[F.col(f"_n{i}") for i in range(len(labels))]))
-    side = max(1, math.ceil(merged.count() / side_points))
+    n_points, lanes = merged.count(), points.sparkSession.sparkContext.defaultParallelism
+    n_columns = max(1, math.ceil(n_points / side_points))
+    # As many rows as columns, or more where the squares would not keep all cores busy.
+    n_rows = max(n_columns, min(math.ceil(3 * lanes / n_columns), math.ceil(n_points / LEAST_ROWS)))
     spread = F.xxhash64("x", "g")
     column = F.when(F.col("_d0") * 4 <= side_points, F.xxhash64(F.col("g")[0])).otherwise(spread)
     blocks = max(1, math.ceil(side_points / block_rows))
     one = F.struct("x", "g", "size", "w")
 
-    def packed(place, parts: str) -> DataFrame:
+    def packed(place, side: int, parts: str) -> DataFrame:
         numbered = known.withColumn("side", F.pmod(place, F.lit(side))).withColumn("block", F.col("side") * blocks + F.pmod(spread, F.lit(blocks)))
         grouped = numbered.groupBy("side", "block").agg(F.collect_list(one).alias("p"))
         flat = [F.flatten(f"p.{c}").alias(c) for c in ("x", "g", "size")]
         return materialize(grouped.select(F.col("side").alias(parts), "block", *flat, F.col("p.w").alias("w")), "silhouette-blocks")
 
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(side - 1).cast("long")))
-    rows, columns = packed(spread, "i"), packed(column, "j")
-    return _Sides(rows.withColumn("j", every), columns.withColumn("i", every), sizes)
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    rows, columns = packed(spread, n_rows, "i"), packed(column, n_columns, "j")
+    return _Sides(rows.withColumn("j", every(n_columns)), columns.withColumn("i", every(n_rows)), sizes)
 
 
 _SUMS = "block long, pos int, w long, s int, size long, c long, d double, b double"
@@ -219,7 +229,7 @@ def _distance_sums(sides: _Sides, labellings: int) -> DataFrame:
         out = []
         for block, *packed in left[["block", "x", "g", "size", "w"]].itertuples(index=False, name=None):
             x, g, size, w = unpack(*packed)
-            step = max(1, CELLS // max(*width, 1))
+            step = max(1, CELLS // max(1, sum(width)))
             for at in range(0, len(x), step):
                 part = slice(at, at + step)
                 sums = _cluster_sums(x[part], y, yw, [code for _, _, code in clusters], width)
@@ -243,7 +253,8 @@ def _distance_sums(sides: _Sides, labellings: int) -> DataFrame:
 
 def _cluster_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, codes: list[np.ndarray], width: list[int]) -> list[np.ndarray]:
     """For each labelling the weighted sums of the distances from x to the points y of every cluster; a bounded tile at a time."""
-    sums = [np.zeros((len(x), n)) for n in width]
+    begin = np.cumsum([0, *width])
+    sums = np.zeros((len(x), begin[-1]))
     step = max(1, CELLS // len(x))
     for j in range(0, len(y), step):
         part = y[j : j + step]
@@ -253,14 +264,20 @@ def _cluster_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, codes: list[np.nd
             gap *= gap
             d += gap
         np.sqrt(d, out=d)
+        if begin[-1] <= FEW_CLUSTERS:
+            member = np.zeros((len(part), begin[-1]))
+            for at, code in zip(begin, codes):
+                member[np.arange(len(part)), at + code[j : j + step]] = w[j : j + step]
+            sums += d @ member
+            continue
         d *= w[j : j + step]
-        for total, code in zip(sums, codes):
+        for at, code in zip(begin, codes):
             # Sums over runs of equal clusters.
             own = code[j : j + step]
             order = np.argsort(own, kind="stable")
-            begin = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
-            total[:, own[order][begin]] += np.add.reduceat(d[:, order], begin, axis=1)
-    return sums
+            head = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+            sums[:, at + own[order][head]] += np.add.reduceat(d[:, order], head, axis=1)
+    return [sums[:, a:b] for a, b in zip(begin, begin[1:])]
 
 
 def elbow(sweep: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,17 @@ def scratch_path(spark: SparkSession, name: str = "table") -> str:
     return f"{shared_dir(spark)}/tallybasket/{name}-{uuid.uuid4().hex}"
 
 
+def prepare_tasks(spark: SparkSession) -> None:
+    """Put the folder this package was imported from onto the import path of tasks that run Python.
+
+    A driver may have put it onto its own path alone. On a cluster it must be there on every machine.
+    """
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
