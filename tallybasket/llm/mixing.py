@@ -6,7 +6,7 @@ among the others by weight, and this repeats until no share is above its cap. A
 over the table of sources; the number of rounds is at most the number of clamped sources.
 
 **Taking.** A source with target t and size s repeats all documents floor(t / s) times and takes one more
-copy of a seeded part of them. Each document has a pseudo-random 40-bit number from its id and the seed;
+copy of a seeded part of them. Each row has a pseudo-random 40-bit number from its id and the seed;
 the extra copies are those below a threshold per source. The threshold is found by histograms: 1,024
 buckets of the leading bits, then 1,024 of the next in the one bucket that holds it, each a small sum per
 source, so no source is ever sorted or gathered.
@@ -36,10 +36,15 @@ def source_key() -> Column:
     return F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))
 
 
-def draw(seed: int) -> Column:
-    """40-bit number of a document, the same in every run."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 10), 16, 10).cast("long")
+def with_draw(rows: DataFrame, repeated: DataFrame, seed: int) -> DataFrame:
+    """Add ``draw``, a 40-bit number of a row: of its id alone, the same in every run, or of its id and place if the id is in ``repeated``.
+
+    Rows that share an id would otherwise be taken all or not at all, and one that makes a third of its source would miss the target.
+    """
+    found = rows.join(repeated, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    place = F.when(F.col("_again"), F.concat(F.lit(":"), F.monotonically_increasing_id().cast("string"))).otherwise("")
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), place)
+    return found.withColumn("draw", F.conv(F.substring(F.md5(text.cast("binary")), 1, 10), 16, 10).cast("long")).drop("_id", "_again")
 
 
 def water_fill(sources: DataFrame, total: Column, max_epochs: float) -> DataFrame:
@@ -132,10 +137,16 @@ def mix(
     ``weights`` has ``source`` (null for rows without one) and ``weight``; a source it lacks has weight 0.
     The mix has ``total_share`` times all words. Returns per row of ``docs``: doc_id, source_key, size,
     source_size, target, repeats (int), taken = repeats * size, and the columns named in ``carry``. ``repeats`` never exceeds ceil(max_epochs).
-    Null or empty texts have size 0 and are repeated like others; rows that repeat draw the same number;
-    a null doc_id draws that of the empty id. An empty table gives an empty result.
+    Null or empty texts have size 0 and are repeated like others. Rows that share an id draw a number each, by their place in the
+    table, so that a source with a hot id meets its target too; which of them are taken depends on the table's layout. A null doc_id
+    is an id. An empty table gives an empty result; a carried column named like one of the results is refused.
     """
+    clash = set(carry) & {"doc_id", "source_key", "size", "source_size", "target", "repeats", "taken", "draw", "whole", "extra", "below"}
+    if clash:
+        raise ValueError(f"carried columns clash with results: {sorted(clash)}")
     rows = saved(sized(docs), "mixing-sizes")
+    repeated = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
+    repeated = saved(repeated.select("_id", F.lit(True).alias("_again")), "mixing-repeated")
     sizes = rows.groupBy("source_key").agg(F.sum("size").alias("size"))
     weighted = sizes.join(
         weights.select(source_key().alias("source_key"), F.col("weight").cast("double")), "source_key", "left"
@@ -146,20 +157,24 @@ def mix(
     plan = filled.select("source_key", F.col("size").alias("source_size"), "target", F.floor(rate).cast("int").alias("whole"))
     plan = plan.withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = saved(plan, "mixing-plan")
-    drawn = rows.withColumn("draw", draw(seed))
+    drawn = with_draw(rows, repeated, seed)
     below = _threshold(drawn, plan.select("source_key", "extra"))
     full = saved(plan.join(below, "source_key"), "mixing-thresholds")
     repeats = (F.col("whole") + (F.col("draw") < F.col("below")).cast("int")).alias("repeats")
     # The texts, if they are carried, are not written with the sizes but read again from ``docs``.
-    drawn = sized(docs, carry).withColumn("draw", draw(seed)) if carry else drawn
+    drawn = with_draw(sized(docs, carry), repeated, seed) if carry else drawn
     out = drawn.join(full, "source_key").select("doc_id", "source_key", "size", "source_size", "target", repeats, *carry)
     return out.withColumn("taken", F.col("repeats").cast("long") * F.col("size"))
 
 
 def cycling_weights(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
     """Weights for the sources in code point order, null last, repeating ``cycle``; one row per source."""
-    names = docs.select(source_key().alias("k")).distinct()
-    order = Window.orderBy(F.when(F.col("k") == NO_SOURCE, 1).otherwise(0), "k")
-    at = F.row_number().over(order) - 1
+    last = F.when(F.col("k") == NO_SOURCE, 1).otherwise(0)
+    # Sources stand in order over range partitions; a row's place is its place in its partition and the rows of those before.
+    names = docs.select(source_key().alias("k")).distinct().repartitionByRange(last, "k")
+    names = saved(names.select("k", F.spark_partition_id().alias("part")), "mixing-names")
+    sizes = names.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    at = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(last, "k")) - 1
     weight = F.element_at(F.array(*[F.lit(w) for w in cycle]), (at % len(cycle) + 1).cast("int"))
-    return names.select(F.when(F.col("k") != NO_SOURCE, F.col("k")).alias("source"), weight.alias("weight"))
+    return names.join(before, "part").select(F.when(F.col("k") != NO_SOURCE, F.col("k")).alias("source"), weight.alias("weight"))

@@ -62,3 +62,27 @@ def test_no_rows(no_docs):
 def test_native_plan(docs):
     plan = mixing.mix(docs, mixing.cycling_weights(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("carry", [[], ["text"]])
+def test_a_hot_id_does_not_miss_the_target(spark, carry):
+    """One row makes a third of a source that takes one and a half of itself: its copies are taken one by one."""
+    rows = [(7, "w " * 10, "en", "a")] * 1500 + [(i + 100, "w " * 10, "en", "a") for i in range(3000)]
+    docs = as_table(spark, rows)
+    weights = spark.createDataFrame([("a", 1.0)], "source string, weight double")
+    out = mixing.mix(docs, weights, total_share=1.5, carry=carry)
+    taken = out.agg(F.sum("taken")).first()[0]
+    assert abs(taken - 67_500) < (200 if not carry else 1500)
+    assert out.where("doc_id = 7").select("repeats").distinct().count() == 2
+
+
+def test_sources_are_numbered_over_partitions(spark):
+    names = [f"s{i:03}" for i in range(40)] + [None]
+    docs = as_table(spark, [(i, "w", "en", s) for i, s in enumerate(names * 2)])
+    got = {r["source"]: r["weight"] for r in mixing.cycling_weights(docs).collect()}
+    assert got == {s: [5, 2, 1][i % 3] for i, s in enumerate(names)}
+
+
+def test_clashing_carried_columns_are_refused(docs):
+    with pytest.raises(ValueError, match="size"):
+        mixing.mix(docs, mixing.cycling_weights(docs), carry=["size"])
