@@ -96,11 +96,12 @@ def passes(rejected: int, n: int, rate: float, error: float) -> bool:
 def choose_cutoffs(good: DataFrame, max_false_rejection: float = MAX_FALSE_REJECTION, error: float = ERROR) -> DataFrame:
     """Per stratum the level that passed and its cutoffs: ``stratum``, ``level``, ``cutoffs`` (array<double>).
 
-    ``good``: labelled good documents that the base rules keep, with ``stratum``, ``doc_id`` and ``v`` (array of
-    the rules' values).
+    ``good``: labelled good documents that the base rules keep, with ``stratum``, ``text_hash`` and ``v`` (array of
+    the rules' values). Copies of a text are one observation, in one half: the binomial bound is about independent documents.
     """
     names = list(rules())
-    half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2))
+    good = saved(good.dropDuplicates(["stratum", "text_hash"]), "rules-observations")
+    half = F.pmod(F.xxhash64("text_hash", F.lit(3)), F.lit(2))
     shares = [1.0 - share for share, _ in LEVELS]
     proposed = good.where(half == 0).groupBy("stratum").agg(
         *[F.percentile_approx(F.col("v")[i], shares, ACCURACY).alias(name) for i, name in enumerate(names)]
@@ -139,19 +140,20 @@ def apply_rules(docs: DataFrame, labels: DataFrame, max_false_rejection: float =
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, and
     ``level`` (null where no cutoff passed). Null texts count as empty, a null language is a stratum of its own,
     labels that are null, differ for one id, or belong to no document are left out. Repeated rows give repeated
-    rows; an empty table gives an empty result; other columns are ignored.
+    rows, and texts that repeat count once where cutoffs are chosen; an empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_STRATUM)).alias("stratum"),
+        F.xxhash64(text_or_empty()).alias("text_hash"),
         text_or_empty().alias("text"),
     )
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    measured = with_statistics(rows).select("doc_id", "stratum", *base, base_failed().alias("base_failed"), F.array(*rules().values()).alias("v"))
+    measured = with_statistics(rows).select("doc_id", "stratum", "text_hash", *base, base_failed().alias("base_failed"), F.array(*rules().values()).alias("v"))
     measured = saved(measured, "rules-statistics")
     known = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.min("quality").alias("least"), F.max("quality").alias("most")).where(F.col("least") == 1).select("doc_id")
-    good = saved(measured.where(~F.col("base_failed")).join(known, "doc_id").select("doc_id", "stratum", "v"), "rules-good")
+    good = saved(measured.where(~F.col("base_failed")).join(known, "doc_id").select("stratum", "text_hash", "v"), "rules-good")
     cutoffs = saved(choose_cutoffs(good, max_false_rejection, error), "rules-cutoffs")
     judged = measured.join(cutoffs, "stratum", "left")
     over = any_of([F.col("v")[j] > F.col("cutoffs")[j] for j in range(len(rules()))])
