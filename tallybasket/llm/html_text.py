@@ -21,6 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -90,7 +91,6 @@ TEASER_NAMES = {"recommendations", "recommended", "related", "reply"}
 TEXT_BLOCKS = {
     "blockquote", "body", "caption", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "html", "legend", "p", "pre", "summary",
 }
-ARTICLE = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "related", "recommended", "recommendations"}
 ARTICLE = {"article", "main"}
 _GAP = r"[ \t\n\r\f]*"
 _NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*"
@@ -106,11 +106,11 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "total", "cut", "by_name", "doubtful", "teaser")
+    __slots__ = ("name", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "total", "cut", "by_name", "doubtful", "teaser", "cleared")
 
     def __init__(self, name: str, parent: Node | None, cut: bool = False, by_name: bool = False):
         self.name, self.parent, self.cut, self.by_name = name, parent, cut, by_name
-        self.doubtful = self.teaser = False
+        self.doubtful = self.teaser = self.cleared = False
         self.children: list[Node | str] = []
 
 
@@ -137,16 +137,42 @@ def _names(name: str, attributes: dict[str, str]) -> set[str]:
     return {t.replace("-", "").replace("_", "").lower() for key in ("class", "id") for t in attributes.get(key, "").split()}
 
 
+def _next_tag(page: str, at: int, last: int) -> re.Match | None:
+    """The next tag or comment. Beyond ``last``, the place of the last ">", nothing but a comment without an end is one."""
+    while True:
+        start = page.find("<", at)
+        if start > last:
+            start = page.find("<!--", start)
+        if start < 0:
+            return None
+        found = TAG.match(page, start)
+        if found:
+            return found
+        at = start + 1
+
+
 def parse(page: str) -> Node:
-    """Tree of the page; unclosed and stray tags are forgiven, texts keep their character references."""
+    """Tree of the page; unclosed and stray tags are forgiven, texts keep their character references.
+
+    How many elements of each name are open is counted, so that no tag looks for an open element up to the root in vain.
+    """
     root = node = Node("html", None)
+    opened: Counter[str] = Counter()
+    last = page.rfind(">")
+
+    def leave(node: Node, until: Node) -> Node:
+        while node is not until:
+            opened[node.name] -= 1
+            node = node.parent
+        return until
+
     at = 0
     while True:
-        found = TAG.search(page, at)
+        found = _next_tag(page, at, last)
         if found is None:
             # A tag that the page's end cuts short is no text.
             rest = page[at:]
-            cut_short = re.search(r"<[/!a-zA-Z][^>]*\Z", rest)
+            cut_short = re.compile(r"<[/!a-zA-Z]").search(rest, rest.rfind(">") + 1)
             rest = rest[: cut_short.start()] if cut_short else rest
             if rest:
                 node.children.append(rest)
@@ -158,32 +184,36 @@ def parse(page: str) -> Node:
         if not name or name in ("html", "!doctype"):
             continue
         if found[1]:
-            node = _close(node, name)
+            node = leave(node, _close(node, name)) if opened[name] else node
             continue
-        if name in ENDS_P:
-            node = _close(node, "p", {"button", "td", "th", "caption", "table"}, forgiving=False)
+        if name in ENDS_P and opened["p"]:
+            node = leave(node, _close(node, "p", {"button", "td", "th", "caption", "table"}, forgiving=False))
         if name in SIBLINGS:
             kinds, limits = SIBLINGS[name]
-            probe = node
-            while probe is not None and probe.name not in limits:
+            probe = kept = node
+            while any(opened[k] for k in kinds) and probe is not None and probe.name not in limits:
                 if probe.name in kinds:
-                    node = probe.parent
+                    kept = probe.parent
                 probe = probe.parent
-        inside = any(x.name in ARTICLE for x in _up(node)) if name == "header" else True
+            node = leave(node, kept)
+        inside = any(opened[x] for x in ARTICLE) if name == "header" else True
         attributes = _attributes(found[3]) if found[3].strip() else {}
         own_names = _names(name, attributes)
         said = name != "body" and _said_away(attributes)
         if name in ARTICLE:
             sure, doubtful = NEVER_ARTICLE, TEASER_NAMES
-        elif own_names and (name == "section" or any(x.name == "article" for x in _up(node))):
+        elif own_names and (name == "section" or opened["article"]):
             sure, doubtful = SURE_NAMES, DOUBTFUL_NAMES | CUT_NAMES
         else:
             sure, doubtful = CUT_NAMES, DOUBTFUL_NAMES
         by_name = said or bool(own_names & sure)
         if name in ARTICLE and not by_name:
             for outer in _up(node):
+                if outer.cleared:
+                    break
                 outer.cut = outer.cut and not outer.by_name
                 outer.doubtful = outer.doubtful and outer.teaser
+                outer.cleared = True
         kept_name = by_name and not said and not own_names & NEVER_ARTICLE
         child = Node(name, node, name in CUT or not inside or by_name, kept_name and name not in CUT)
         child.doubtful, child.teaser = bool(own_names & doubtful), bool(own_names & TEASER_NAMES)
@@ -196,6 +226,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else len(page)
             continue
         node = child
+        opened[name] += 1
 
 
 def _up(node: Node | None) -> Iterator[Node]:
@@ -247,7 +278,11 @@ def _measure(root: Node) -> list[Node]:
 
 
 def _density(node: Node, body_share: float) -> float:
-    """Characters per tag, adjusted by the characters and tags of links."""
+    """Characters per tag, adjusted by the characters and tags of links.
+
+    The published formula, with 1 added inside the first logarithm and e - 1 inside the second, which keep both positive where
+    a node has few characters; a count of zero tags or link characters counts as one.
+    """
     c, lc, t, lt = node.chars, node.link_chars, max(node.tags, 1), max(node.link_tags, 1)
     if not c:
         return 0.0

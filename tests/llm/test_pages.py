@@ -1,6 +1,7 @@
 """Main text of pages, URL rules, and exact search."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -179,3 +180,15 @@ def test_coordinates_prune_and_lose_nothing():
         found = list(top_k.block_top(np.array([i]), q, np.array([bound]), np.arange(500), v, norms, 5))
         want = sorted((-s, j) for j, s in enumerate(scores) if j != i)[:5]
         assert [(j, s) for _, ids, sc in found for j, s in zip(ids, sc)] == [(j, -s) for s, j in want]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["if a<b then x " * 75_000, "if a<b then x " * 75_000 + ">", "<" * 1_000_000, "<div>" * 100_000 + "text", "<article>" * 100_000 + "text",
+     "<span>" * 100_000 + "text" + "</b>" * 1000, "<li>" * 100_000 + "text", "<!--" * 200_000],
+    ids=["open tags", "one tag", "signs", "boxes", "articles", "inline", "items", "comments"],
+)
+def test_awkward_pages_take_time_in_proportion(page):
+    begin = time.time()
+    html_text.main_text(page)
+    assert time.time() - begin < 30

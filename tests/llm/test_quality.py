@@ -115,3 +115,19 @@ def test_classifier_on_awkward_rows(spark, docs, no_docs, rows):
 def test_isotonic_pools_violators():
     got = quality_model.isotonic(np.array([1, 1, 2, 1]), np.array([0.0, 1.0, 1.0, 1.0]))
     assert got.tolist() == pytest.approx([0, 2 / 3, 2 / 3, 1])
+
+
+def test_copies_are_one_observation(spark):
+    """Two hundred good texts certify a cutoff; one of them, labelled two hundred times, is one document and certifies none."""
+    rng = random.Random(4)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(80))
+    values = [(f"v{i}", [float(rng.random()) for _ in quality_rules.rules()]) for i in range(600)]
+    schema = "stratum string, text_hash long, v array<double>"
+    many = spark.createDataFrame([("en", hash(name), v) for name, v in values], schema)
+    copies = spark.createDataFrame([("en", 1, values[0][1])] * 600, schema)
+    assert quality_rules.choose_cutoffs(many).count() == 1 and quality_rules.choose_cutoffs(copies).count() == 0
+    # The same through the operator: labels of copies add nothing.
+    one, ids = text(), range(300)
+    docs = spark.createDataFrame([(i, one, "en") for i in ids], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    assert {r["level"] for r in quality_rules.apply_rules(docs, labels).collect()} == {None}
