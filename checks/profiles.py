@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import tables as t
@@ -92,8 +93,9 @@ def report_figures(spark, sf_dir):
             F.element_at("distribution.segments", name)["count"].alias("count"),
             F.element_at(F.element_at("characteristics", name)["metrics"], F.lit("Monetary"))["median"].alias("median_spend"),
             F.element_at("revenue", name)["Revenue_Percentage"].alias("Revenue_Percentage"),
-            F.element_at("recommendations", name)["avg_recency"].alias("avg_recency"),
-            F.col("executive_summary.segments_identified").alias("segments_identified"),
+            F.element_at("recommendations", name)["key_characteristics"]["avg_recency"].alias("avg_recency"),
+            F.element_at("recommendations", name)["business_actions"]["goal"].alias("goal"),
+            F.col("executive_summary.project_overview.segments_identified").alias("segments_identified"),
         )
     )
 
@@ -144,6 +146,13 @@ def ordered_clusters(spark, sf_dir):
     return t.comparable(seg.cluster_distribution(t.clustered(spark, sf_dir)).orderBy("Cluster"))
 
 
+def clusters_in_order(spark, sf_dir):
+    """The clusters with their place in order of id and the customers up to it."""
+    order = Window.orderBy("Cluster")
+    rows = seg.cluster_distribution(t.clustered(spark, sf_dir))
+    return t.comparable(rows.select("Cluster", F.row_number().over(order).alias("place"), F.sum("count").over(order).alias("upto")))
+
+
 def formatted(spark, sf_dir):
     """Sums of single customers as text with thousands separators and fixed decimals."""
     from tallybasket.functions import columns as fx
@@ -200,7 +209,7 @@ QUERIES = {
     "d28_distribution_chart": lambda s, d: t.comparable(ops.distribution_chart(distribution(s, d))),
     "d28_revenue_charts": lambda s, d: t.comparable(ops.revenue_charts(revenue(s, d))),
     "f1_segments_by_count": lambda s, d: t.comparable(distribution(s, d).select("Segment_Name", "count")),
-    "f2_by_cluster": ordered_clusters,
+    "f2_by_cluster": clusters_in_order,
     "f4_extremes": extremes,
     "h3_half_even": lambda s, d: t.comparable(revenue(s, d).select("Segment_Name", "Revenue_Percentage", "Customer_Percentage"), 2),
     "h9_formatted_text": formatted,
@@ -311,7 +320,7 @@ SELECT {quoted(ops.SUMMARY_TITLE)} AS title, '2024-02-01' AS "date", (SELECT cou
     "d20_report_figures": f"""{BASE}, {_REV} SELECT "Segment_Name", (SELECT count(*) FROM clustered) AS total_customers, "Customer_Count" AS "count",
   {r('"Median_Revenue_per_Customer"')} AS median_spend, {r('"Revenue_Percentage"')} AS "Revenue_Percentage",
   {r('(SELECT avg("Recency") FROM clustered JOIN dim d USING ("Cluster") WHERE d."Segment_Name" = rev."Segment_Name")')} AS avg_recency,
-  (SELECT count(*) FROM rev) AS segments_identified FROM rev""",
+  (SELECT goal FROM dim d WHERE d."Segment_Name" = rev."Segment_Name") AS goal, (SELECT count(*) FROM rev) AS segments_identified FROM rev""",
     "d20_insight_lines": f"""{BASE}, {_DIST}, {_REV} SELECT 'distribution' AS section, row_number() OVER (ORDER BY "count" DESC, "Segment_Name") AS line,
   "Segment_Name" || ': ' || "count" || ' customers (' || printf('%.1f', percentage) || '%)' AS "text" FROM dist
 UNION ALL SELECT 'revenue', row_number() OVER (ORDER BY "Segment_Name"),
@@ -337,7 +346,8 @@ FROM box JOIN ends ON box."Cluster" = ends."Cluster" AND box.metric = ends.metri
     "d28_revenue_charts": f"""{BASE}, {_REV} SELECT "Segment_Name", {r('"Revenue_Percentage"')} AS "Revenue_Percentage", "Customer_Count",
   {r('"Total_Revenue"')} AS "Total_Revenue", {r('"Avg_Revenue_per_Customer" / 10')} AS marker_size FROM rev""",
     "f1_segments_by_count": f'{BASE}, {_DIST} SELECT "Segment_Name", "count" FROM dist ORDER BY "count" DESC, "Segment_Name"',
-    "f2_by_cluster": _DISTRIBUTION_BY_ID + ' ORDER BY "Cluster"',
+    "f2_by_cluster": f"""{BASE}, g AS (SELECT "Cluster", count(*) AS n FROM clustered GROUP BY "Cluster")
+SELECT CAST("Cluster" AS BIGINT) AS "Cluster", row_number() OVER (ORDER BY "Cluster") AS place, CAST(sum(n) OVER (ORDER BY "Cluster") AS BIGINT) AS upto FROM g""",
     "f4_extremes": f"""{BASE}, {_DIST}, {_REV} SELECT 'largest' AS what, (SELECT "Segment_Name" FROM dist ORDER BY "count" DESC, "Segment_Name" LIMIT 1) AS "Segment_Name"
 UNION ALL SELECT 'smallest', (SELECT "Segment_Name" FROM dist ORDER BY "count", "Segment_Name" LIMIT 1)
 UNION ALL SELECT 'top_revenue', (SELECT "Segment_Name" FROM rev ORDER BY "Total_Revenue" DESC, "Segment_Name" LIMIT 1)""",

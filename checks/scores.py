@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import fits
+from checks import cleaning, fits
 from checks import tables as t
 from checks.clusterings import GIVEN_LOADINGS, PCA_NAMES
 from checks.customers import ALL_FEATURES_SQL, FINAL, SCORING_SQL, scaled_sql
@@ -83,6 +83,19 @@ def full_sink(spark, sf_dir):
     return t.comparable(artefacts.load_features(spark, folder)[1])
 
 
+def cleaning_report(part):
+    """A part of the cleaning report that the feature job left beside the features."""
+
+    def run(spark, sf_dir):
+        folder = scratch_path(spark, "features")
+        jobs.feature_job(t.tx(spark, sf_dir), folder)
+        report = artefacts.load_cleaning_report(spark, folder)
+        rows = report.select(F.inline("checks")) if part == "checks" else report.select(f"{part}.*")
+        return t.comparable(rows)
+
+    return run
+
+
 def month_table(spark, sf_dir):
     """Clean rows written as a table by month and read back."""
     path = transactions.write_clean_table(t.clean(spark, sf_dir), scratch_path(spark, "months"))
@@ -182,7 +195,7 @@ def batch_segments(spark, sf_dir):
 _REPORT = (
     "distribution struct<total_customers: long, segments: map<string, struct<`count`: long, percentage: double>>>, "
     "revenue map<string, struct<Total_Revenue: double, Avg_Revenue_per_Customer: double, Revenue_Percentage: double>>, "
-    "executive_summary struct<segments_identified: long>"
+    "executive_summary struct<project_overview: struct<segments_identified: long>>"
 )
 
 
@@ -193,7 +206,7 @@ def report_files(spark, sf_dir):
     text = spark.read.text(f"{folder}/results/segment_profiling_report")
     report = text.select(F.from_json("value", _REPORT).alias("r")).select("r.*")
     rows = report.select(
-        "distribution.total_customers", "executive_summary.segments_identified", "revenue", F.explode("distribution.segments").alias("Segment_Name", "d")
+        "distribution.total_customers", "executive_summary.project_overview.segments_identified", "revenue", F.explode("distribution.segments").alias("Segment_Name", "d")
     ).withColumn("m", F.col("revenue")[F.col("Segment_Name")])
     return t.comparable(rows.select("total_customers", "segments_identified", "Segment_Name", "d.*", "m.*"))
 
@@ -285,6 +298,9 @@ QUERIES = {
     "a5_scaled_sink": scaled_sink,
     "a6_full_sink": full_sink,
     "a9_feature_tables": feature_folder,
+    "d11_saved_outliers": cleaning_report("outliers"),
+    "d12_saved_checks": cleaning_report("checks"),
+    "d13_saved_audit": cleaning_report("audit"),
     "a11_model_metadata": model_metadata,
     "a12_saved_projection": saved_projection,
     "a13_clustered_sink": clustered_sink,
@@ -390,3 +406,8 @@ SELECT total_customers, (SELECT count(*) FROM dist) AS segments_identified, dist
   {r('"Revenue_Percentage"')} AS "Revenue_Percentage" FROM dist JOIN rev ON rev."Segment_Name" = dist."Segment_Name" """,
     "j1_stream_columns": f"WITH {SCORED} SELECT {_CORE}, {_PCA}, {_FEATURES} FROM scored",
 }
+ORACLES |= {
+    "d11_saved_outliers": cleaning.ORACLES["d11_outlier_report"],
+    "d12_saved_checks": cleaning.ORACLES["d12_quality_checks"],
+    "d13_saved_audit": cleaning.ORACLES["d13_cleaning_audit"],
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,17 +51,18 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
     return with_date_parts(with_amount(keep_purchases(integer_customer_ids(drop_missing_customers(raw)))))
 
 
-def cleaning_audit(raw: DataFrame) -> DataFrame:
-    """How many rows each cleaning step removes, in one pass over the raw rows."""
+def _audit_counts() -> list[Column]:
     known = F.col("CustomerID").isNotNull()
-    kept = known & (F.col("Quantity") > 0)
-    counts = with_nulls(raw).agg(
+    return [
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(~known).alias("removed_missing_customer"),
         F.count_if(known & (F.col("Quantity") < 0)).alias("removed_cancellations"),
         F.count_if(known & ((F.col("Quantity") == 0) | F.col("Quantity").isNull())).alias("removed_no_quantity"),
-        F.count_if(kept).alias("rows_out"),
-    )
+        F.count_if(known & (F.col("Quantity") > 0)).alias("rows_out"),
+    ]
+
+
+def _audited(counts: DataFrame) -> DataFrame:
     return counts.select(
         "*",
         (F.col("rows_in") - F.col("rows_out")).alias("removed_total"),
@@ -69,6 +70,36 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
     )
 
 
+def cleaning_audit(raw: DataFrame) -> DataFrame:
+    """How many rows each cleaning step removes, in one pass over the raw rows."""
+    return _audited(with_nulls(raw).agg(*_audit_counts()))
+
+
+def observed_cleaning(raw: DataFrame) -> tuple[DataFrame, Observation, Observation]:
+    """Clean rows, and the counts of the audit and of the checks that whatever action reads these rows makes on its way.
+
+    The counts cost no scan of their own; they are there once the rows have been written.
+    """
+    audit, checks = Observation("audit"), Observation("checks")
+    clean = clean_transactions(with_nulls(raw).observe(audit, *_audit_counts()))
+    return clean.observe(checks, *_check_counts()), audit, checks
+
+
+def observed_audit(spark: SparkSession, audit: Observation) -> DataFrame:
+    """The row of ``cleaning_audit`` from what was observed."""
+    return _audited(_one_row(spark, audit))
+
+
+def observed_checks(spark: SparkSession, checks: Observation) -> DataFrame:
+    """The rows of ``quality_checks`` from what was observed."""
+    return _judged(_one_row(spark, checks))
+
+
+def _one_row(spark: SparkSession, seen: Observation) -> DataFrame:
+    values = seen.get
+    return spark.createDataFrame([tuple(values.values())], ", ".join(f"{c} long" for c in values))
+
+
 def amount_summary(clean: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of Amount, as one row."""
     quartiles = quantile_row(clean, ["Amount"], [0.25, 0.5, 0.75]).select("Amount").scalar()
@@ -120,18 +151,28 @@ def outlier_report(clean: DataFrame) -> DataFrame:
     return counts.select(*[fences.getField(b).alias(b) for b in bounds], "n_outliers", "n_rows")
 
 
-def quality_checks(df: DataFrame) -> DataFrame:
-    """Four checks, each with status, count and message. Failing rows are counted, not removed."""
-    # Check names and message endings.
+# Check names and message endings.
+CHECK_ENDINGS = {
+    "missing_customers": "missing CustomerIDs",
+    "negative_quantities": "non-positive quantities",
+    "invalid_dates": "invalid dates",
+    "invalid_amounts": "invalid amounts",
+}
+
+
+def _check_counts() -> list[Column]:
     checks = {
-        "missing_customers": (F.col("CustomerID").isNull(), "missing CustomerIDs"),
-        "negative_quantities": (F.col("Quantity") <= 0, "non-positive quantities"),
-        "invalid_dates": (F.col("InvoiceDate").isNull(), "invalid dates"),
-        "invalid_amounts": (F.col("Amount") <= 0, "invalid amounts"),
+        "missing_customers": F.col("CustomerID").isNull(),
+        "negative_quantities": F.col("Quantity") <= 0,
+        "invalid_dates": F.col("InvoiceDate").isNull(),
+        "invalid_amounts": F.col("Amount") <= 0,
     }
-    counts = with_nulls(df).agg(*[F.count_if(bad).alias(name) for name, (bad, _) in checks.items()])
-    endings = F.create_map(*[F.lit(x) for name, (_, text) in checks.items() for x in (name, text)])
-    return counts.unpivot([], list(checks), "check", "n").select(
+    return [F.count_if(bad).alias(name) for name, bad in checks.items()]
+
+
+def _judged(counts: DataFrame) -> DataFrame:
+    endings = F.create_map(*[F.lit(x) for item in CHECK_ENDINGS.items() for x in item])
+    return counts.unpivot([], list(CHECK_ENDINGS), "check", "n").select(
         "check",
         F.when(F.col("n") == 0, "PASS").otherwise("FAIL").alias("status"),
         "n",
@@ -139,6 +180,11 @@ def quality_checks(df: DataFrame) -> DataFrame:
     )
 
 
+def quality_checks(df: DataFrame) -> DataFrame:
+    """Four checks, each with status, count and message. Failing rows are counted, not removed."""
+    return _judged(with_nulls(df).agg(*_check_counts()))
+
+
 def _reasons(date_text: Column) -> Column:
     amount, quantity = F.col("Amount"), F.col("Quantity")
     reasons = {

@@ -197,6 +197,7 @@ def executive_summary(distribution: DataFrame, revenue: DataFrame, date: dt.date
         F.max(mean).alias("greatest_mean"),
     )
     m = money.select(F.struct("*")).scalar()
+    # The wording of the findings and of the impact.
     return found.select(
         F.lit(SUMMARY_TITLE).alias("title"),
         F.date_format(date, "yyyy-MM-dd").alias("date"),
@@ -237,10 +238,9 @@ def insight_lines(distribution: DataFrame, revenue: DataFrame) -> DataFrame:
             fx.one_decimal(F.col("Revenue_Percentage")),
         ).alias("text"),
     )
-    top = distribution.limit(1).select(
-        F.lit("recommendations").alias("section"), F.posexplode(text_array(SUMMARY_RECOMMENDATIONS[:3])).alias("line", "text")
-    )
-    return sizes.unionByName(money).unionByName(top.withColumn("line", F.col("line") + 1))
+    lines = [("recommendations", i, text) for i, text in enumerate(SUMMARY_RECOMMENDATIONS[:3], 1)]
+    fixed = distribution.sparkSession.createDataFrame(lines, "section string, line int, text string")
+    return sizes.unionByName(money).unionByName(fixed)
 
 
 def box_plot(clustered: DataFrame, metrics: Sequence[str] = tuple(BOX_METRICS)) -> DataFrame:
@@ -302,6 +302,25 @@ def _by_key(a: Column, b: Column) -> Column:
     return F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
 
 
+def nested_summary(summary: DataFrame) -> DataFrame:
+    """The summary's row as it stands in a report: the overview apart from findings, impact and advice."""
+    overview = ["title", "date", "total_customers", "segments_identified"]
+    return summary.select(F.struct(*overview).alias("project_overview"), *[c for c in summary.columns if c not in overview])
+
+
+def nested_recommendations(rows: DataFrame) -> DataFrame:
+    """Recommendations as they stand in a report; a segment without customers has no characteristics."""
+    means = F.struct("avg_recency", "avg_frequency", "avg_monetary", "customer_lifetime")
+    return rows.select(
+        "Segment_Name",
+        "description",
+        "size",
+        F.when(F.col("size") > 0, means).alias("key_characteristics"),
+        F.struct("goal", "actions", "kpis").alias("business_actions"),
+        "success_metrics",
+    )
+
+
 def full_report(clustered: DataFrame, dim: DataFrame, date: dt.date | None = None) -> DataFrame:
     """All analyses as one row of nested values. Each part holds a few rows per segment."""
     distribution = materialize(segment_distribution(clustered, dim), "distribution")
@@ -314,14 +333,14 @@ def full_report(clustered: DataFrame, dim: DataFrame, date: dt.date | None = Non
             F.array_sort(F.collect_list(F.struct("metric", F.struct("mean", "median", "std", "min", "max", "q25", "q75"))))
         ).alias("metrics"),
     )
-    summary = executive_summary(distribution, revenue, date)
+    summary = nested_summary(executive_summary(distribution, revenue, date))
     return summary.select(
         F.struct(
-            F.col("total_customers").alias("total_customers"),
+            F.col("project_overview.total_customers").alias("total_customers"),
             nested(distribution.drop("total_customers"), "Segment_Name").alias("segments"),
         ).alias("distribution"),
         nested(by_segment, "Segment_Name").alias("characteristics"),
         nested(revenue, "Segment_Name").alias("revenue"),
-        nested(recommendations(clustered, dim), "Segment_Name").alias("recommendations"),
+        nested(nested_recommendations(recommendations(clustered, dim)), "Segment_Name").alias("recommendations"),
         F.struct(*summary.columns).alias("executive_summary"),
     )

@@ -17,9 +17,22 @@ from tallybasket.session import materialize
 from tallybasket.sources import artefacts, transactions
 
 
+#: What the features and the outlier report need of a clean row.
+FEATURE_INPUTS = ["CustomerID", "InvoiceNo", "StockCode", "InvoiceDate", "Quantity", "Amount"]
+
+
 def feature_job(raw: DataFrame, folder: str, reference_date: dt.datetime | None = None) -> None:
-    """Raw transactions to the feature tables. The full features are written before they are reused."""
-    clean = cleaning.clean_transactions(raw)
+    """Raw transactions to the feature tables and the cleaning report.
+
+    The raw rows are read once: the clean rows are written, which counts what cleaning removes and what the checks find, and
+    everything else reads them.
+    """
+    spark = raw.sparkSession
+    watched, audit, checks = cleaning.observed_cleaning(raw)
+    clean = materialize(watched.select(*FEATURE_INPUTS), "clean")
+    artefacts.save_cleaning_report(
+        folder, cleaning.observed_audit(spark, audit), cleaning.observed_checks(spark, checks), cleaning.outlier_report(clean)
+    )
     full = materialize(features.customer_features(clean, reference_date), "features")
     matrix = materialize(preparation.unscaled_matrix(full), "matrix")
     names = [c for c in matrix.columns if c != "CustomerID"]

@@ -1,7 +1,7 @@
 """Folders of features, models and reports, as tables, JSON rows and, for components, Spark ML writers.
 
 Layout: ``features/`` holds the tables ``scaled``, ``full``, ``scaler``, ``clustered`` and the
-row ``metadata``; ``model/`` the table ``kmeans`` of centres, the ``pca_2d`` and ``pca_3d`` models and the row
+rows ``metadata`` and ``cleaning``; ``model/`` the table ``kmeans`` of centres, the ``pca_2d`` and ``pca_3d`` models and the row
 ``metadata``. A missing folder raises when it is read.
 """
 
@@ -38,6 +38,27 @@ def save_features(folder: str, scaled: DataFrame, full: DataFrame, parameters: D
     feature_metadata(parameters, scaled).write.mode("overwrite").json(f"{folder}/features/metadata")
 
 
+CLEANING_REPORT = (
+    "audit struct<rows_in: long, removed_missing_customer: long, removed_cancellations: long, removed_no_quantity: long, rows_out: long, "
+    "removed_total: long, retention_pct: double>, checks array<struct<check: string, status: string, n: long, message: string>>, "
+    "outliers struct<q1: double, q3: double, iqr: double, lower_bound: double, upper_bound: double, n_outliers: long, n_rows: long>"
+)
+
+
+def save_cleaning_report(folder: str, audit: DataFrame, checks: DataFrame, outliers: DataFrame) -> None:
+    """One JSON row: the audit, the four checks and the outlier fences."""
+    report = audit.select(F.struct("*").alias("audit")).select(
+        "audit",
+        checks.agg(F.sort_array(F.collect_list(F.struct("*")))).scalar().alias("checks"),
+        outliers.select(F.struct("*")).scalar().alias("outliers"),
+    )
+    save_report(report, f"{folder}/features/cleaning")
+
+
+def load_cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(CLEANING_REPORT).json(f"{folder}/features/cleaning")
+
+
 def load_features(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Scaler]:
     """Scaled matrix, full features and scaler."""
     scaled = spark.read.parquet(f"{folder}/features/scaled")

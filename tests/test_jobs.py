@@ -34,6 +34,35 @@ def folder(spark, tmp_path_factory):
     return path
 
 
+def test_cleaning_report_beside_the_features(spark, folder):
+    report = artefacts.load_cleaning_report(spark, folder).first()
+    rows = report["audit"]["rows_in"]
+    assert report["audit"]["rows_out"] == rows and report["audit"]["retention_pct"] == 100.0
+    found = {c["check"]: (c["status"], c["n"], c["message"]) for c in report["checks"]}
+    # One row cost nothing.
+    assert found["invalid_amounts"] == ("FAIL", 1, "1 invalid amounts") and found["missing_customers"] == ("PASS", 0, "0 missing CustomerIDs")
+    assert report["outliers"]["n_rows"] == rows and report["outliers"]["lower_bound"] < report["outliers"]["upper_bound"]
+
+
+def test_feature_job_reads_the_raw_rows_once(spark, tmp_path, monkeypatch):
+    """The raw file is gone after the first table was written; the counts are those of all rows."""
+    rows = [(f"i{i}", "s", "d", q, dt.datetime(2024, 1, 1 + i % 9), 2.0, c, "UK") for i, (q, c) in enumerate([(1, 1.0), (2, 2.0), (-1, 1.0), (0, 2.0), (3, None), (4, float("nan")), (5, 3.0)])]
+    spark.createDataFrame(rows, schemas.RAW_TRANSACTIONS).coalesce(1).write.parquet(str(tmp_path / "raw"))
+    raw, write = spark.read.parquet(str(tmp_path / "raw")), jobs.materialize
+
+    def once(df, name):
+        out = write(df, name)
+        for file in (tmp_path / "raw").glob("*.parquet"):
+            file.unlink()
+        return out
+
+    monkeypatch.setattr(jobs, "materialize", once)
+    jobs.feature_job(raw, str(tmp_path / "out"))
+    audit = artefacts.load_cleaning_report(spark, str(tmp_path / "out")).first()["audit"]
+    assert (audit["rows_in"], audit["removed_missing_customer"], audit["removed_cancellations"], audit["removed_no_quantity"], audit["rows_out"]) == (7, 2, 1, 1, 3)
+    assert artefacts.load_features(spark, str(tmp_path / "out"))[1].count() == 3
+
+
 def test_feature_metadata(spark, folder):
     row = spark.read.json(f"{folder}/features/metadata").first()
     assert row["n_customers"] == 40 and row["n_features"] == 6 and len(row["scaler_mean"]) == 6
@@ -126,7 +155,7 @@ def test_optimal_clusters_and_report(spark, folder):
     report = jobs.report_job(spark, folder, dt.date(2024, 3, 1)).first()
     assert report["distribution"]["total_customers"] == 40
     summary = artefacts.load_report(spark, f"{folder}/results/executive_summary").first()
-    assert summary["date"] == "2024-03-01"
+    assert summary["project_overview"]["date"] == "2024-03-01" and summary["next_steps"]
 
 
 def test_stream_equals_batch(spark, folder, tmp_path):

@@ -76,6 +76,17 @@ def test_a_range_of_months_reads_its_folders_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(YearMonth" in plan(some) and 0 < some.count() < t.clean(spark, SF).count()
 
 
+def test_a_month_is_written_by_as_many_tasks_as_its_rows_need(spark, tmp_path, monkeypatch):
+    """One large and one small month, and rows without a date, with AQE not merging small partitions."""
+    monkeypatch.setattr(transactions, "MONTH_ROWS", 100)
+    months = F.when(F.col("id") < 2000, "2024-01").when(F.col("id") < 2050, "2024-02")
+    rows = spark.range(2060).select(F.col("id").alias("CustomerID"), F.col("id").cast("string").alias("InvoiceNo"), months.alias("YearMonth"))
+    path = transactions.write_clean_table(rows, str(tmp_path / "months"))
+    assert transactions.read_parquet_table(spark, path).count() == 2060
+    files = {m: len(list((tmp_path / "months" / f"YearMonth={m}").glob("*.parquet"))) for m in ("2024-01", "2024-02")}
+    assert files["2024-02"] == 1 and files["2024-01"] >= 1
+
+
 def test_silhouette_sends_blocks_along_rows_and_columns_only(spark):
     """400 points in 4 x 4 squares: a point is sent four times each way, not once for each other block; sums come folded."""
     points = spark.range(400).select(F.col("id").alias("CustomerID"), F.rand(1).alias("x"), F.rand(2).alias("y"), (F.col("id") % 3).alias("c"))

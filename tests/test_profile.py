@@ -141,6 +141,16 @@ def test_report_parses(clustered, dim):
     assert set(report) == {"distribution", "characteristics", "revenue", "recommendations", "executive_summary"}
     assert report["distribution"]["total_customers"] == 137
     assert set(report["characteristics"]["VIP Customers"]["metrics"]) == set(METRICS)
+    summary, advice = report["executive_summary"], report["recommendations"]["VIP Customers"]
+    assert set(summary["project_overview"]) == {"title", "date", "total_customers", "segments_identified"}
+    assert {"key_findings", "business_impact", "recommendations", "next_steps"} <= set(summary) and "date" not in summary
+    assert set(advice["business_actions"]) == {"goal", "actions", "kpis"} and "avg_monetary" in advice["key_characteristics"]
+
+
+def test_fixed_lines_stay_without_customers(clustered, dim):
+    none = clustered.where("false")
+    lines = profile.insight_lines(profile.segment_distribution(none, dim), profile.revenue_contribution(none, dim)).collect()
+    assert [(r["section"], r["line"]) for r in lines] == [("recommendations", i) for i in (1, 2, 3)]
 
 
 def test_segment_info_unknown_and_without_data(clustered, dim):
