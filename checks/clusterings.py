@@ -255,6 +255,7 @@ QUERIES = {
     "i7_silhouette": vector_silhouette,
     "i7_customer_silhouette": customer_silhouette,
     "i7_silhouette_sweep": lambda s, d: t.comparable(silhouette_sweep(s, d), 6),
+    "i7_squared_silhouette": lambda s, d: t.comparable(metrics.squared_silhouettes(labelled(s, d), ["label"], FINAL), 6),
     "i8_davies_bouldin": lambda s, d: t.comparable(metrics.davies_bouldin(vectors(s, d), "label", VECTOR), 6),
     "i8_customer_davies_bouldin": lambda s, d: t.comparable(metrics.davies_bouldin(labelled(s, d), "label", FINAL)),
     "i9_calinski_harabasz": lambda s, d: t.comparable(metrics.calinski_harabasz(vectors(s, d), "label", VECTOR)),
@@ -360,6 +361,9 @@ SELECT id AS "CustomerID", CAST(arg_min(label, d) AS BIGINT) AS "Cluster", {r('m
     "i7_silhouette": silhouette_sql(_VECTORS, "label"),
     "i7_customer_silhouette": silhouette_sql(_POINTS, "label"),
     "i7_silhouette_sweep": _SILHOUETTES,
+    "i7_squared_silhouette": silhouette_sql(_POINTS, "label").replace("list_distance(p.x, q.x)", "list_distance(p.x, q.x) ** 2").replace(
+        "AS silhouette", "AS squared_silhouette"
+    ),
     "i8_davies_bouldin": _davies(_VECTORS, 64, 6),
     "i8_customer_davies_bouldin": _davies(_POINTS, 6),
     "i9_calinski_harabasz": _calinski(_VECTORS, 64),

@@ -137,7 +137,7 @@ def sweep(
 
     ``matrix`` is read many times and should be a written table. Each k is a column of labels, so that all k share one
     grouping for the centroids, one for the spreads and one pass over the distances. The silhouette is quadratic in
-    the number of customers; left out, it is NULL.
+    the number of customers; left out, it is NULL. That of squared distances stands beside it, linear and always there.
     """
     fits = fit_kmeans_range(matrix, cols, range(2, max_clusters + 1), seed, restarts, max_iter, tol, starts)
     labelled = matrix
@@ -148,11 +148,13 @@ def sweep(
     spread = metrics.measures(labelled, names, cols).select("labelling", "davies_bouldin", "calinski_harabasz")
     costs = [(k, f"k{k}", fit.inertia) for k, fit in fits.items()]
     table = labelled.sparkSession.createDataFrame(costs, "k int, labelling string, inertia double").join(spread, "labelling", "left")
+    squared = metrics.squared_silhouettes(labelled, names, cols).select("labelling", "squared_silhouette")
+    table = table.join(squared, "labelling", "left")
     if with_silhouette:
         table = table.join(materialize(metrics.silhouettes(labelled, names, cols), "sweep-silhouettes"), "labelling", "left")
     else:
         table = table.withColumn("silhouette", F.lit(None).cast("double"))
-    return table.select("k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz")
+    return table.select("k", "inertia", "silhouette", "squared_silhouette", "davies_bouldin", "calinski_harabasz")
 
 
 @dataclass(frozen=True)

@@ -158,6 +158,39 @@ def silhouettes(
     )
 
 
+def squared_silhouettes(points: DataFrame, labels: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Mean silhouette with squared Euclidean distances: labelling, n_clusters, n, squared_silhouette.
+
+    The mean squared distance to a cluster follows from its centroid and spread, so this measure takes passes in proportion
+    to the table, where the Euclidean one takes every pair; its values are other ones. Meant for a number of clusters that
+    fits in a row, as k-means has. NULL for fewer than two clusters; a point alone in its cluster counts 0.
+    """
+    clusters = cluster_spreads(points, labels, cols)
+    one = F.struct("c", "n", (F.col("within") / F.col("n")).alias("v"), F.array(*[f"c_{c}" for c in cols]).alias("m"))
+    packed = materialize(clusters.groupBy(F.col("s").alias("_s")).agg(F.collect_list(one).alias("_all")), "silhouette-clusters")
+    x = [F.col(c) for c in cols]
+
+    def mean_square(cluster):
+        return fx.squared_distance(x, [cluster["m"][i] for i in range(len(cols))]) + cluster["v"]
+
+    own = F.filter("_all", lambda k: k["c"] == F.col("_c"))[0]
+    others = F.filter("_all", lambda k: k["c"] != F.col("_c"))
+    measured = _stacked(points, labels, cols).join(packed, "_s").select(
+        "_s",
+        F.size("_all").alias("_k"),
+        own["n"].alias("_n"),
+        (mean_square(own) * fx.ratio(own["n"], own["n"] - 1)).alias("_a"),
+        F.array_min(F.transform(others, mean_square)).alias("_b"),
+    )
+    a, b = F.col("_a"), F.col("_b")
+    value = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.coalesce(fx.ratio(b - a, F.greatest(a, b)), F.lit(0.0)))
+    found = measured.groupBy("_s").agg(
+        F.max("_k").cast("long").alias("n_clusters"), F.count(F.lit(1)).alias("n"), F.avg(F.when(b.isNotNull(), value)).alias("squared_silhouette")
+    )
+    names = F.array(*[F.lit(c) for c in labels])
+    return found.select(F.element_at(names, F.col("_s") + 1).alias("labelling"), "n_clusters", "n", "squared_silhouette")
+
+
 @dataclass(frozen=True)
 class _Sides:
     """Blocks for the rows and for the columns of the checkerboard, and the clusters' sizes (s, c, size)."""
@@ -292,5 +325,5 @@ def elbow(sweep: DataFrame) -> DataFrame:
 
 
 def best_silhouette(sweep: DataFrame) -> DataFrame:
-    """The k with the greatest silhouette, the smallest such k on ties."""
-    return sweep.orderBy(F.desc("silhouette"), "k").limit(1).select(F.col("k").alias("best_silhouette_k"))
+    """The k with the greatest silhouette, the smallest such k on ties; no row if none was measured."""
+    return sweep.where(F.col("silhouette").isNotNull()).orderBy(F.desc("silhouette"), "k").limit(1).select(F.col("k").alias("best_silhouette_k"))

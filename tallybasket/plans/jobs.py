@@ -13,7 +13,7 @@ from tallybasket.functions import columns as fx
 from tallybasket.operators import cleaning, clusters, features, kmeans, metrics, preparation, profile, scoring, segments
 from tallybasket.operators.comparison import compare
 from tallybasket.schemas import SCORING_COLUMNS, require_columns
-from tallybasket.session import materialize
+from tallybasket.session import materialize, scratch_scope
 from tallybasket.sources import artefacts, transactions
 
 
@@ -28,17 +28,18 @@ def feature_job(raw: DataFrame, folder: str, reference_date: dt.datetime | None
     everything else reads them.
     """
     spark = raw.sparkSession
-    watched, audit, checks = cleaning.observed_cleaning(raw)
-    clean = materialize(watched.select(*FEATURE_INPUTS), "clean")
-    artefacts.save_cleaning_report(
-        folder, cleaning.observed_audit(spark, audit), cleaning.observed_checks(spark, checks), cleaning.outlier_report(clean)
-    )
-    full = materialize(features.customer_features(clean, reference_date), "features")
-    matrix = materialize(preparation.unscaled_matrix(full), "matrix")
-    names = [c for c in matrix.columns if c != "CustomerID"]
-    parameters = materialize(preparation.scaler_parameters(matrix, names), "scaler")
-    scaled = preparation.scale_features(matrix, preparation.Scaler.from_table(parameters))
-    artefacts.save_features(folder, scaled, full, parameters)
+    with scratch_scope(spark):
+        watched, audit, checks = cleaning.observed_cleaning(raw)
+        clean = materialize(watched.select(*FEATURE_INPUTS), "clean")
+        artefacts.save_cleaning_report(
+            folder, cleaning.observed_audit(spark, audit), cleaning.observed_checks(spark, checks), cleaning.outlier_report(clean)
+        )
+        full = materialize(features.customer_features(clean, reference_date), "features")
+        matrix = materialize(preparation.unscaled_matrix(full), "matrix")
+        names = [c for c in matrix.columns if c != "CustomerID"]
+        parameters = materialize(preparation.scaler_parameters(matrix, names), "scaler")
+        scaled = preparation.scale_features(matrix, preparation.Scaler.from_table(parameters))
+        artefacts.save_features(folder, scaled, full, parameters)
 
 
 @dataclass(frozen=True)
@@ -52,10 +53,17 @@ class Training:
 def find_optimal_clusters(
     spark: SparkSession, folder: str, max_clusters: int = 10, restarts: int = kmeans.RESTARTS, **settings
 ) -> tuple[DataFrame, int, int | None]:
-    """The sweep over k, the elbow's k and the k with the best silhouette; ``settings`` as in ``kmeans.sweep``."""
+    """The sweep over k, the elbow's k and the k with the best silhouette (None if the sweep leaves it out).
+
+    ``settings`` as in ``kmeans.sweep``.
+    """
     scaled, _, scaler = artefacts.load_features(spark, folder)
-    table = materialize(kmeans.sweep(scaled, scaler.names, max_clusters, restarts, **settings), "sweep")
-    return table, metrics.elbow(table).first()["elbow_k"], metrics.best_silhouette(table).first()["best_silhouette_k"]
+    with scratch_scope(spark):
+        found = kmeans.sweep(scaled, scaler.names, max_clusters, restarts, **settings)
+        # One row for each k.
+        table = spark.createDataFrame(found.collect(), found.schema)
+    best = metrics.best_silhouette(table).first()
+    return table, metrics.elbow(table).first()["elbow_k"], best and best["best_silhouette_k"]
 
 
 def best_training_job(spark: SparkSession, folder: str, max_clusters: int = 10, restarts: int = kmeans.RESTARTS) -> Training:
@@ -79,23 +87,25 @@ def training_job(
     missing = clusters.unmatched_labels(full, scaled)
     if not missing.isEmpty():
         raise ValueError("the scaled table holds customers that the full table lacks")
-    fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts, **settings)
-    as_fitted = kmeans.assign_clusters(scaled, names, fit.centres)
-    fit = replace(fit, order=kmeans.spend_order(clusters.attach_clusters(full, as_fitted), fit.k))
-    labelled = materialize(kmeans.assign_clusters(scaled, names, fit.centres), "labels")
-    silhouette = F.lit(None).cast("double")
-    if with_silhouette:
-        silhouette = metrics.silhouettes(labelled, ["Cluster"], names).select("silhouette").scalar()
-    measured = metrics.measures(labelled, ["Cluster"], names)
-    scores = spark.createDataFrame([(fit.k, fit.inertia)], "k int, inertia double").select(
-        "*",
-        silhouette.alias("silhouette"),
-        measured.select("davies_bouldin").scalar().alias("davies_bouldin"),
-        measured.select("calinski_harabasz").scalar().alias("calinski_harabasz"),
-    )
-    pca = {n: kmeans.fit_pca(scaled, names, n) for n in (2, 3)}
-    artefacts.save_model(folder, fit, pca, spark)
-    artefacts.save_clustered(folder, clusters.attach_clusters(full, labelled))
+    with scratch_scope(spark):
+        fit = kmeans.fit_kmeans(scaled, names, k, restarts=restarts, **settings)
+        as_fitted = kmeans.assign_clusters(scaled, names, fit.centres)
+        fit = replace(fit, order=kmeans.spend_order(clusters.attach_clusters(full, as_fitted), fit.k))
+        labelled = materialize(kmeans.assign_clusters(scaled, names, fit.centres), "labels")
+        silhouette = F.lit(None).cast("double")
+        if with_silhouette:
+            silhouette = metrics.silhouettes(labelled, ["Cluster"], names).select("silhouette").scalar()
+        measured = metrics.measures(labelled, ["Cluster"], names)
+        scores = spark.createDataFrame([(fit.k, fit.inertia)], "k int, inertia double").select(
+            "*",
+            silhouette.alias("silhouette"),
+            measured.select("davies_bouldin").scalar().alias("davies_bouldin"),
+            measured.select("calinski_harabasz").scalar().alias("calinski_harabasz"),
+        )
+        pca = {n: kmeans.fit_pca(scaled, names, n) for n in (2, 3)}
+        artefacts.save_model(folder, fit, pca, spark)
+        artefacts.save_clustered(folder, clusters.attach_clusters(full, labelled))
+        scores = spark.createDataFrame(scores.collect(), scores.schema)  # one row
     explained = {n: sum(p.explained) for n, (_, p) in pca.items()}
     return Training(fit, scores, artefacts.load_clustered(spark, folder), explained)
 
@@ -157,8 +167,9 @@ def model_info(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_job(spark: SparkSession, folder: str, date: dt.date | None = None) -> DataFrame:
     """Write the full report and its summary as JSON; gives the report row."""
-    report = profile.full_report(artefacts.load_clustered(spark, folder), segments.segment_dimension(spark), date)
-    artefacts.save_report(report, f"{folder}/results/segment_profiling_report")
+    with scratch_scope(spark):
+        report = profile.full_report(artefacts.load_clustered(spark, folder), segments.segment_dimension(spark), date)
+        artefacts.save_report(report, f"{folder}/results/segment_profiling_report")
     written = artefacts.load_report(spark, f"{folder}/results/segment_profiling_report")
     artefacts.save_report(written.select("executive_summary.*"), f"{folder}/results/executive_summary")
     return written

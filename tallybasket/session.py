@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of the tables written in the innermost open ``scratch_scope``.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def build_session(app_name: str = "tallybasket", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on; a cluster's own settings win."""
     builder = SparkSession.builder.appName(app_name)
@@ -61,5 +68,25 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     disk would pass that check and then not fit in memory.
     """
     path = scratch_path(df.sparkSession, name)
+    opened = _written.get()
+    if opened is not None:
+        opened.append(path)
     df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` writes in this block once it has ended, also by an error.
+
+    For jobs whose results are written elsewhere: nothing that leaves the block may still read those tables.
+    """
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

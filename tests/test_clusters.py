@@ -70,6 +70,19 @@ def test_silhouette_in_blocks_with_copies_and_a_singleton(spark, side_points, bl
     assert (got["label"]["n_clusters"], got["label"]["n"]) == (4, len(x))
 
 
+def test_squared_silhouette_with_copies_and_a_singleton(spark):
+    x, label = blobs(11, n=50)
+    x, label = np.vstack([x, x[:5], [[40.0, 40.0, 40.0]]]), np.concatenate([label, label[:5], [7]])
+    d, want = distances(x) ** 2, []
+    for i in range(len(x)):
+        own = (label == label[i]) & (np.arange(len(x)) != i)
+        a, b = d[i, own].mean() if own.any() else 0, min(d[i, label == g].mean() for g in set(label) if g != label[i])
+        want.append((b - a) / max(a, b) if own.any() else 0.0)
+    got = metrics.squared_silhouettes(frame(spark, x, label), ["label"], COLS).first()
+    assert np.isclose(got["squared_silhouette"], np.mean(want)) and (got["n_clusters"], got["n"]) == (4, len(x))
+    assert metrics.squared_silhouettes(frame(spark, x), ["label"], COLS).first()["squared_silhouette"] is None
+
+
 def test_silhouette_needs_two_clusters(spark):
     x, _ = blobs(n=10)
     assert metrics.silhouettes(frame(spark, x), ["label"], COLS).first()["silhouette"] is None

@@ -63,6 +63,23 @@ def test_feature_job_reads_the_raw_rows_once(spark, tmp_path, monkeypatch):
     assert artefacts.load_features(spark, str(tmp_path / "out"))[1].count() == 3
 
 
+def test_jobs_leave_no_scratch_tables(spark, folder):
+    """Training, sweep and report write to their folder; the tables in between are gone."""
+    from pathlib import Path
+
+    from tallybasket.session import shared_dir
+
+    scratch = Path(shared_dir(spark)) / "tallybasket"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    trained = jobs.training_job(spark, folder, k=3, restarts=2)
+    table, _, best = jobs.find_optimal_clusters(spark, folder, max_clusters=3, restarts=1)
+    report = jobs.report_job(spark, folder)
+    assert (set(scratch.iterdir()) if scratch.exists() else set()) == before
+    # What was returned does not read them.
+    assert trained.scores.first()["silhouette"] is not None and trained.clustered.count() == 40
+    assert table.count() == 2 and best in (2, 3) and report.count() == 1
+
+
 def test_feature_metadata(spark, folder):
     row = spark.read.json(f"{folder}/features/metadata").first()
     assert row["n_customers"] == 40 and row["n_features"] == 6 and len(row["scaler_mean"]) == 6
