@@ -70,6 +70,21 @@ def test_a_square_gives_the_sums_of_both_sides(monkeypatch):
         assert sum(looked) == 700 * 700
 
 
+def test_room_for_few_groups_at_a_time(monkeypatch):
+    row, column = sides(clusters=40)
+    whole = rows(metrics._mutual(row, column))
+    monkeypatch.setattr(metrics, "KEPT_SUMS", 3 * len(column.w))
+    seen, sums = [], metrics._Tiles.sums
+
+    def watched(self, x, w, group, back):
+        seen.append(back.shape[1])
+        return sums(self, x, w, group, back)
+
+    monkeypatch.setattr(metrics._Tiles, "sums", watched)
+    same(rows(metrics._mutual(row, column)), whole)
+    assert max(seen) <= 3
+
+
 def test_distances_of_near_points_far_from_the_origin():
     row, column = sides(offset=1e6)
     tiles = metrics._Tiles(column)
