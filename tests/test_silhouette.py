@@ -110,3 +110,28 @@ def test_a_tile_stays_small():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 8e6
+
+
+def test_many_joint_groups_go_by_the_clusters_of_each_labelling():
+    """Labellings that cross in more groups than they have clusters: the same sums, and no column for a group."""
+    row, column = sides(clusters=40)
+    assert row.groups > sum(row.widths)
+    same(rows(metrics._by_cluster(row, column, both=True)), rows(metrics._mutual(row, column)))
+    same(rows(metrics._by_cluster(row, row, both=False)), rows(metrics._directed(row, row)))
+
+
+def test_silhouettes_of_labellings_that_cross(spark):
+    """Five labellings of independent clusters: 300 points in nearly as many groups, 25 clusters."""
+    rng = np.random.default_rng(3)
+    x, g = rng.normal(size=(300, 2)), rng.integers(0, 5, size=(300, 5))
+    names = [f"g{i}" for i in range(5)]
+    values = [(*map(float, p), *map(int, q)) for p, q in zip(x, g)]
+    points = spark.createDataFrame(values, "x double, y double, " + ", ".join(f"{n} int" for n in names))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    got = {r["labelling"]: r["silhouette"] for r in metrics.silhouettes(points, names, ["x", "y"]).collect()}
+    for s, name in enumerate(names):
+        mean = np.column_stack([d[:, g[:, s] == c].sum(1) for c in range(5)])
+        n = np.bincount(g[:, s], minlength=5)
+        own = np.arange(5) == g[:, s, None]
+        a, b = (mean * own).sum(1) / (n[g[:, s]] - 1), np.where(own, np.inf, mean / n).min(1)
+        assert np.isclose(got[name], ((b - a) / np.maximum(a, b)).mean(), rtol=1e-9)
