@@ -98,10 +98,11 @@ def choose_cutoffs(good: DataFrame, max_false_rejection: float = MAX_FALSE_REJEC
 
     ``good``: labelled good documents that the base rules keep, with ``stratum``, ``text_hash`` and ``v`` (array of
     the rules' values). Copies of a text are one observation, in one half: the binomial bound is about independent documents.
+    Without ``text_hash`` each ``doc_id`` is one.
     """
-    names = list(rules())
-    good = saved(good.dropDuplicates(["stratum", "text_hash"]), "rules-observations")
-    half = F.pmod(F.xxhash64("text_hash", F.lit(3)), F.lit(2))
+    names, observation = list(rules()), "text_hash" if "text_hash" in good.columns else "doc_id"
+    good = saved(good.dropDuplicates(["stratum", observation]), "rules-observations")
+    half = F.pmod(F.xxhash64(observation, F.lit(3)), F.lit(2))
     shares = [1.0 - share for share, _ in LEVELS]
     proposed = good.where(half == 0).groupBy("stratum").agg(
         *[F.percentile_approx(F.col("v")[i], shares, ACCURACY).alias(name) for i, name in enumerate(names)]
