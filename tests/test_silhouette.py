@@ -135,3 +135,57 @@ def test_silhouettes_of_labellings_that_cross(spark):
         own = np.arange(5) == g[:, s, None]
         a, b = (mean * own).sum(1) / (n[g[:, s]] - 1), np.where(own, np.inf, mean / n).min(1)
         assert np.isclose(got[name], ((b - a) / np.maximum(a, b)).mean(), rtol=1e-9)
+
+
+def brute(x, g, w):
+    """Silhouette of weighted points, those without a label left out."""
+    x, g = (np.repeat(np.asarray(v), w, axis=0)[np.repeat(g, w) >= 0] for v in (x, g))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    ids, of = np.unique(g, return_inverse=True)
+    total, n = np.column_stack([d[:, of == c].sum(1) for c in range(len(ids))]), np.bincount(of)
+    own = np.arange(len(ids)) == of[:, None]
+    a, b = (total * own).sum(1) / np.maximum(n[of] - 1, 1), np.where(own, np.inf, total / n).min(1)
+    return np.where(n[of] == 1, 0.0, (b - a) / np.maximum(a, b)).mean()
+
+
+def test_rows_without_a_label_take_no_part_in_that_labelling(spark):
+    """Two labellings of weighted points, each without labels elsewhere; points without any label count nowhere."""
+    rng = np.random.default_rng(5)
+    x, w = rng.normal(size=(600, 2)), rng.integers(1, 4, 600)
+    g = np.column_stack([rng.integers(-1, 3, 600), rng.integers(-1, 40, 600)])
+    values = [(*map(float, p), *(int(c) if c >= 0 else None for c in q), int(n)) for p, q, n in zip(x, g, w)]
+    points = spark.createDataFrame(values, "x double, y double, g0 int, g1 int, w int")
+    for labels in (["g0", "g1"], ["g1", "g0"], ["g0"]):
+        got = {r["labelling"]: r for r in metrics.silhouettes(points, labels, ["x", "y"], 150, 16, weight="w").collect()}
+        for name in labels:
+            own = g[:, int(name[1:])]
+            assert np.isclose(got[name]["silhouette"], brute(x, own, w), rtol=1e-9) and got[name]["n"] == w[own >= 0].sum()
+
+
+def test_a_side_that_meets_itself_looks_at_half_of_the_pairs(monkeypatch):
+    for clusters in (3, 40):
+        row, _ = sides(n=2600, clusters=clusters)
+        twice = rows(metrics._directed(row, row))
+        looked, distances = [], metrics._distances
+
+        def counted(x, *rest):
+            looked.append(len(x) * len(rest[1]))
+            return distances(x, *rest)
+
+        monkeypatch.setattr(metrics, "_distances", counted)
+        same(rows(metrics._mutual(row, row)), twice)
+        assert sum(looked) < 0.6 * 2600**2
+        monkeypatch.setattr(metrics, "KEPT_SUMS", 3 * len(row.w))
+        same(rows(metrics._mutual(row, row)), twice)
+        monkeypatch.undo()
+        same(rows(metrics._by_cluster(row, row, both=True)), twice)
+
+
+def test_enough_sides_for_the_sums_of_many_clusters(spark, monkeypatch):
+    """Where a square of few sides has no room for the sums of both, more sides are made."""
+    points = spark.range(4000).select(F.rand(1).alias("x"), F.rand(2).alias("y"), (F.col("id") % 200).alias("c"), (F.col("id") % 3).alias("few"))
+    points = materialize(points, "points")
+    monkeypatch.setattr(metrics, "SENT", 1)
+    assert metrics._sides(points, ["few"], ["x", "y"], metrics.SIDE_POINTS, 64).n < 10
+    monkeypatch.setattr(metrics, "KEPT_SUMS", 4000 // 10 * 200 // 10)
+    assert metrics._sides(points, ["c"], ["x", "y"], metrics.SIDE_POINTS, 64).n >= 10
