@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tallybasket.operators import metrics
+from tallybasket.operators import comparison, metrics
 from tallybasket.session import materialize
 
 
@@ -181,6 +181,37 @@ def test_a_side_that_meets_itself_looks_at_half_of_the_pairs(monkeypatch):
         same(rows(metrics._by_cluster(row, row, both=True)), twice)
 
 
+def test_compared_algorithms_share_one_look_at_the_pairs(spark, monkeypatch):
+    """Labels of equal points that differ, rows left out and repeated: the silhouettes of each algorithm alone, from one pass."""
+    rng = np.random.default_rng(7)
+    x = np.repeat(rng.normal(size=(60, 2)), 2, axis=0)
+    matrix = materialize(spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "CustomerID long, x double, y double"), "matrix")
+    runs = {
+        "halves": lambda m, cols, k: m.withColumn("Cluster", (F.col("x") > 0).cast("int")),
+        "by id": lambda m, cols, k: m.withColumn("Cluster", (F.col("CustomerID") % 3).cast("int") - 1),
+        "some": lambda m, cols, k: m.where("CustomerID < 50").unionByName(m.where("CustomerID < 9")).withColumn("Cluster", (F.col("CustomerID") % 7).cast("int")),
+        "fails": lambda m, cols, k: m.select("nothing"),
+        "one": lambda m, cols, k: m.withColumn("Cluster", F.lit(0)),
+    }
+    asked, silhouettes = [], metrics.silhouettes
+
+    def watched(points, labels, *rest, **more):
+        asked.append(len(labels))
+        return silhouettes(points, labels, *rest, **more)
+
+    monkeypatch.setattr(metrics, "silhouettes", watched)
+    scores, labels = comparison.compare(matrix, ["x", "y"], 4, runs)
+    got = {r["algorithm"]: r for r in scores.collect()}
+    assert asked == [3]
+    i = np.arange(120)
+    once = np.ones(120, int)
+    assert np.isclose(got["halves"]["silhouette"], brute(x, (x[:, 0] > 0).astype(int), once), rtol=1e-9)
+    assert np.isclose(got["by id"]["silhouette"], brute(x, i % 3 - 1, once), rtol=1e-9)
+    assert np.isclose(got["some"]["silhouette"], brute(x, np.where(i < 50, i % 7, -1), 1 + (i < 9)), rtol=1e-9)
+    assert got["fails"]["error"] and got["fails"]["n_clusters"] is None and tuple(got["one"])[1:] == (1, None, None)
+    assert labels.groupBy("algorithm").count().count() == 4
+
+
 def test_enough_sides_for_the_sums_of_many_clusters(spark, monkeypatch):
     """Where a square of few sides has no room for the sums of both, more sides are made."""
     points = spark.range(4000).select(F.rand(1).alias("x"), F.rand(2).alias("y"), (F.col("id") % 200).alias("c"), (F.col("id") % 3).alias("few"))
