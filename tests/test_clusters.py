@@ -297,6 +297,45 @@ def test_ward_in_cells_keeps_all_points_and_far_groups(spark):
     assert found.count() == 3000 and found.select("label", "Cluster").distinct().count() == 3
 
 
+def chained_ward(x):
+    """Heights of Ward's hierarchy over single points, by a chain of nearest neighbours."""
+    n, mean, alive, chain, heights = np.ones(len(x)), x.copy(), np.ones(len(x), bool), [], []
+    while alive.sum() > 1:
+        chain = chain or [int(np.flatnonzero(alive)[0])]
+        a = chain[-1]
+        cost = np.where(alive, n[a] * n / (n[a] + n) * ((mean - mean[a]) ** 2).sum(axis=1), np.inf)
+        cost[a] = np.inf
+        b = int(cost.argmin())
+        if len(chain) < 2 or cost[chain[-2]] > cost[b]:
+            chain.append(b)
+            continue
+        b = chain[-2]
+        heights.append(np.sqrt(2 * cost[b]))
+        mean[a], n[a], alive[b] = (mean[a] * n[a] + mean[b] * n[b]) / (n[a] + n[b]), n[a] + n[b], False
+        del chain[-2:]
+    return np.sort(heights)
+
+
+def test_ward_takes_every_point_however_many(spark):
+    rng = np.random.default_rng(8)
+    x = np.exp(rng.normal(size=(4500, 3)))
+    tree = ward.dendrogram(frame(spark, x), COLS).toPandas().sort_values("step")
+    assert len(tree) == len(x) - 1 and tree["points"].iloc[-1] == len(x)
+    assert np.allclose(tree["height"], chained_ward(x))
+    # Three points far out take two of four clusters, and all others the rest.
+    y = np.r_[x, x.max(axis=0) + [[1e6, 0, 0], [1e6, 1e-3, 0], [-1e6, 0, 0]]]
+    found = comparison.hierarchical(frame(spark, y), COLS, 4).toPandas()
+    ends = found.sort_values("CustomerID")["Cluster"].tolist()[-3:]
+    assert ends[0] == ends[1] != ends[2] and found["Cluster"].nunique() == 4
+
+
+def test_ward_refuses_points_without_a_place(spark):
+    x = np.arange(12.0).reshape(4, 3)
+    x[1, 1] = np.inf
+    with pytest.raises(ValueError):
+        ward.ward(frame(spark, x), COLS, 2)
+
+
 def test_ward_of_few_points(spark):
     assert ward.ward(frame(spark, np.zeros((0, 3))), COLS, 3).count() == 0
     assert {r["Cluster"] for r in ward.ward(frame(spark, np.ones((5, 3))), COLS, 3).collect()} == {0}
