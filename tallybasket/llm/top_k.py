@@ -8,7 +8,9 @@ threshold. Above 1 the bucket is skipped. A low threshold prunes by length: vect
 cannot reach it. A high one prunes by coordinates: in a query's largest coordinates a vector of that
 cosine must lie inside an interval (Cauchy-Schwarz on the rest). What is left is verified by the product.
 
-Each query block meets each vector block once, a join on the block's number; nothing is paired row by row.
+Each query block meets each vector block once. Vector blocks are dealt into groups and query blocks into slices, and a group
+meets a slice as on a checkerboard, so a block is sent once for each of the other side and not once for each of its blocks. A task keeps the best of
+its queries from one vector block to the next: they raise the bound, and what leaves it is k rows for each query and group.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from tallybasket.llm.common import prepare_tasks, saved
 #: Rows of a block of vectors and of queries.
 BLOCK_ROWS, QUERY_ROWS = 2048, 512
 BLOCK_BYTES = 4 << 20
+#: Vector blocks of a group, if there are groups enough for all cores; query blocks of a slice.
+GROUP_BLOCKS, SLICE_BLOCKS = 16, 128
 #: Dimensions that get a first bound; vectors of others are compared without one.
 SEED_WIDTHS = 4
 #: From this local cosine threshold on, coordinates prune better than length.
@@ -83,6 +87,38 @@ def block_top(q_ids, q, bounds, ids, v, norms, k: int) -> Iterator[tuple[np.ndar
         yield i, ids[at][best], scores[best]
 
 
+def _merged(best: tuple, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best (ids, scores) of two such lists; a pair that is in both counts once."""
+    ids, scores = np.r_[best[0], ids], np.r_[best[1], scores]
+    order = np.lexsort((ids, -scores))
+    ids, scores = ids[order], scores[order]
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (scores[1:] != scores[:-1])]
+    return ids[new][:k], scores[new][:k]
+
+
+class _Best:
+    """The best of the queries of some blocks, over the vector blocks they have met so far."""
+
+    def __init__(self, k: int):
+        self.k, self.blocks = k, {}
+
+    def meet(self, number: int, q_ids, q, bounds, ids, v) -> None:
+        if number not in self.blocks:
+            self.blocks[number] = (q_ids, np.array(bounds), {})
+        _, bounds, best = self.blocks[number]
+        nothing = np.zeros(0, np.int64), np.zeros(0)
+        for i, found, scores in block_top(q_ids, q, bounds, ids, v, _norms(v), self.k):
+            if len(found):
+                best[i] = _merged(best.get(i, nothing), found, scores, self.k)
+                if len(best[i][0]) == self.k:
+                    bounds[i] = max(bounds[i], best[i][1][-1])
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for q_ids, _, best in self.blocks.values():
+            yield _result(q_ids, ((i, *pair) for i, pair in best.items()))
+        self.blocks = {}
+
+
 BLOCK = "ids array<long>, data array<double>, width int"
 
 
@@ -147,7 +183,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 6
     by_norm = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     blocks = saved(by_norm.mapInArrow(lambda b: _pack(b, BLOCK_ROWS), BLOCK), "vector-blocks")
     asked = scaled(queries, factor).withColumn("width", F.size("v")).repartition("vec_id").sortWithinPartitions("width")
-    asked = saved(asked.mapInArrow(lambda b: _pack(b, QUERY_ROWS), BLOCK), "query-blocks")
+    asked = asked.mapInArrow(lambda b: _pack(b, QUERY_ROWS), BLOCK).withColumn("number", F.monotonically_increasing_id())
+    asked = saved(asked, "query-blocks")
     # The longest vectors of each dimension, one block in all, give every query its first bound.
     seeds = {}
     for width, n in rows.groupBy("width").count().orderBy(F.desc("count")).limit(SEED_WIDTHS).collect():
@@ -167,26 +204,35 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 6
                     if len(scores) >= k:
                         own[i] = np.partition(scores, len(scores) - k)[len(scores) - k]
                 bounds.append(own)
-            columns = [batch.column(c) for c in ("ids", "data", "width")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(bounds, pa.list_(pa.float64()))], names=["q_ids", "q", "width", "bounds"])
-
-    asked = asked.mapInArrow(bounded, "q_ids array<long>, q array<double>, width int, bounds array<double>")
-    # Every query block goes to every group of vector blocks, every vector block to one group.
-    groups = max(1, blocks.count())
+            columns = [batch.column(c) for c in ("ids", "data", "width", "number")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(bounds, pa.list_(pa.float64()))], names=["q_ids", "q", "width", "number", "bounds"])
+
+    n_asked = asked.count()
+    asked = asked.mapInArrow(bounded, "q_ids array<long>, q array<double>, width int, number long, bounds array<double>")
+    # Every query block goes to every group of vector blocks, every vector block to every slice of query blocks.
+    n_blocks = blocks.count()
+    groups = max(1, min(n_blocks, max(4 * spark.sparkContext.defaultParallelism, -(-n_blocks // GROUP_BLOCKS))))
+    slices = max(1, -(-n_asked // SLICE_BLOCKS))
     group = F.pmod(F.xxhash64(F.element_at("ids", 1), "width"), F.lit(groups)).cast("int")
-    here = blocks.withColumn("group", group)
-    there = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    here = blocks.withColumn("group", group).withColumn("slice", each(slices))
+    there = asked.withColumn("slice", F.pmod(F.xxhash64("number"), F.lit(slices)).cast("int")).withColumn("group", each(groups))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _Best(k)
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {c: batch.column(c)[at] for c in batch.schema.names}
-                width = row["width"].as_py()
+                width, number = row["width"].as_py(), row["number"].as_py()
+                if len(best.blocks) >= 2 * SLICE_BLOCKS and number not in best.blocks:
+                    yield from best.flush()
                 ids, v = _arrays(row["ids"].values, row["data"].values, width)
                 q_ids, q = _arrays(row["q_ids"].values, row["q"].values, width)
-                yield _result(q_ids, block_top(q_ids, q, np.asarray(row["bounds"].values), ids, v, _norms(v), k))
+                best.meet(number, q_ids, q, np.asarray(row["bounds"].values), ids, v)
+        yield from best.flush()
 
-    met = here.join(there, ["group", "width"]).select("ids", "data", "width", "q_ids", "q", "bounds")
+    # The planner takes the exploded side for as small as the blocks it is made of, and would broadcast it: both sides are shuffled.
+    met = here.hint("merge").join(there, ["group", "slice", "width"]).select("ids", "data", "width", "number", "q_ids", "q", "bounds")
     found = met.mapInArrow(compare, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -168,6 +168,26 @@ def test_search_against_brute_force(spark, spread, monkeypatch):
     assert top_k.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_search_sends_no_side_whole_and_keeps_k_rows(spark, monkeypatch):
+    """The exploded query blocks are never broadcast, however small their table; a group returns k rows of a query, not k of each block."""
+    monkeypatch.setattr(top_k, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(top_k, "QUERY_ROWS", 4)
+    monkeypatch.setattr(top_k, "SLICE_BLOCKS", 2)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 6))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = top_k.top_k(df, df.where(F.col("vec_id") % 20 == 0), k=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    v = np.floor(64 * x)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(list(enumerate(v)), 3)
+    best, asked = top_k._Best(3), np.arange(0, 400, 20)
+    for at in range(0, 400, 16):
+        best.meet(0, asked, v[asked], np.full(20, -np.inf), np.arange(at, min(400, at + 16)), v[at : at + 16])
+    rows = [r for batch in best.flush() for r in batch.to_pylist()]
+    assert len(rows) == 60 and {(r["query_id"], r["vec_id"], int(r["score"])) for r in rows} == {(q, i, s) for q, _, i, s in brute_top(list(enumerate(v)), 3)}
+
+
 def test_coordinates_prune_and_lose_nothing():
     """Local thresholds above the switch: fewer products than vectors, the same best ones."""
     rng = np.random.default_rng(1)
