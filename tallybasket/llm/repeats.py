@@ -69,8 +69,12 @@ def runs_of(rolling: Rolling, first: np.ndarray, length: int, part: int) -> tupl
     return owner[starts], starts, np.diff(np.r_[heads, len(at)]), least[starts]
 
 
-def strings(docs: DataFrame, units: Units, length: int, part: int) -> DataFrame:
-    """A row for every string: m, g, ord, rk, pos (of its first window), n (windows), again (not the document's first)."""
+def strings(docs: DataFrame, units: Units, length: int, part: int, share: tuple[int, int] = (0, 1)) -> DataFrame:
+    """A row for every string: m, g, ord, rk, pos (of its first window), n (windows), again (not the document's first).
+
+    ``share`` (i, of) keeps the strings whose ``m`` leaves i when divided by that number: all those of an ``m``, or none.
+    """
+    which, of = np.uint64(share[0]), np.uint64(share[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,6 +84,9 @@ def strings(docs: DataFrame, units: Units, length: int, part: int) -> DataFrame:
                 values, first = units(texts[a:b])
                 rolling = Rolling(values)
                 owner, starts, n, m = runs_of(rolling, first, length, part)
+                if share[1] > 1:
+                    mine = np.flatnonzero(m % of == which)
+                    owner, starts, n, m = owner[mine], starts[mine], n[mine], m[mine]
                 g = rolling.spans(starts, starts + n + length - 1)
                 again = repeated(owner, mixed(m) + g)[1]
                 columns = [m.view(np.int64), g.view(np.int64), ords[a:b][owner], rks[a:b][owner], starts - first[owner], n.astype(np.int32), again]
@@ -88,12 +95,14 @@ def strings(docs: DataFrame, units: Units, length: int, part: int) -> DataFrame:
     return docs.select("ord", "rk", "text").mapInArrow(run, "m long, g long, ord long, rk long, pos long, n int, again boolean")
 
 
-def candidates(docs: DataFrame, units: Units, length: int, part: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """The strings whose ``m`` is met more than once, and the first occurrence of each (both written).
+def candidates(
+    docs: DataFrame, units: Units, length: int, part: int, name: str, share: tuple[int, int] = (0, 1)
+) -> tuple[DataFrame, DataFrame]:
+    """The strings of a share whose ``m`` is met more than once, and the first occurrence of each (both written).
 
     The second has m, g, n and ``src`` (struct of ord, rk, pos).
     """
-    every = saved(strings(docs, units, length, part), f"{name}-strings")
+    every = saved(strings(docs, units, length, part, share), f"{name}-strings")
     met = saved(every.groupBy("m").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("m"), f"{name}-met")
     near = saved(every.join(met, "m", "left_semi"), f"{name}-near")
     discard(every, met)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ from tallybasket.llm.common import Rolling, byte_values, bytes_of, discard, save
 LENGTH = 100
 PART = 32
 GROUP_STRINGS = 1000
+#: Shares of the strings, and then of the groups, that are looked at one after another. Strings of a share are found anew in the
+#: texts, so that only one share's rows and exchanges are on disk at a time, beside the results of those before.
+SHARES = 4
 #: Windows that a task sorts at a time, whole groups and so at most about twice as many.
 SORT_WINDOWS = 100_000
 
@@ -139,27 +143,36 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, grou
     ``docs`` comes from ``repeats.documents``.
     """
     docs, kept = repeats.once_each(docs, "suffix")
-    near, first = repeats.candidates(docs, _units, length, part, "suffix")
-    marked, shared = repeats.contested(first, "suffix")
-    marked = marked.withColumn("hot", F.col("strings") > group_strings)
-    own = marked.groupBy(F.col("src.rk").alias("rk")).agg(
-        F.collect_list(F.struct("m", F.col("src.pos").alias("pos"), "n", "hot")).alias("own")
-    )
+    near_to, again = [], []
+    for i in range(SHARES):
+        near, first = repeats.candidates(docs, _units, length, part, "suffix", (i, SHARES))
+        marked, shared = repeats.contested(first, "suffix")
+        hot = (F.col("strings") > group_strings).alias("hot")
+        near_to.append(saved(marked.select("m", F.col("src.rk").alias("rk"), F.col("src.pos").alias("pos"), "n", hot), "suffix-contested"))
+        again.append(saved(repeats.copies(near, first).select("rk", "pos", "n"), "suffix-copies"))
+        discard(near, first, shared)
+    marked = reduce(DataFrame.unionByName, near_to)
+    own = marked.groupBy("rk").agg(F.collect_list(F.struct("m", "pos", "n", "hot")).alias("own"))
     owned = docs.join(own, "rk")
     bodies = saved(_bodies(owned, length), "suffix-bodies")
-    # Windows of split groups that many documents share are collapsed to the earliest before they meet.
-    alone = bodies.where(F.col("n") == 1)
-    least = saved(alone.groupBy("grp", "body").agg(F.min(F.struct("ord", "rk", "pos")).alias("src")), "suffix-windows")
-    repeated = alone.join(least.select("grp", "body", "src"), ["grp", "body"]).where(F.struct("ord", "rk", "pos") != F.col("src"))
-    whole = bodies.where(F.col("n") > 1).unionByName(
-        least.select("grp", "src.ord", "src.rk", "src.pos", F.lit(1).alias("n"), "body")
-    )
-    later = _later_windows(whole.repartition("grp").sortWithinPartitions("grp"), length)
-    later = saved(later.unionByName(repeated.select("rk", "pos", "n")), "suffix-later")
-    discard(bodies, least, shared, *kept)
-    found = later.unionByName(repeats.copies(near, first).select("rk", "pos", "n"))
+    discard(*near_to)
+    later = []
+    for i in range(SHARES):
+        mine = bodies.where(F.pmod("grp", F.lit(SHARES)) == i)
+        # Windows of split groups that many documents share are collapsed to the earliest before they meet.
+        alone = mine.where(F.col("n") == 1)
+        least = saved(alone.groupBy("grp", "body").agg(F.min(F.struct("ord", "rk", "pos")).alias("src")), "suffix-windows")
+        repeated = alone.join(least.select("grp", "body", "src"), ["grp", "body"]).where(F.struct("ord", "rk", "pos") != F.col("src"))
+        whole = mine.where(F.col("n") > 1).unionByName(
+            least.select("grp", "src.ord", "src.rk", "src.pos", F.lit(1).alias("n"), "body")
+        )
+        found = _later_windows(whole.repartition("grp").sortWithinPartitions("grp"), length)
+        later.append(saved(found.unionByName(repeated.select("rk", "pos", "n")), "suffix-later"))
+        discard(least)
+    discard(bodies, *kept)
+    found = reduce(DataFrame.unionByName, [*again, *later])
     spans = saved(found.groupBy("rk").agg(F.collect_list(F.struct("pos", "n")).alias("spans")), "suffix-spans")
-    discard(near, first, later)
+    discard(*later, *again)
     return spans
 
 

@@ -113,6 +113,25 @@ def test_a_row_repeated_in_full_is_looked_at_once(spark, module, find, tables, m
     assert seen[0] == seen[1] and len(seen[0][0]) == 2 and min(seen[0][1]) > 0
 
 
+def test_shares_hold_part_of_the_strings_and_change_nothing(spark, docs, monkeypatch):
+    """No table of strings holds all of them, and all shares together find what one finds."""
+    rows = lambda: sorted((tuple(r) for r in suffix_dedup.remove_repeats(docs).collect()), key=repr)
+    sizes, write = [], repeats.saved
+
+    def counted(df, name):
+        table = write(df, name)
+        if name == "suffix-strings":
+            sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(repeats, "saved", counted)
+    want = rows()
+    assert max(sizes) < sum(sizes) / 2
+    monkeypatch.setattr(suffix_dedup, "SHARES", 1)
+    assert rows() == want
+    assert sizes[-1] == sum(sizes[:-1])
+
+
 def test_a_false_source_removes_nothing(spark, monkeypatch):
     """The words at the source's coordinates are compared: hashes that collide do not remove text."""
     text = [" ".join(f"{p}{i}" for i in range(30)) for p in "ab"]
